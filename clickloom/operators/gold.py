@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
@@ -14,22 +14,28 @@ from clickloom.operators.sessions import SESSION, SESSION_ROWS
 
 _ORDER = list(C.EVENT_KEY[1:])
 
-_COUNTERS = {
-    "total_views": S.is_type("view"),
-    "total_carts": S.is_type("cart"),
-    "total_removes": S.is_type("remove_from_cart"),
-    "unique_products": F.col("_new_product"),
-    "unique_categories": F.col("_new_category"),
-}
+def _counters() -> dict[str, Column]:
+    return {
+        "total_views": S.is_type("view"),
+        "total_carts": S.is_type("cart"),
+        "total_removes": S.is_type("remove_from_cart"),
+        "unique_products": F.col("_new_product"),
+        "unique_categories": F.col("_new_category"),
+    }
+
 
-_PRICE = F.col("price").cast("decimal(18,4)")
-_VIEWED = (F.col("event_type") == "view") & F.col("price").isNotNull()
-_PRICE_SUMS = {
-    "_viewed": _VIEWED.cast("long"),
-    "_spent": F.when(_VIEWED, _PRICE),
-    "_squared": F.when(_VIEWED, (_PRICE * _PRICE).cast("decimal(28,8)")),
-    "_branded": F.col("brand").isNotNull().cast("long"),
-}
+def _extended_counters() -> dict[str, Column]:
+    """Prices are summed as decimals, so any order gives the same sum."""
+    price = F.col("price").cast("decimal(18,4)")
+    viewed = (F.col("event_type") == "view") & F.col("price").isNotNull()
+    return {
+        "total_carts": S.is_type("cart"),
+        "total_removes": S.is_type("remove_from_cart"),
+        "_viewed": viewed.cast("long"),
+        "_spent": F.when(viewed, price),
+        "_squared": F.when(viewed, (price * price).cast("decimal(28,8)")),
+        "_branded": F.col("brand").isNotNull().cast("long"),
+    }
 
 
 def _with_helpers(silver: DataFrame) -> DataFrame:
@@ -95,7 +101,7 @@ def snapshots(
         if split_map is not None:
             rows = _join_split(rows, split_map, hot)
         rows = _flag(rows, keys, "_new_category", "_category")
-        rows = _count(rows, keys, _COUNTERS)
+        rows = _count(rows, keys, _counters())
         return _finish(_add_next_purchase(rows, keys), horizon_seconds, split_map)
 
     return scan.scan_sessions(
@@ -133,9 +139,7 @@ def extended_snapshots(
     """Further features over strictly earlier rows, keyed like gold rows."""
 
     def run(rows, keys):
-        measures = {"total_carts": _COUNTERS["total_carts"]}
-        measures["total_removes"] = _COUNTERS["total_removes"]
-        measures.update(_PRICE_SUMS)
+        measures = _extended_counters()
         return _finish_extended(_add_previous(_count(rows, keys, measures), keys))
 
     return scan.scan_sessions(

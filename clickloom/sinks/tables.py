@@ -10,15 +10,12 @@ from clickloom import constants as C
 from clickloom import schemas
 from clickloom.operators.cleaning import observed
 
-ROWS = {"rows": F.count(F.lit(1))}
-
-
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """Snappy parquet; returns the rows written, counted by the writing job.
 
     An empty frame still leaves a readable table with its schema.
     """
-    watched, watch = observed(df, "written", **ROWS)
+    watched, watch = observed(df, "written", rows=F.count(F.lit(1)))
     try:
         watched.write.mode(mode).option("compression", "snappy").parquet(path)
     except AnalysisException as error:
@@ -70,7 +67,8 @@ def to_messages(events: DataFrame, key: str = "user_session") -> DataFrame:
 
 def publish(events: DataFrame, form: str, **options: str) -> int:
     """Write keyed messages to a topic (or a file sink); returns their number."""
-    watched, watch = observed(to_messages(events), "published", **ROWS)
+    messages = to_messages(events)
+    watched, watch = observed(messages, "published", rows=F.count(F.lit(1)))
     watched.write.format(form).options(**options).mode("append").save()
     return watch.get["rows"]
 

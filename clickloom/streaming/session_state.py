@@ -36,21 +36,29 @@ _INPUT = (
     "price",
 )
 
-_RESULT = T.StructType.fromDDL(
-    "user_session string, event_id string, arrival long, source_us long, "
-    "replay_us long, event_type string, product_id string, category_id string, "
-    "category_code string, brand string, price double, "
-    "status string, late_reason string, first_us long, last_us long, "
-    "count_view long, count_cart long, count_remove_from_cart long, "
-    "serving_total_views long, serving_total_carts long, "
-    "serving_total_removes long, serving_unique_products long, "
-    "serving_unique_categories long"
+def _struct(kind: T.DataType, names: str) -> list[T.StructField]:
+    return [T.StructField(name, kind, True) for name in names.split()]
+
+
+_RESULT = T.StructType(
+    _struct(T.StringType(), "user_session event_id")
+    + _struct(T.LongType(), "arrival source_us replay_us")
+    + _struct(T.StringType(), "event_type product_id category_id category_code brand")
+    + _struct(T.DoubleType(), "price")
+    + _struct(T.StringType(), "status late_reason")
+    + _struct(
+        T.LongType(),
+        "first_us last_us count_view count_cart count_remove_from_cart "
+        "serving_total_views serving_total_carts serving_total_removes "
+        "serving_unique_products serving_unique_categories",
+    )
 )
 
-# first, last, touched, views, carts, removes, products, categories
-_SESSION = T.StructType.fromDDL(
-    "first long, last long, touched long, views long, carts long, removes long, "
-    "products long, categories long"
+# ``touched`` is the clock of the last accepted event.
+_SESSION = T.StructType(
+    _struct(
+        T.LongType(), "first last touched views carts removes products categories"
+    )
 )
 _CHUNK_ROWS = 10_000
 
@@ -79,8 +87,8 @@ class SessionProcessor(StatefulProcessor):
         self.expiry = ttl_seconds * 1000 if live else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        text = T.StructType.fromDDL("value string")
-        seen_at = T.StructType.fromDDL("at long")
+        text = T.StructType(_struct(T.StringType(), "value"))
+        seen_at = T.StructType(_struct(T.LongType(), "at"))
         self.session = handle.getValueState("session", _SESSION, self.expiry)
         self.products = handle.getMapState("products", text, seen_at, self.expiry)
         self.categories = handle.getMapState("categories", text, seen_at, self.expiry)
@@ -97,12 +105,12 @@ class SessionProcessor(StatefulProcessor):
             state, row = self._apply(state, event)
             out.append(row)
             if len(out) == _CHUNK_ROWS:
-                yield pd.DataFrame(out, columns=_RESULT.names)
+                yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
                 out = []
         if state is not None:
             self.session.update(tuple(state))
         if out:
-            yield pd.DataFrame(out, columns=_RESULT.names)
+            yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
 
     def _forget(self, now: int) -> None:
         """Drop ids that are past their time."""
