@@ -163,7 +163,7 @@ def _finish_extended(rows: DataFrame) -> DataFrame:
         mean.alias("avg_price_viewed"),
         gap.alias("time_since_last_event_sec"),
         (F.col("_branded") > 0).cast("int").alias("has_brand_info"),
-        F.sqrt(F.greatest(spread, F.lit(0.0))).alias("price_std"),
+        F.sqrt(F.when(spread > 0, spread).when(spread <= 0, 0.0)).alias("price_std"),
     )
 
 

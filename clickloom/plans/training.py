@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom import schemas
 from clickloom.operators import evaluation as E
+from clickloom.session import scratch_path
 from clickloom.sources.tables import read_table
 
 HASH_BUCKETS = 64
@@ -76,6 +77,13 @@ def scores(model, frame: DataFrame) -> DataFrame:
     )
 
 
+def _stored(model: PipelineModel, frame: DataFrame) -> PipelineModel:
+    """The model as read back: a fresh one drags its training summary along."""
+    path = scratch_path(frame.sparkSession, "candidate")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def train_candidates(
     train: DataFrame, validation: DataFrame, pool=None
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
@@ -84,7 +92,7 @@ def train_candidates(
     ready = weighted(bucketed(train))
     models, scored = {}, None
     for order, (name, learner) in enumerate(pool):
-        model = Pipeline(stages=[_assembler(), learner]).fit(ready)
+        model = _stored(Pipeline(stages=[_assembler(), learner]).fit(ready), ready)
         models[name] = model
         part = scores(model, validation).withColumns(
             {"candidate": F.lit(name), "candidate_order": F.lit(order)}

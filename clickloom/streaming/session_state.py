@@ -26,8 +26,8 @@ _INPUT = (
     "user_session",
     "event_id",
     "arrival",
-    "_us",
-    "_clock",
+    "source_us",
+    "replay_us",
     "event_type",
     "product_id",
     "category_id",
@@ -99,7 +99,7 @@ class SessionProcessor(StatefulProcessor):
         frame = pd.concat(list(rows)).sort_values("arrival", kind="stable")
         state = self.session.get() if self.session.exists() else None
         state = list(state) if state is not None else None
-        self._forget(int(frame["_clock"].iloc[0]))
+        self._forget(int(frame["replay_us"].iloc[0]))
         out = []
         for event in frame[list(_INPUT)].itertuples(index=False, name=None):
             state, row = self._apply(state, event)
@@ -172,8 +172,8 @@ def track_sessions(
     session (an offset); ``replay_time`` is the clock of both time limits.
     """
     times = {
-        "_us": S.epoch_micros(S.parse_iso(F.col("source_event_time").cast("string"))),
-        "_clock": S.epoch_micros(S.parse_iso(F.col("replay_time").cast("string"))),
+        "source_us": S.epoch_micros(S.parse_iso(F.col("source_event_time").cast("string"))),
+        "replay_us": S.epoch_micros(S.parse_iso(F.col("replay_time").cast("string"))),
     }
     keyed = events.withColumns(times).select(*_INPUT).groupBy("user_session")
     tracked = keyed.transformWithStateInPandas(

@@ -634,10 +634,11 @@ def build() -> dict[str, str]:
         "SELECT evaluation_mode, window_start, round(pr_auc",
         ", shown AS (SELECT evaluation_mode, window_start, round(pr_auc",
     ) + """), lagged AS (SELECT *, lag(pr_auc) OVER o AS b,
-        lag(window_start) OVER o AS at FROM shown
+        lag(window_start) OVER o AS earlier FROM shown
       WINDOW o AS (PARTITION BY evaluation_mode ORDER BY window_start))
       SELECT evaluation_mode, window_start, pr_auc FROM lagged
-      WHERE pr_auc < 0.7 AND b < 0.7 AND at = window_start - INTERVAL 1 HOUR"""
+      WHERE pr_auc < 0.7 AND b < 0.7
+        AND earlier = window_start - INTERVAL 1 HOUR"""
     q["prediction_latency"] = """, l AS (SELECT evaluation_mode,
         CAST(epoch_us(prediction_time) - epoch_us(source_event_time) AS DOUBLE)
           / 1000000 AS s FROM predictions)

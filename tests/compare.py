@@ -80,7 +80,7 @@ def main(sf_dir: str, wanted: list[str]) -> int:
             else:
                 found = f"rows only: {run(spark, sf_dir).count()}"
         except Exception as error:  # report and go on with the next query
-            found = f"ERROR {type(error).__name__}: {str(error)[:1500]}"
+            found = f"ERROR {type(error).__name__}: {str(error)[:int(os.environ.get('ERROR_CHARS', 300))]}"
         bad += not found.startswith(("ok", "rows only"))
         print(f"{name:26s} {time.time() - start:6.1f}s {found}", flush=True)
     print("unmatched:", sorted(set(sql) - set(entry.queries())))
