@@ -71,10 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder and go on from there.
+    """Write the rows once to the shared folder and go on from that table.
 
     Used where a later step must see exactly the rows of an earlier run
     (partition numbers, sampled range bounds), also after an executor is lost.
+    A table is columnar, so later steps read only the columns they need.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

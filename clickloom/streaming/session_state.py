@@ -8,6 +8,7 @@ recurrence, so this is the one operator that needs a stateful processor.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -54,12 +55,19 @@ _RESULT = T.StructType(
     )
 )
 
-# ``touched`` is the clock of the last accepted event.
-_SESSION = T.StructType(
-    _struct(
+# ``touched`` is the clock of the last accepted event, ``purged`` the clock of
+# the last clean-up of spilled ids. The three texts hold small sets as JSON.
+_STATE = T.StructType(
+    _struct(T.BooleanType(), "alive")
+    + _struct(
         T.LongType(), "first last touched views carts removes products categories"
     )
+    + _struct(T.StringType(), "product_set category_set seen_ids")
+    + _struct(T.BooleanType(), "ids_spilled")
+    + _struct(T.LongType(), "purged")
 )
+_NEW = (False, 0, 0, 0, 0, 0, 0, 0, 0, "{}", "{}", "{}", False, 0)
+_INLINE = 500
 _CHUNK_ROWS = 10_000
 
 
@@ -71,13 +79,45 @@ def _missing(value) -> bool:
     return value is None or value == "" or value != value
 
 
+class _Names:
+    """A set of texts with a number each: small ones inline, the rest in a map.
+
+    An ordinary session costs one state read and one write per trigger; a huge
+    one is never loaded as a whole.
+    """
+
+    def __init__(self, store, text: str, spilled: bool):
+        self.store, self.inline, self.spilled = store, json.loads(text), spilled
+
+    def get(self, name: str):
+        found = self.inline.get(name)
+        if found is None and self.spilled and self.store.containsKey((name,)):
+            return self.store.getValue((name,))[0]
+        return found
+
+    def put(self, name: str, number: int) -> None:
+        if name in self.inline or len(self.inline) < _INLINE:
+            self.inline[name] = number
+        else:
+            self.store.updateValue((name,), (number,))
+            self.spilled = True
+
+    def clear(self) -> None:
+        self.inline = {}
+        if self.spilled:
+            self.store.clear()
+            self.spilled = False
+
+    def text(self) -> str:
+        return json.dumps(self.inline)
+
+
 class SessionProcessor(StatefulProcessor):
     """Duplicate, late and session rules of one key, in arrival order.
 
-    Products, categories and seen ids are map states: one entry is read or
-    written per new value, a large session is never loaded as a whole. The
-    clock is the arrival time of the events, so a replay gives the same answer
-    every time; ``live`` adds Spark's wall-clock TTL so that idle keys go away.
+    The clock is the arrival time of the events, so a replay gives the same
+    answer every time; ``live`` adds Spark's wall-clock TTL so that idle keys
+    go away.
     """
 
     def __init__(self, ttl_seconds: int, late_seconds: int, live: bool):
@@ -87,74 +127,95 @@ class SessionProcessor(StatefulProcessor):
         self.expiry = ttl_seconds * 1000 if live else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        text = T.StructType(_struct(T.StringType(), "value"))
-        seen_at = T.StructType(_struct(T.LongType(), "at"))
-        self.session = handle.getValueState("session", _SESSION, self.expiry)
-        self.products = handle.getMapState("products", text, seen_at, self.expiry)
-        self.categories = handle.getMapState("categories", text, seen_at, self.expiry)
-        self.seen = handle.getMapState("seen", text, seen_at, self.expiry)
+        name = T.StructType(_struct(T.StringType(), "name"))
+        number = T.StructType(_struct(T.LongType(), "number"))
+        self.stored = handle.getValueState("state", _STATE, self.expiry)
+        self.maps = [
+            handle.getMapState(label, name, number, self.expiry)
+            for label in ("products", "categories", "seen")
+        ]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # One trigger brings a bounded number of rows (see sources.streams).
         frame = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        state = self.session.get() if self.session.exists() else None
-        state = list(state) if state is not None else None
-        self._forget(int(frame["replay_us"].iloc[0]))
+        self._load(int(frame["replay_us"].iloc[0]))
         out = []
         for event in frame[list(_INPUT)].itertuples(index=False, name=None):
-            state, row = self._apply(state, event)
-            out.append(row)
+            out.append(self._apply(event))
             if len(out) == _CHUNK_ROWS:
                 yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
                 out = []
-        if state is not None:
-            self.session.update(tuple(state))
+        self._save()
         if out:
             yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
 
-    def _forget(self, now: int) -> None:
+    def _load(self, now: int) -> None:
+        state = tuple(self.stored.get()) if self.stored.exists() else _NEW
+        self.alive, self.session, sets = state[0], list(state[1:9]), state[9:12]
+        spilled = (
+            self.session[6] > _INLINE,
+            self.session[7] > _INLINE,
+            state[12],
+        )
+        self.products, self.categories, self.seen = (
+            _Names(*parts) for parts in zip(self.maps, sets, spilled)
+        )
+        self.purged = state[13]
+        self._purge(now)
+
+    def _save(self) -> None:
+        texts = (self.products.text(), self.categories.text(), self.seen.text())
+        self.stored.update(
+            (self.alive, *self.session, *texts, self.seen.spilled, self.purged)
+        )
+
+    def _purge(self, now: int) -> None:
         """Drop ids that are past their time."""
-        if self.expiry is not None or not self.seen.exists():
-            return
-        stale = [k[0] for k, v in self.seen.iterator() if now - v[0] > self.ttl]
-        for value in stale:
-            self.seen.removeKey((value,))
-
-    def _duplicate(self, event_id: str, now: int) -> bool:
-        if self.seen.containsKey((event_id,)):
-            if now - self.seen.getValue((event_id,))[0] <= self.ttl:
-                return True
-        self.seen.updateValue((event_id,), (now,))
+        kept = {k: v for k, v in self.seen.inline.items() if now - v <= self.ttl}
+        self.seen.inline = kept
+        if self.seen.spilled and now - self.purged > self.ttl:
+            held = list(self.seen.store.iterator())
+            for name, at in held:
+                if now - at[0] > self.ttl:
+                    self.seen.store.removeKey(name)
+            self.purged = now
+
+    def _repeated(self, event_id: str, now: int) -> bool:
+        at = self.seen.get(event_id)
+        if at is not None and now - at <= self.ttl:
+            return True
+        self.seen.put(event_id, now)
         return False
 
-    def _new(self, store, value: str, now: int) -> int:
-        if store.containsKey((value,)):
+    def _first(self, names: _Names, value: str) -> int:
+        if names.get(value) is not None:
             return 0
-        store.updateValue((value,), (now,))
+        names.put(value, 1)
         return 1
 
-    def _apply(self, state, event):
+    def _apply(self, event: tuple) -> tuple:
         at, now = event[3], event[4]
         kind, product, category, code = event[5:9]
-        if self._duplicate(event[1], now):
-            return state, (*event, DUPLICATE, None, *[None] * 10)
-        if state is not None and now - state[2] > self.ttl:
+        if self._repeated(event[1], now):
+            return (*event, DUPLICATE, None, *[None] * 10)
+        if self.alive and now - self.session[2] > self.ttl:
             self.products.clear()
             self.categories.clear()
-            state = None
-        if state is not None and at < state[1] - self.late:
-            return state, (*event, LATE, self.reason, *[None] * 10)
-        if state is None:
-            state = [at, at, now, 0, 0, 0, 0, 0]
+            self.alive = False
+        if self.alive and at < self.session[1] - self.late:
+            return (*event, LATE, self.reason, *[None] * 10)
+        if not self.alive:
+            self.session = [at, at, now, 0, 0, 0, 0, 0]
+            self.alive = True
+        state = self.session
         before = state[3:8]
         if kind in COUNTED:
             state[COUNTED[kind]] += 1
         state[1], state[2] = at, now
-        state[6] += self._new(self.products, product, now)
-        value = category if _missing(code) else code
-        state[7] += self._new(self.categories, value, now)
+        state[6] += self._first(self.products, product)
+        state[7] += self._first(self.categories, category if _missing(code) else code)
         after = state[3:6]
-        return state, (*event, ACCEPTED, None, state[0], state[1], *after, *before)
+        return (*event, ACCEPTED, None, state[0], state[1], *after, *before)
 
     def close(self) -> None:
         pass
