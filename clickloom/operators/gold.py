@@ -11,6 +11,7 @@ from clickloom.functions import scalars as S
 from clickloom.operators import sessions as scan
 from clickloom.operators.ordered import CHUNK
 from clickloom.operators.sessions import SESSION, SESSION_ROWS
+from clickloom.session import cut_lineage
 
 _ORDER = list(C.EVENT_KEY[1:])
 
@@ -83,7 +84,7 @@ def snapshots(
     cutoff: str | None = None,
     split_map: DataFrame | None = None,
     limit: int = SESSION_ROWS,
-    sizes_from: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One gold row per silver event; with a split map also its ``split``.
 
@@ -105,7 +106,7 @@ def snapshots(
         return _finish(_add_next_purchase(rows, keys), horizon_seconds, split_map)
 
     return scan.scan_sessions(
-        _with_helpers(silver), _ORDER, run, run, limit, sizes_from
+        _with_helpers(silver), _ORDER, run, run, limit, sizes
     )
 
 
@@ -134,7 +135,7 @@ def _finish(rows: DataFrame, horizon_seconds: int, split_map) -> DataFrame:
 
 
 def extended_snapshots(
-    silver: DataFrame, limit: int = SESSION_ROWS, sizes_from: DataFrame | None = None
+    silver: DataFrame, limit: int = SESSION_ROWS, sizes: DataFrame | None = None
 ) -> DataFrame:
     """Further features over strictly earlier rows, keyed like gold rows."""
 
@@ -143,7 +144,7 @@ def extended_snapshots(
         return _finish_extended(_add_previous(_count(rows, keys, measures), keys))
 
     return scan.scan_sessions(
-        _with_helpers(silver), _ORDER, run, run, limit, sizes_from
+        _with_helpers(silver), _ORDER, run, run, limit, sizes
     )
 
 
@@ -180,24 +181,26 @@ def check_split_labels(split_map: DataFrame) -> None:
 
 
 def uncovered_sessions(
-    silver: DataFrame, split_map: DataFrame, cutoff: str | None = None
+    index: DataFrame, split_map: DataFrame, cutoff: str | None = None
 ) -> DataFrame:
-    """Sessions on one side only: ``unmapped`` in silver, ``unknown`` in map."""
-    starts = silver.groupBy(SESSION).agg(F.min("source_event_time").alias("_start"))
+    """Sessions on one side only: ``unmapped`` in silver, ``unknown`` in map.
+
+    ``index`` is the session index of the silver rows.
+    """
     if cutoff is not None:
-        starts = starts.filter(F.col("_start") < F.lit(cutoff).cast("timestamp_ntz"))
-    starts = starts.select(SESSION)
-    known = split_map.select(SESSION)
-    unmapped = starts.join(known, SESSION, "left_anti")
-    unknown = known.join(starts, SESSION, "left_anti")
+        start = F.col("session_start_time")
+        index = index.filter(start < F.lit(cutoff).cast("timestamp_ntz"))
+    known, present = split_map.select(SESSION), index.select(SESSION)
+    unmapped = present.join(known, SESSION, "left_anti")
+    unknown = known.join(present, SESSION, "left_anti")
     return unmapped.withColumn("problem", F.lit("unmapped")).unionByName(
         unknown.withColumn("problem", F.lit("unknown"))
     )
 
 
-def check_coverage(silver, split_map, cutoff: str | None = None) -> None:
+def check_coverage(index, split_map, cutoff: str | None = None) -> None:
     """Fail unless map and in-scope silver hold the same sessions."""
-    row = uncovered_sessions(silver, split_map, cutoff).first()
+    row = uncovered_sessions(index, split_map, cutoff).first()
     if row is None:
         return
     if row["problem"] == "unmapped":
@@ -211,9 +214,12 @@ def gold(
     horizon_seconds: int = C.HORIZON_SECONDS,
     cutoff: str | None = C.SESSION_CUTOFF,
     limit: int = SESSION_ROWS,
-    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Checked gold snapshots with their split."""
+    """Checked gold snapshots with their split.
+
+    One stored session index serves the coverage check and the size check.
+    """
     check_split_labels(split_map)
-    check_coverage(silver, split_map, cutoff)
-    return snapshots(silver, horizon_seconds, cutoff, split_map, limit, sizes_from)
+    index = cut_lineage(scan.session_index(silver))
+    check_coverage(index, split_map, cutoff)
+    return snapshots(silver, horizon_seconds, cutoff, split_map, limit, index)

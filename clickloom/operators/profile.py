@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.lookup import left_lookup
 from clickloom.operators.ordered import exact_quantiles
 from clickloom.operators.sessions import SESSION
 
@@ -65,7 +66,7 @@ def hour_counts(df: DataFrame) -> DataFrame:
 
 def type_shares(df: DataFrame) -> DataFrame:
     counts = value_counts(df, "event_type", "event_type")
-    everything = F.sum("rows").over(Window.partitionBy())
+    everything = counts.agg(F.sum("rows").alias("n")).scalar()
     return counts.withColumn("share_pct", F.col("rows") * 100.0 / everything)
 
 
@@ -234,8 +235,9 @@ def histogram(
     if clip is not None:
         top = exact_quantiles(numbers, "v", {"top": clip}).scalar()
         numbers = numbers.select(F.least("v", top).alias("v"))
-    low = numbers.agg(F.min("v").alias("low")).scalar()
-    high = numbers.agg(F.max("v").alias("high")).scalar()
+    span = F.struct(F.min("v").alias("low"), F.max("v").alias("high"))
+    span = numbers.agg(span.alias("span")).scalar()
+    low, high = span.getField("low"), span.getField("high")
     placed = numbers.select(bin_of(F.col("v"), low, high, bins).alias("bin"))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -268,7 +270,7 @@ def box_stats(
     )
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     return (
-        counts.join(bounds, by)
+        left_lookup(counts, bounds, [by])
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),

@@ -21,25 +21,25 @@ SESSION_ROWS = 2_000_000
 MAX_HOT_SESSIONS = 20_000
 
 
-def hot_sessions(
-    df: DataFrame, limit: int = SESSION_ROWS, sizes_from: DataFrame | None = None
-) -> DataFrame | None:
+def session_sizes(df: DataFrame) -> DataFrame:
+    return df.groupBy(SESSION).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def hot_sessions(sizes: DataFrame, limit: int = SESSION_ROWS) -> DataFrame | None:
     """Sessions above the row limit, or None when there is none.
 
     The limit is raised to total / MAX_HOT_SESSIONS where needed. No more than
     MAX_HOT_SESSIONS sessions can then be above it, so the result may always be
-    broadcast. ``sizes_from`` may be any frame that holds at least the rows of
-    ``df``: its sizes are upper bounds.
+    broadcast.
     """
-    source = df if sizes_from is None else sizes_from
-    sizes = source.groupBy(SESSION).agg(F.count(F.lit(1)).alias("rows"))
-    seen = sizes.agg(F.sum("rows").alias("total"), F.max("rows").alias("top")).first()
+    rows = F.col("event_count")
+    seen = sizes.agg(F.sum(rows).alias("total"), F.max(rows).alias("top")).first()
     if seen["total"] is None:
         return None
     limit = max(limit, -(-seen["total"] // MAX_HOT_SESSIONS))
     if seen["top"] <= limit:
         return None
-    hot = sizes.filter((F.col("rows") > limit) & F.col(SESSION).isNotNull())
+    hot = sizes.filter((rows > limit) & F.col(SESSION).isNotNull())
     return cut_lineage(hot.select(SESSION))
 
 
@@ -49,10 +49,14 @@ def scan_sessions(
     scan_whole,
     scan_chunks,
     limit: int = SESSION_ROWS,
-    sizes_from: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Run ``scan_whole`` on ordinary sessions, ``scan_chunks`` on hot ones."""
-    hot = hot_sessions(df, limit, sizes_from)
+    """Run ``scan_whole`` on ordinary sessions, ``scan_chunks`` on hot ones.
+
+    ``sizes`` holds ``event_count`` per session, or an upper bound of it; it is
+    counted if not given.
+    """
+    hot = hot_sessions(session_sizes(df) if sizes is None else sizes, limit)
     if hot is None:
         return scan_whole(df.repartition(SESSION), [SESSION])
     hot = F.broadcast(hot)
@@ -206,7 +210,7 @@ def add_next_instant(
     marked: Column,
     name: str,
     limit: int = SESSION_ROWS,
-    sizes_from: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add the session's earliest marked instant strictly after each row."""
 
@@ -216,7 +220,7 @@ def add_next_instant(
     def chunked(rows, keys):
         return next_instant_chunked(rows, micros, marked, name)
 
-    return scan_sessions(df, [micros], whole, chunked, limit, sizes_from).select(
+    return scan_sessions(df, [micros], whole, chunked, limit, sizes).select(
         *df.columns, name
     )
 
@@ -256,7 +260,7 @@ def in_scope(
     df: DataFrame,
     cutoff: str,
     limit: int = SESSION_ROWS,
-    sizes_from: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Keep whole sessions whose first event is before the cutoff."""
     bound = F.lit(cutoff).cast("timestamp_ntz")
@@ -264,5 +268,5 @@ def in_scope(
     def scan(rows, keys):
         return add_session_start(rows, keys).filter(F.col("_start") < bound)
 
-    kept = scan_sessions(df, ["source_event_time"], scan, scan, limit, sizes_from)
+    kept = scan_sessions(df, ["source_event_time"], scan, scan, limit, sizes)
     return kept.select(*df.columns)

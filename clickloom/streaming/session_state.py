@@ -11,8 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -55,6 +54,8 @@ _RESULT = T.StructType(
     )
 )
 
+_ROW = Row(*_RESULT.names)
+
 # ``touched`` is the clock of the last accepted event, ``purged`` the clock of
 # the last clean-up of spilled ids. The three texts hold small sets as JSON.
 _STATE = T.StructType(
@@ -68,7 +69,6 @@ _STATE = T.StructType(
 )
 _NEW = (False, 0, 0, 0, 0, 0, 0, 0, 0, "{}", "{}", "{}", False, 0)
 _INLINE = 500
-_CHUNK_ROWS = 10_000
 
 
 def late_reason(seconds: int) -> str:
@@ -135,19 +135,13 @@ class SessionProcessor(StatefulProcessor):
             for label in ("products", "categories", "seen")
         ]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # One trigger brings a bounded number of rows (see sources.streams).
-        frame = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        self._load(int(frame["replay_us"].iloc[0]))
-        out = []
-        for event in frame[list(_INPUT)].itertuples(index=False, name=None):
-            out.append(self._apply(event))
-            if len(out) == _CHUNK_ROWS:
-                yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
-                out = []
+        events = sorted(rows, key=lambda row: row["arrival"])
+        self._load(events[0]["replay_us"])
+        for event in events:
+            yield _ROW(*self._apply(tuple(event[name] for name in _INPUT)))
         self._save()
-        if out:
-            yield pd.DataFrame(out, columns=_RESULT.names, dtype=object)
 
     def _load(self, now: int) -> None:
         state = tuple(self.stored.get()) if self.stored.exists() else _NEW
@@ -237,7 +231,7 @@ def track_sessions(
         "replay_us": S.epoch_micros(S.parse_iso(F.col("replay_time").cast("string"))),
     }
     keyed = events.withColumns(times).select(*_INPUT).groupBy("user_session")
-    tracked = keyed.transformWithStateInPandas(
+    tracked = keyed.transformWithState(
         statefulProcessor=SessionProcessor(ttl_seconds, late_seconds, live),
         outputStructType=_RESULT,
         outputMode="Append",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.functions import scalars as S
-from clickloom.operators import cleaning, dedup, gold
+from clickloom.operators import cleaning, dedup, gold, sessions
 from clickloom.session import prepare, scratch_path
 
 WEEK_MICROS = 7 * 24 * 3600 * 1_000_000
@@ -68,10 +68,12 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str, horizon: int = HORIZON) -> DataFrame:
-    """Gold rows; raw rows bound the session sizes from above."""
-    return gold.snapshots(
-        silver(spark, sf_dir), horizon, sizes_from=raw(spark, sf_dir)
-    )
+    return gold.snapshots(silver(spark, sf_dir), horizon, sizes=sizes(spark, sf_dir))
+
+
+def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows per session: an upper bound of the silver rows, and cheap."""
+    return sessions.session_sizes(raw(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,14 +237,15 @@ def session_split_map(spark, sf_dir):
 
 @query
 def events_in_scope(spark, sf_dir):
-    sizes = A.raw(spark, sf_dir)
-    return sessions.in_scope(A.silver(spark, sf_dir), A.CUTOFF, sizes_from=sizes)
+    sizes = A.sizes(spark, sf_dir)
+    return sessions.in_scope(A.silver(spark, sf_dir), A.CUTOFF, sizes=sizes)
 
 
 @query
 def split_coverage(spark, sf_dir):
     silver = A.silver(spark, sf_dir)
-    return gold.uncovered_sessions(silver, splits.split_sessions(silver, A.CUTOFF))
+    index = sessions.session_index(silver)
+    return gold.uncovered_sessions(index, splits.split_sessions(silver, A.CUTOFF))
 
 
 @query
@@ -260,9 +261,7 @@ def gold_short_horizon(spark, sf_dir):
 def _gold_with_split(spark, sf_dir):
     silver = A.silver(spark, sf_dir)
     split_map = splits.split_sessions(silver, A.CUTOFF)
-    return gold.gold(
-        silver, split_map, A.HORIZON, A.CUTOFF, sizes_from=A.raw(spark, sf_dir)
-    )
+    return gold.gold(silver, split_map, A.HORIZON, A.CUTOFF)
 
 
 @query
@@ -273,7 +272,7 @@ def gold_with_split(spark, sf_dir):
 @query
 def extended_features(spark, sf_dir):
     rows = gold.extended_snapshots(
-        A.silver(spark, sf_dir), sizes_from=A.raw(spark, sf_dir)
+        A.silver(spark, sf_dir), sizes=A.sizes(spark, sf_dir)
     )
     return rounded(rounded(rows, 6, "avg_price_viewed"), 4, "price_std")
 
