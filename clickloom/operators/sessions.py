@@ -64,7 +64,7 @@ def scan_sessions(
     hot_rows = df.join(hot, SESSION, "left_semi").select(*df.columns)
     chunks = range_chunks(hot_rows, [SESSION, *order])
     whole = scan_whole(cold_rows.repartition(SESSION), [SESSION])
-    return whole.unionByName(scan_chunks(chunks, [SESSION, CHUNK]))
+    return whole.unionByName(scan_chunks(chunks, [SESSION, CHUNK]).drop(CHUNK))
 
 
 def next_instant(keys: Sequence[str], micros: Column, marked: Column) -> Column:

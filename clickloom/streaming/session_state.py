@@ -86,8 +86,9 @@ class _Names:
     one is never loaded as a whole.
     """
 
-    def __init__(self, store, text: str, spilled: bool):
+    def __init__(self, store, text: str, spilled: bool, room: int):
         self.store, self.inline, self.spilled = store, json.loads(text), spilled
+        self.room = room
 
     def get(self, name: str):
         found = self.inline.get(name)
@@ -96,7 +97,7 @@ class _Names:
         return found
 
     def put(self, name: str, number: int) -> None:
-        if name in self.inline or len(self.inline) < _INLINE:
+        if name in self.inline or len(self.inline) < self.room:
             self.inline[name] = number
         else:
             self.store.updateValue((name,), (number,))
@@ -120,11 +121,12 @@ class SessionProcessor(StatefulProcessor):
     go away.
     """
 
-    def __init__(self, ttl_seconds: int, late_seconds: int, live: bool):
+    def __init__(self, ttl_seconds, late_seconds, live, inline: int = _INLINE):
         self.ttl = ttl_seconds * C.MICROS
         self.late = late_seconds * C.MICROS
         self.reason = late_reason(late_seconds)
         self.expiry = ttl_seconds * 1000 if live else None
+        self.inline = inline
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         name = T.StructType(_struct(T.StringType(), "name"))
@@ -147,12 +149,12 @@ class SessionProcessor(StatefulProcessor):
         state = tuple(self.stored.get()) if self.stored.exists() else _NEW
         self.alive, self.session, sets = state[0], list(state[1:9]), state[9:12]
         spilled = (
-            self.session[6] > _INLINE,
-            self.session[7] > _INLINE,
+            self.session[6] > self.inline,
+            self.session[7] > self.inline,
             state[12],
         )
         self.products, self.categories, self.seen = (
-            _Names(*parts) for parts in zip(self.maps, sets, spilled)
+            _Names(*parts, self.inline) for parts in zip(self.maps, sets, spilled)
         )
         self.purged = state[13]
         self._purge(now)
