@@ -54,22 +54,6 @@ def latest_states(serving: DataFrame, order: str = "arrival") -> DataFrame:
     return keep_first(serving, [F.col(order).desc()], keys=["user_session"])
 
 
-def _answer(rows, probability: Column, mode: str, reason, meta: dict | None):
-    described = meta or {}
-    return rows.select(
-        "user_session",
-        probability.cast("double").alias("purchase_probability"),
-        F.lit(described.get("horizon_minutes")).cast("int").alias(
-            "prediction_horizon_minutes"
-        ),
-        F.lit(described.get("model_uri")).cast("string").alias("model_uri"),
-        F.lit(described.get("model_version")).cast("string").alias("model_version"),
-        F.lit(mode).alias("prediction_mode"),
-        F.lit(reason).cast("string").alias("fallback_reason"),
-        F.lit(False).alias("cached"),
-    )
-
-
 def join_states(requests: DataFrame, states: DataFrame) -> DataFrame:
     """Requests with their state; ``_found`` tells whether there is one.
 
@@ -89,28 +73,41 @@ def score(
     model=None,
     meta: dict | None = None,
 ) -> DataFrame:
-    """One response per requested session.
+    """One response per requested session, in one pass over the joined rows.
 
     No state or an invalid one: 0.5, ``redis_miss``. No model: 0.5,
     ``model_unavailable``. ``model`` is any fitted Spark ML model with a
-    ``probability`` column; a request for many rows of one session is answered
-    per session.
+    ``probability`` column. Rows that get a fallback go through the model with
+    neutral inputs and their score is not used.
     """
-    joined = join_states(requests, states)
-    half = F.lit(C.FALLBACK_PROBABILITY)
-    missing = joined.filter(~F.col("_found"))
-    found = joined.filter(F.col("_found"))
-    answers = _answer(missing, half, "fallback", "redis_miss", None)
+    rows = feature_rows(join_states(requests, states))
+    usable = F.col("_found") & F.col("_valid")
     if model is None or vocabulary is None:
-        lost = _answer(found, half, "fallback", "model_unavailable", None)
-        return answers.unionByName(lost)
-    rows = feature_rows(found)
-    invalid = rows.filter(~F.col("_valid"))
-    answers = answers.unionByName(
-        _answer(invalid, half, "fallback", "redis_miss", None)
-    )
-    inputs = encode(rows.filter("_valid"), vocabulary)
-    scored = model.transform(inputs)
+        reason = F.when(F.col("_found"), "model_unavailable").otherwise("redis_miss")
+        return _respond(rows, F.lit(False), F.lit(None), reason, {})
+    neutral = rows.fillna(0.0, list(C.NUMERIC_FEATURES))
+    scored = model.transform(encode(neutral, vocabulary))
     chance = vector_to_array(F.col("probability"))[1]
-    return answers.unionByName(_answer(scored, chance, "model", None, meta))
+    return _respond(scored, usable, chance, F.lit("redis_miss"), meta or {})
+
 
+def _respond(rows, scored: Column, chance: Column, reason: Column, meta: dict):
+    """Response columns; model metadata only where the model answered."""
+
+    def fact(name: str, kind: str) -> Column:
+        return F.when(scored, F.lit(meta.get(name)).cast(kind))
+
+    answers = {
+        "purchase_probability": F.when(scored, chance.cast("double")).otherwise(
+            F.lit(C.FALLBACK_PROBABILITY)
+        ),
+        "prediction_horizon_minutes": fact("horizon_minutes", "int"),
+        "model_uri": fact("model_uri", "string"),
+        "model_version": fact("model_version", "string"),
+        "prediction_mode": F.when(scored, "model").otherwise("fallback"),
+        "fallback_reason": F.when(~scored, reason),
+        "cached": F.lit(False),
+    }
+    return rows.select(
+        "user_session", *[column.alias(name) for name, column in answers.items()]
+    )

@@ -423,6 +423,9 @@ def build() -> dict[str, str]:
         strftime(source_event_time, '%Y-%m-%dT%H:%M:%S') AS replay_time,
         'replay' AS source, {_EVENT_ID} AS event_id
       FROM bronze WHERE source_event_time IS NOT NULL AND category_id IS NOT NULL"""
+    q["replay_messages"] = q["replay_events"]
+    q["dead_letters"] = """SELECT '{broken' AS value, 'unreadable_event' AS reason,
+        count(*) AS rows FROM raw WHERE event_time = 'not a time'"""
     q["replay_rejects"] = """SELECT CASE WHEN category_id IS NULL
         THEN 'category_id is missing'
         WHEN event_type NOT IN ('view', 'cart', 'remove_from_cart', 'purchase')

@@ -166,6 +166,34 @@ def replay_rejects(spark, sf_dir):
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def replay_messages(spark, sf_dir):
+    """Replay events published as keyed messages and read back from them."""
+    sent = S.iso_text(S.parse_utc_text(F.col("event_time")))
+    events = dedup.replay_order(replay.normalise(A.raw(spark, sf_dir), sent))
+    path = scratch_path(spark, "topic")
+    sinks.publish(events, "json", path=path)
+    return streams.readable(streams.decode(spark.read.json(path, "key string, value string")))
+
+
+@query
+def dead_letters(spark, sf_dir):
+    """Raw rows as messages; those with a malformed time are cut short."""
+    whole = sinks.to_messages(A.raw(spark, sf_dir).withColumn("event_id", F.lit("e")))
+    broken = F.col("value").contains("not a time")
+    text = F.when(broken, F.lit("{broken")).otherwise(F.col("value"))
+    decoded = streams.decode(whole.select(text.alias("value")))
+    letters = streams.dead_letters(decoded)
+    return letters.groupBy("value", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def first_raw_rows(spark, sf_dir):
+    folder = A.monthly_csv(spark, sf_dir)
+    first = raw_csv.select_files(spark, folder, "all").first()["path"]
+    return raw_csv.first_rows(spark, first, 200)
+
+
 @query
 def event_times_utc(spark, sf_dir):
     text = S.iso_text_utc(S.iso_text(F.col("source_event_time")))
@@ -655,7 +683,26 @@ def _trained(spark, sf_dir):
 
 @query
 def train_report(spark, sf_dir):
-    return _trained(spark, sf_dir)[3]
+    path = scratch_path(spark, "report")
+    sinks.write_report(_trained(spark, sf_dir)[3], path)
+    return spark.read.json(path)
+
+
+@query
+def stream_scores(spark, sf_dir):
+    """The newest state of every session in a trigger is scored in the stream."""
+    model, words, _, _ = _trained(spark, sf_dir)
+    base = scratch_path(spark, "stream")
+    arrivals = _arrivals(spark, sf_dir)
+    arrivals.write.parquet(f"{base}/in")
+    source = streams.file_events(spark, f"{base}/in", arrivals.schema)
+    tracked = session_state.track_sessions(source, STREAM_TTL)
+    facts = {"horizon_minutes": A.HORIZON // 60, "model_version": "1"}
+    write = stream_sinks.score_stream(
+        training.BucketingModel(model), words, facts, f"{base}/scores"
+    )
+    stream_sinks.drain(tracked, write, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/scores")
 
 
 @query
