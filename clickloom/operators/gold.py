@@ -48,34 +48,18 @@ def _with_helpers(silver: DataFrame) -> DataFrame:
     )
 
 
-def _flag(rows: DataFrame, keys: list[str], flag: str, value: str) -> DataFrame:
-    add = scan.flag_first_chunked if CHUNK in keys else scan.flag_first
-    return add(rows, keys, _ORDER, {flag: value})
-
-
-def _count(rows: DataFrame, keys: list[str], measures) -> DataFrame:
-    add = scan.prior_sums_chunked if CHUNK in keys else scan.prior_sums
-    return add(rows, keys, _ORDER, measures)
-
-
-def _add_next_purchase(rows: DataFrame, keys: list[str]) -> DataFrame:
-    bought = F.col("event_type") == "purchase"
-    if CHUNK in keys:
-        return scan.next_instant_chunked(rows, "_us", bought, "_next")
-    return rows.withColumn("_next", scan.next_instant(keys, F.col("_us"), bought))
+def _whole_previous(rows: DataFrame, keys) -> DataFrame:
+    inside = Window.partitionBy(*keys).orderBy(*_ORDER)
+    return rows.withColumn("_previous", F.lag("_us").over(inside))
 
 
-def _add_previous(rows: DataFrame, keys: list[str]) -> DataFrame:
-    inside = Window.partitionBy(*keys).orderBy(*_ORDER)
-    local = rows.withColumn("_previous", F.lag("_us").over(inside))
-    if CHUNK not in keys:
-        return local
-    ends = rows.groupBy(SESSION, CHUNK).agg(F.max("_us").alias("_end"))
-    by_chunk = Window.partitionBy(SESSION).orderBy(CHUNK)
-    ends = ends.select(SESSION, CHUNK, F.lag("_end").over(by_chunk).alias("_before"))
-    joined = local.join(ends, [SESSION, CHUNK])
+def _chunked_previous(rows: DataFrame, chunks: DataFrame, keys) -> DataFrame:
+    ends = chunks.groupBy(*keys).agg(F.max("_us").alias("_end"))
+    in_order = Window.partitionBy(SESSION).orderBy(CHUNK)
+    ends = ends.select(*keys, F.lag("_end").over(in_order).alias("_before"))
+    joined = _whole_previous(rows, keys).join(scan.small(ends), keys)
     previous = F.coalesce("_previous", "_before")
-    return joined.select(*rows.columns, previous.alias("_previous"))
+    return joined.withColumn("_previous", previous).drop("_before")
 
 
 def snapshots(
@@ -92,30 +76,63 @@ def snapshots(
     one shuffle. The start window reuses the order the product flag needed, and
     scope is applied before the other windows run.
     """
+    bought = F.col("event_type") == "purchase"
+    in_scope = F.lit(True)
+    if cutoff is not None:
+        in_scope = F.col("_start") < F.lit(cutoff).cast("timestamp_ntz")
 
-    def run(rows, keys):
-        hot = CHUNK in keys
-        rows = _flag(rows, keys, "_new_product", "product_id")
-        rows = scan.add_session_start(rows, keys, ["product_id", *_ORDER])
-        if cutoff is not None:
-            rows = rows.filter(F.col("_start") < F.lit(cutoff).cast("timestamp_ntz"))
+    def whole(rows, keys):
+        rows = scan.flag_first(rows, keys, _ORDER, {"_new_product": "product_id"})
+        start = scan.session_start(keys, ["product_id", *_ORDER])
+        rows = rows.withColumn("_start", start).filter(in_scope)
+        if split_map is not None:
+            rows = rows.join(split_map.select(SESSION, "split"), SESSION)
+        rows = scan.flag_first(rows, keys, _ORDER, {"_new_category": "_category"})
+        rows = scan.prior_sums(rows, keys, _ORDER, _counters())
+        next_purchase = scan.next_instant(keys, F.col("_us"), bought)
+        return _finish(
+            rows.withColumn("_next", next_purchase), horizon_seconds, split_map
+        )
+
+    def chunked(chunks, keys):
+        products = scan.first_chunks(chunks, "product_id")
+        categories = scan.first_chunks(chunks, "_category")
+        offsets = _counter_offsets(chunks, products, categories)
+        edges = scan.chunk_edges(chunks, "_us", bought)
+        rows = scan.add_hot_start(chunks).filter(in_scope)
         if split_map is not None:
-            rows = _join_split(rows, split_map, hot)
-        rows = _flag(rows, keys, "_new_category", "_category")
-        rows = _count(rows, keys, _counters())
-        return _finish(_add_next_purchase(rows, keys), horizon_seconds, split_map)
+            rows = rows.join(_hot_splits(split_map, chunks), SESSION)
+        rows = rows.repartition(*keys)
+        rows = scan.flag_first(rows, keys, _ORDER, {"_new_product": "product_id"})
+        rows = scan.keep_new(rows, "_new_product", "product_id", products)
+        rows = scan.flag_first(rows, keys, _ORDER, {"_new_category": "_category"})
+        rows = scan.keep_new(rows, "_new_category", "_category", categories)
+        rows = scan.prior_sums(rows, keys, _ORDER, _counters())
+        rows = scan.add_offsets(rows, offsets, list(_counters()))
+        rows = scan.next_instant_chunked(rows, edges, "_us", bought, "_next")
+        return _finish(rows, horizon_seconds, split_map)
 
     return scan.scan_sessions(
-        _with_helpers(silver), _ORDER, run, run, limit, sizes
+        _with_helpers(silver), _ORDER, whole, chunked, limit, sizes
     )
 
 
-def _join_split(rows: DataFrame, split_map: DataFrame, hot: bool) -> DataFrame:
+def _counter_offsets(chunks, products, categories) -> DataFrame:
+    """Counters over earlier chunks; a value counts in its first chunk only."""
+    typed = {n: m for n, m in _counters().items() if not n.startswith("unique")}
+    totals = scan.small(scan.chunk_totals(chunks, typed))
+    for name, firsts in (("products", products), ("categories", categories)):
+        new = firsts.groupBy(SESSION, CHUNK).agg(
+            F.count(F.lit(1)).alias(f"unique_{name}")
+        )
+        totals = totals.join(scan.small(new), [SESSION, CHUNK], "left")
+    return scan.small(scan.chunk_offsets(totals.fillna(0), list(_counters())))
+
+
+def _hot_splits(split_map: DataFrame, chunks: DataFrame) -> DataFrame:
+    hot = scan.small(chunks.select(SESSION).distinct())
     assigned = split_map.select(SESSION, "split")
-    if hot:
-        named = rows.select(SESSION).distinct()
-        assigned = F.broadcast(assigned.join(F.broadcast(named), SESSION, "left_semi"))
-    return rows.join(assigned, SESSION)
+    return scan.small(assigned.join(hot, SESSION, "left_semi"))
 
 
 def _finish(rows: DataFrame, horizon_seconds: int, split_map) -> DataFrame:
@@ -139,12 +156,21 @@ def extended_snapshots(
 ) -> DataFrame:
     """Further features over strictly earlier rows, keyed like gold rows."""
 
-    def run(rows, keys):
-        measures = _extended_counters()
-        return _finish_extended(_add_previous(_count(rows, keys, measures), keys))
+    def whole(rows, keys):
+        rows = scan.prior_sums(rows, keys, _ORDER, _extended_counters())
+        return _finish_extended(_whole_previous(rows, keys))
+
+    def chunked(chunks, keys):
+        names = list(_extended_counters())
+        totals = scan.chunk_totals(chunks, _extended_counters())
+        offsets = scan.small(scan.chunk_offsets(totals, names))
+        rows = chunks.repartition(*keys)
+        rows = scan.prior_sums(rows, keys, _ORDER, _extended_counters())
+        rows = scan.add_offsets(rows, offsets, names)
+        return _finish_extended(_chunked_previous(rows, chunks, keys))
 
     return scan.scan_sessions(
-        _with_helpers(silver), _ORDER, run, run, limit, sizes
+        _with_helpers(silver), _ORDER, whole, chunked, limit, sizes
     )
 
 

@@ -94,11 +94,17 @@ def prior_sums(df, keys, order, measures: dict[str, Column]) -> DataFrame:
     )
 
 
-def chunk_offsets(chunks, measures: dict[str, Column]) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
+    """Store a table of one row per chunk and mark it for broadcast.
+
+    Chunks are ordered range partitions of the hot sessions, so there are at
+    most MAX_HOT_SESSIONS + partitions (session, chunk) pairs.
+    """
+    return F.broadcast(cut_lineage(df))
+
+
+def chunk_offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
     """Per (session, chunk): the sums over all earlier chunks of the session."""
-    totals = chunks.groupBy(SESSION, CHUNK).agg(
-        *[F.sum(m).alias(name) for name, m in measures.items()]
-    )
     earlier = Window.partitionBy(SESSION).orderBy(CHUNK)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
@@ -106,21 +112,24 @@ def chunk_offsets(chunks, measures: dict[str, Column]) -> DataFrame:
         CHUNK,
         *[
             F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}")
-            for name in measures
+            for name in names
         ],
     )
 
 
-def prior_sums_chunked(df, keys, order, measures: dict[str, Column]) -> DataFrame:
-    """``prior_sums`` over whole sessions for rows that are cut into chunks."""
-    local = prior_sums(df, keys, order, measures)
-    joined = local.join(chunk_offsets(df, measures), [SESSION, CHUNK])
-    return joined.select(
-        *df.columns,
-        *[(F.col(name) + F.col(f"_before_{name}")).alias(name) for name in measures],
+def chunk_totals(chunks: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    return chunks.groupBy(SESSION, CHUNK).agg(
+        *[F.sum(m).alias(name) for name, m in measures.items()]
     )
 
 
+def add_offsets(df: DataFrame, offsets: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Turn sums within a chunk into sums within the session."""
+    joined = df.join(offsets, [SESSION, CHUNK])
+    fixed = {n: F.col(n) + F.col(f"_before_{n}") for n in names}
+    return joined.withColumns(fixed).select(*df.columns)
+
+
 def flag_first(df, keys, order, values: dict[str, str]) -> DataFrame:
     """Flag (1/0) the first row of each value within the keys."""
     return df.select(
@@ -139,54 +148,56 @@ def flag_first(df, keys, order, values: dict[str, str]) -> DataFrame:
     )
 
 
-def flag_first_chunked(df, keys, order, values: dict[str, str]) -> DataFrame:
-    """``flag_first`` over whole sessions for rows that are cut into chunks.
+def first_chunks(chunks: DataFrame, value: str) -> DataFrame:
+    """The earliest chunk of every value of a session, stored."""
+    seen = chunks.groupBy(SESSION, value).agg(F.min(CHUNK).alias(CHUNK))
+    return cut_lineage(seen)
+
 
-    A row is first if it is first in its chunk and no earlier chunk of the
-    session has the value; the lookup is keyed by chunk, so it is never hot.
+def keep_new(df: DataFrame, flag: str, value: str, firsts: DataFrame) -> DataFrame:
+    """Clear the flag of values an earlier chunk of the session already has.
+
+    The lookup is keyed by chunk too, so it is never hot, and it reuses the
+    (session, chunk) partitioning of the rows.
     """
-    flagged = flag_first(df, keys, order, values)
-    for flag, value in values.items():
-        first_chunk = (
-            df.groupBy(SESSION, value)
-            .agg(F.min(CHUNK).alias(CHUNK))
-            .withColumn("_first", F.lit(1).cast("long"))
-        )
-        flagged = flagged.join(first_chunk, [SESSION, CHUNK, value], "left")
-        fixed = F.col(flag) * F.coalesce(F.col("_first"), F.lit(0))
-        flagged = flagged.withColumn(flag, fixed).drop("_first")
-    return flagged.select(*df.columns, *values)
+    known = firsts.withColumn("_first", F.lit(1).cast("long"))
+    joined = df.join(known, [SESSION, CHUNK, value], "left")
+    fixed = F.col(flag) * F.coalesce(F.col("_first"), F.lit(0))
+    return joined.withColumn(flag, fixed).select(*df.columns)
 
 
-def next_instant_chunked(df, micros: str, marked: Column, name: str) -> DataFrame:
-    """``next_instant`` over whole sessions for rows that are cut into chunks.
+def chunk_edges(chunks: DataFrame, micros: str, marked: Column) -> DataFrame:
+    """Marked instants in later chunks, one row per (session, chunk).
 
-    One instant may span chunks, so a chunk offers two candidates to earlier
-    ones: its first marked instant, and its first marked one after its start.
+    ``_inner`` serves rows before the last instant of the chunk, ``_edge`` rows
+    at it. One instant may span chunks, so a chunk offers two candidates to
+    earlier ones: its first mark, and its first mark after its start.
     """
     at = F.col(micros)
-    local = df.withColumn("_local", next_instant([SESSION, CHUNK], at, marked))
-    bounds = df.groupBy(SESSION, CHUNK).agg(
-        F.min(at).alias("_low"),
-        F.max(at).alias("_high"),
-        F.min(F.when(marked, at)).alias("_mark"),
+    bounds = small(
+        chunks.groupBy(SESSION, CHUNK).agg(
+            F.min(at).alias("_low"),
+            F.max(at).alias("_high"),
+            F.min(F.when(marked, at)).alias("_mark"),
+        )
     )
-    after_start = (
-        local.filter(F.col("_local").isNotNull())
+    later_mark = (
+        chunks.filter(marked)
+        .join(bounds, [SESSION, CHUNK])
+        .filter(at > F.col("_low"))
         .groupBy(SESSION, CHUNK)
-        .agg(F.min(F.struct(at, "_local")).getField("_local").alias("_mark_later"))
+        .agg(F.min(at).alias("_mark_later"))
     )
-    bounds = bounds.join(after_start, [SESSION, CHUNK], "left")
-
+    marks = bounds.join(small(later_mark), [SESSION, CHUNK], "left")
     behind = Window.partitionBy(SESSION).orderBy(F.col(CHUNK).desc())
     behind = behind.rowsBetween(Window.unboundedPreceding, -1)
-    inner = bounds.select(
+    inner = marks.select(
         SESSION, CHUNK, "_high", F.min("_mark").over(behind).alias("_inner")
     )
-    probes = bounds.select(
+    probes = marks.select(
         SESSION, F.col(CHUNK), F.col("_high").alias("_at"), F.lit(False).alias("_is")
     )
-    candidates = bounds.select(
+    candidates = marks.select(
         SESSION,
         F.lit(None).cast("int").alias(CHUNK),
         F.explode(F.array("_mark", "_mark_later")).alias("_at"),
@@ -198,10 +209,18 @@ def next_instant_chunked(df, micros: str, marked: Column, name: str) -> DataFram
         .filter(~F.col("_is"))
         .select(SESSION, CHUNK, "_edge")
     )
-    joined = local.join(inner, [SESSION, CHUNK]).join(edge, [SESSION, CHUNK])
+    return small(inner.join(edge, [SESSION, CHUNK]))
+
+
+def next_instant_chunked(
+    df: DataFrame, edges: DataFrame, micros: str, marked: Column, name: str
+) -> DataFrame:
+    """``next_instant`` over whole sessions for rows that are cut into chunks."""
+    at = F.col(micros)
+    local = df.withColumn("_local", next_instant([SESSION, CHUNK], at, marked))
+    joined = local.join(edges, [SESSION, CHUNK])
     beyond = F.when(at < F.col("_high"), F.col("_inner")).otherwise(F.col("_edge"))
-    found = F.coalesce(F.col("_local"), beyond)
-    return joined.select(*df.columns, found.alias(name))
+    return joined.select(*df.columns, F.coalesce("_local", beyond).alias(name))
 
 
 def add_next_instant(
@@ -217,8 +236,10 @@ def add_next_instant(
     def whole(rows, keys):
         return rows.withColumn(name, next_instant(keys, F.col(micros), marked))
 
-    def chunked(rows, keys):
-        return next_instant_chunked(rows, micros, marked, name)
+    def chunked(chunks, keys):
+        edges = chunk_edges(chunks, micros, marked)
+        rows = chunks.repartition(*keys)
+        return next_instant_chunked(rows, edges, micros, marked, name)
 
     return scan_sessions(df, [micros], whole, chunked, limit, sizes).select(
         *df.columns, name
@@ -234,26 +255,23 @@ def session_index(df: DataFrame) -> DataFrame:
     )
 
 
-def add_session_start(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
-) -> DataFrame:
-    """Add the first event time of the row's session.
+def session_start(keys: Sequence[str], order: Sequence[str] = ()) -> Column:
+    """First event time of the session.
 
     ``order`` may name the sort another window needs anyway; the frame is the
-    whole session, so it changes nothing but saves a sort. For chunked rows the starts come from an aggregate of the hot sessions,
-    whose number is bounded by MAX_HOT_SESSIONS.
+    whole session, so it changes nothing but saves a sort.
     """
-    time = F.min("source_event_time")
-    if CHUNK not in keys:
-        window = Window.partitionBy(*keys)
-        if order:
-            window = window.orderBy(*order)
-        window = window.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-        return rows.withColumn("_start", time.over(window))
-    starts = rows.groupBy(SESSION).agg(time.alias("_start"))
-    return rows.join(F.broadcast(starts), SESSION)
+    window = Window.partitionBy(*keys)
+    if order:
+        window = window.orderBy(*order)
+    window = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return F.min("source_event_time").over(window)
+
+
+def add_hot_start(chunks: DataFrame) -> DataFrame:
+    """Add ``_start`` to rows of hot sessions, of which there are few."""
+    starts = chunks.groupBy(SESSION).agg(F.min("source_event_time").alias("_start"))
+    return chunks.join(small(starts), SESSION)
 
 
 def in_scope(
@@ -263,10 +281,13 @@ def in_scope(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Keep whole sessions whose first event is before the cutoff."""
-    bound = F.lit(cutoff).cast("timestamp_ntz")
+    early = F.col("_start") < F.lit(cutoff).cast("timestamp_ntz")
+
+    def whole(rows, keys):
+        return rows.withColumn("_start", session_start(keys)).filter(early)
 
-    def scan(rows, keys):
-        return add_session_start(rows, keys).filter(F.col("_start") < bound)
+    def chunked(chunks, keys):
+        return add_hot_start(chunks).filter(early)
 
-    kept = scan_sessions(df, ["source_event_time"], scan, scan, limit, sizes)
+    kept = scan_sessions(df, ["source_event_time"], whole, chunked, limit, sizes)
     return kept.select(*df.columns)

@@ -12,6 +12,10 @@ ROCKSDB = (
 )
 
 
+# Lookups by (session, chunk, value) reuse the (session, chunk) partitioning.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
 def build_session(
     app: str = "clickloom",
     master: str | None = None,
@@ -26,6 +30,7 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        CO_PARTITION: "false",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     }
     if shuffle_partitions:
@@ -39,6 +44,7 @@ def build_session(
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(CO_PARTITION, "false")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
