@@ -34,7 +34,10 @@ def _ratio(top, bottom, empty: float):
 
 
 def curve_steps(
-    counts: DataFrame, keys: Sequence[str] = (), limit: int = TASK_ROWS
+    counts: DataFrame,
+    keys: Sequence[str] = (),
+    limit: int = TASK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per distinct score: hits and rows at or above it, P, R and F1.
 
@@ -47,6 +50,7 @@ def curve_steps(
         [F.col("score").desc()],
         {"hits": "positives", "taken": "rows"},
         limit,
+        largest,
     )
     total = F.col("hits_total")
     before_hits = F.col("hits") - F.col("positives")
@@ -94,12 +98,13 @@ def metrics_from_counts(
     keys: Sequence[str] = (),
     threshold: float | None = None,
     limit: int = TASK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """PR-AUC, average precision and the confusion matrix at a threshold.
 
     Without a threshold the F1-optimal one is used, the lowest on a tie.
     """
-    steps = curve_steps(counts, keys, limit)
+    steps = curve_steps(counts, keys, limit, largest)
     gain = F.col("recall") - F.col("recall_before")
     mean_precision = (F.col("precision") + F.col("precision_before")) / 2
     best = F.max(F.struct("f1", (-F.col("score")).alias("s"), "hits", "taken"))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom.functions import scalars as S
 from clickloom.operators import evaluation as E
-from clickloom.operators.ordered import TASK_ROWS, exact_quantiles
+from clickloom.operators.ordered import TASK_ROWS, exact_quantiles, largest_group
 from clickloom.operators.profile import bin_of
 from clickloom.operators.sessions import SESSION, SESSION_ROWS, add_next_instant
+from clickloom.session import cut_lineage
 
 # Bins, floor and alert bands of the drift report.
 DRIFT_BINS = 10
@@ -168,7 +169,8 @@ def _day_windows(hour: str):
 def online_metrics(labelled: DataFrame, limit: int = TASK_ROWS) -> DataFrame:
     """24-hour metrics every hour and evaluation mode, fallback rows excluded.
 
-    Rows collapse to (mode, hour, score) before they fan out into windows.
+    Rows collapse to (mode, hour, score) before they fan out into windows. No
+    window holds more than 24 times the scores of the busiest hour.
     """
     model = labelled.filter(
         (F.col("prediction_mode") == "model") & F.col("actual_purchase").isNotNull()
@@ -181,13 +183,15 @@ def online_metrics(labelled: DataFrame, limit: int = TASK_ROWS) -> DataFrame:
         F.sum(F.col("actual_purchase").cast("long")).alias("positives"),
         F.count(F.lit(1)).alias("rows"),
     )
+    hourly = cut_lineage(hourly)
+    largest = 24 * largest_group(hourly, ["evaluation_mode", "_hour"])
     windowed = (
         hourly.withColumn("window_start", _day_windows("_hour"))
         .groupBy("evaluation_mode", "window_start", "score")
         .agg(F.sum("positives").alias("positives"), F.sum("rows").alias("rows"))
     )
     keys = ["evaluation_mode", "window_start"]
-    return E.metrics_from_counts(windowed, keys, 0.5, limit)
+    return E.metrics_from_counts(windowed, keys, 0.5, limit, largest)
 
 
 def coverage(labelled: DataFrame) -> DataFrame:

@@ -40,14 +40,19 @@ def running_sums(
     order: Sequence,
     sums: dict[str, str],
     limit: int = TASK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of columns, and their totals, per key.
 
     ``sums`` maps a new column to the summed one; ``<new>_total`` is the sum
     over the whole key. Keys must not be NULL; ``order`` should be total.
+    ``largest`` is a proven bound of the rows of one key; without it the rows
+    are stored and counted.
     """
-    stored = cut_lineage(df)
     keys = list(keys)
+    if largest is not None and largest <= limit:
+        return _plain_sums(df, keys, order, sums)
+    stored = cut_lineage(df)
     if largest_group(stored, keys) <= limit:
         return _plain_sums(stored, keys, order, sums)
     return _chunked_sums(stored, keys, order, sums)

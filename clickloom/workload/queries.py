@@ -25,7 +25,7 @@ from clickloom.operators import (
 )
 from clickloom.operators.ordered import dense_index
 from clickloom.plans import lake, scoring, training
-from clickloom.session import scratch_path
+from clickloom.session import cut_lineage, scratch_path
 from clickloom.sinks import tables as sinks
 from clickloom.sources import raw_csv, streams
 from clickloom.sources import tables as sources
@@ -271,7 +271,7 @@ def events_in_scope(spark, sf_dir):
 
 @query
 def split_coverage(spark, sf_dir):
-    silver = A.silver(spark, sf_dir)
+    silver = cut_lineage(A.silver(spark, sf_dir))
     index = sessions.session_index(silver)
     return gold.uncovered_sessions(index, splits.split_sessions(silver, A.CUTOFF))
 
@@ -287,7 +287,8 @@ def gold_short_horizon(spark, sf_dir):
 
 
 def _gold_with_split(spark, sf_dir):
-    silver = A.silver(spark, sf_dir)
+    """Silver is a stored layer: it is read for the index, the map and gold."""
+    silver = cut_lineage(A.silver(spark, sf_dir))
     split_map = splits.split_sessions(silver, A.CUTOFF)
     return gold.gold(silver, split_map, A.HORIZON, A.CUTOFF)
 
@@ -310,6 +311,7 @@ def retrain_gold(spark, sf_dir):
     log = A.silver(spark, sf_dir).withColumn(
         "source_event_time", S.iso_text(F.col("source_event_time"))
     )
+    log = cut_lineage(log)
     rows, _ = lake.retrain_gold(log, RETRAIN_AS_OF, horizon_seconds=A.HORIZON)
     return rows
 
@@ -330,7 +332,7 @@ def vocabulary(spark, sf_dir):
 
 @query
 def encoded_features(spark, sf_dir):
-    rows = _gold_with_split(spark, sf_dir)
+    rows = cut_lineage(_gold_with_split(spark, sf_dir))
     words = encoding.fit_vocabulary(rows.filter(F.col("split") == "train"))
     return encoding.encode(encoding.model_frame(rows, "split"), words)
 
@@ -534,16 +536,13 @@ def price_box(spark, sf_dir):
 @query
 def drift(spark, sf_dir):
     """Gold rows of sessions that start in the first half against the rest."""
-    rows = A.snapshots(spark, sf_dir)
-    starts = sessions.session_index(A.silver(spark, sf_dir))
-    span = starts.agg(
-        F.min("session_start_time").alias("a"), F.max("session_start_time").alias("b")
-    ).first()
-    middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2).cast("timestamp_ntz")
+    rows = cut_lineage(A.snapshots(spark, sf_dir))
     began = F.timestamp_micros(
         S.epoch_micros(F.col("source_event_time"))
         - F.round(F.col("session_duration_sec") * 1e6).cast("long")
     ).cast("timestamp_ntz")
+    span = rows.agg(F.min(began).alias("a"), F.max(began).alias("b")).first()
+    middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2).cast("timestamp_ntz")
     features = ["cart_to_view_ratio", "session_duration_sec"]
     shifts = monitoring.drift(
         rows.filter(began < middle), rows.filter(began >= middle), features
@@ -552,9 +551,8 @@ def drift(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return monitoring.label_outcomes(
-        A.predictions(spark, sf_dir), A.replayed(spark, sf_dir), A.HORIZON
-    )
+    log = cut_lineage(A.predictions(spark, sf_dir))
+    return monitoring.label_outcomes(log, A.replayed(spark, sf_dir), A.HORIZON)
 
 
 @query
