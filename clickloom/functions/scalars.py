@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 
+# The raw time text and the form of a session id.
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SESSION_ID_PATTERN = r"\A[A-Za-z0-9][A-Za-z0-9_.-]*\z"
 

@@ -21,8 +21,10 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", "length", F.unix_micros("modificationTime").alias("modified"))
     )
-    root = F.lit(path.rstrip("/") + "/")
-    inner = F.element_at(F.split("path", root, 2), -1)
+    root = path.rstrip("/") + "/"
+    start = F.instr("path", root)
+    below = F.substr(F.col("path"), start + F.lit(len(root)))
+    inner = F.when(start > 0, below).otherwise(F.col("path"))
     line = F.concat_ws("|", inner, F.col("length"), F.col("modified"))
     lines = F.sort_array(F.collect_list(F.concat(line, F.lit("\n"))))
     return files.agg(

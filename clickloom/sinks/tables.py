@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom import schemas
+from clickloom.functions import scalars as S
 from clickloom.operators.cleaning import observed
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
@@ -60,8 +61,12 @@ def write_slices(df: DataFrame, label: str, path: str) -> None:
 
 
 def to_messages(events: DataFrame, key: str = "user_session") -> DataFrame:
-    """Key and JSON value of every event; NULL fields stay in the JSON."""
-    value = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
+    """Key and JSON value of every event; NULL fields stay, times are ISO text."""
+    fields = [
+        S.iso_text(F.col(name)).alias(name) if kind == "timestamp_ntz" else F.col(name)
+        for name, kind in events.dtypes
+    ]
+    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return events.select(F.col(key).alias("key"), value.alias("value"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from clickloom import schemas
 
 # Rows of one trigger are bounded, and with them what one key gets at a time.
-OFFSETS_PER_TRIGGER = 5_000_000
+OFFSETS_PER_TRIGGER = 2_000_000
 FILES_PER_TRIGGER = 64
 
 

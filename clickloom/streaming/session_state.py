@@ -72,6 +72,7 @@ _INLINE = 500
 
 
 def late_reason(seconds: int) -> str:
+    # Fixed value: the text consumers of the late topic match on.
     return f"older_than_last_event_time_by_more_than_{seconds}s"
 
 

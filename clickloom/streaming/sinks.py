@@ -45,7 +45,7 @@ def append_new(events: DataFrame, path: str) -> None:
         span = days.first()
         if span["a"] is None:
             return
-        log = spark.read.parquet(path)
+        log = spark.read.schema("event_id string, event_date date").parquet(path)
         log = log.filter(F.col("event_date").between(span["a"], span["b"]))
         dated = dated.join(log.select("event_id"), "event_id", "left_anti")
     stamped = dated.withColumn("created_at", F.current_timestamp())

@@ -114,6 +114,19 @@ def test_first_rows_follow_the_file(spark, tmp_path):
     assert [r["product_id"] for r in head] == [f"p{i}" for i in range(7)]
 
 
+def test_bronze_without_order_columns_uses_its_stored_order(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    line = "2019-10-01 10:00:00 UTC,view,p1,c1,u1,s1,,{brand},1.5"
+    lines = [line.format(brand=brand) for brand in ("early", "late", "last")]
+    (raw / "2019-Oct.csv").write_text("\n".join([HEADER, *lines]))
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    lake.ingest(spark, str(raw), bronze, keep_order=False)
+    assert sources.read_table(spark, bronze).columns == schemas.BRONZE.names
+    lake.refine(spark, bronze, silver)
+    assert [r["brand"] for r in sources.read_table(spark, silver).collect()] == ["early"]
+
+
 def test_raw_to_silver_keeps_the_first_copy(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()

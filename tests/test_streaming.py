@@ -252,6 +252,7 @@ def test_keyed_messages(spark, tmp_path):
     assert batch_sinks.publish(frame, "json", path=path) == 2
     rows = spark.read.json(path).collect()
     assert {r["key"] for r in rows} == {"s1", "s2"} and '"brand":null' in rows[0]["value"]
+    assert any('"source_event_time":"2019-10-01T00:00:01"' in r["value"] for r in rows)
 
 
 def test_repeats_within_the_watermark(spark, tmp_path):
