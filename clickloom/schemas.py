@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom import constants as C
-
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
@@ -76,18 +74,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def conform_lenient(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Like ``conform`` but a value that does not cast becomes NULL."""
-    return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
-    )
-
-
 def require_columns(df: DataFrame, names) -> None:
     for name in names:
         if name not in df.columns:
             raise ValueError(f"missing: {name}")
-
-
-EVENT_COLUMNS = tuple(f.name for f in SILVER)
-assert set(C.EVENT_KEY) <= set(EVENT_COLUMNS)

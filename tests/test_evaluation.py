@@ -46,6 +46,7 @@ def test_random_scores_equal_the_definition(spark, limit):
     assert row["pr_auc"] == pytest.approx(area)
     assert row["average_precision"] == pytest.approx(average)
     assert row["threshold"] == best
+    assert E.best_threshold(frame, ["model"]).first()["threshold"] == best
     curve = E.pr_curve(frame, ["model"], limit=limit).collect()
     found = {r["threshold"]: (r["precision"], r["recall"]) for r in curve}
     assert found.pop(None) == (1.0, 0.0)

@@ -87,6 +87,23 @@ def test_ordinary_sessions_cost_one_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 4
 
 
+def test_a_large_split_map_does_not_move_the_rows_again(spark, tmp_path):
+    frame = silver(spark, random_events(1))
+    frame.write.parquet(f"{tmp_path}/silver")
+    splits.split_sessions(frame, None).write.parquet(f"{tmp_path}/map")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = gold.snapshots(
+            spark.read.parquet(f"{tmp_path}/silver"),
+            split_map=spark.read.parquet(f"{tmp_path}/map"),
+        )
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 2
+
+
 def test_hot_sessions_are_few(spark, monkeypatch):
     monkeypatch.setattr(sessions, "MAX_HOT_SESSIONS", 4)
     frame = silver(spark, [event(f"s{i % 20}", i) for i in range(200)])
