@@ -440,7 +440,7 @@ def build() -> dict[str, str]:
     q["session_id_check"] = """SELECT regexp_full_match(user_session,
         '[A-Za-z0-9][A-Za-z0-9_.-]*') AS valid, count(*) AS rows
       FROM raw GROUP BY 1"""
-    q["time_slices"] = """SELECT CASE
+    weeks = """CASE
         WHEN source_event_time >= TIMESTAMP '2024-01-01'
           AND source_event_time < TIMESTAMP '2024-01-08' THEN 'week1'
         WHEN source_event_time >= TIMESTAMP '2024-01-08'
@@ -448,9 +448,10 @@ def build() -> dict[str, str]:
         WHEN source_event_time >= TIMESTAMP '2024-01-15'
           AND source_event_time < TIMESTAMP '2024-01-22' THEN 'week3'
         WHEN source_event_time >= TIMESTAMP '2024-01-22'
-          AND source_event_time < TIMESTAMP '2024-02-01' THEN 'week4' END AS slice,
-        count(*) AS rows, count(DISTINCT user_session) AS sessions
-      FROM silver GROUP BY 1"""
+          AND source_event_time < TIMESTAMP '2024-02-01' THEN 'week4' END AS slice"""
+    q["time_slices"] = f"""SELECT {weeks}, count(*) AS rows,
+        count(DISTINCT user_session) AS sessions FROM silver GROUP BY 1"""
+    q["time_slice_csv"] = f"SELECT {_EVENT}, {weeks} FROM silver"
     q["exploration_fill"] = """SELECT coalesce(category_code, 'Unknown')
         AS category_code, coalesce(brand, 'Unknown') AS brand, count(*) AS rows
       FROM raw WHERE user_session IS NOT NULL GROUP BY 1, 2"""

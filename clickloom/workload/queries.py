@@ -221,7 +221,7 @@ def time_slice_csv(spark, sf_dir):
     label = S.slice_label(F.col("source_event_time"), SLICES)
     path = scratch_path(spark, "slices")
     sinks.write_slices(A.silver(spark, sf_dir).withColumn("slice", label), "slice", path)
-    return spark.read.option("header", True).csv(path)
+    return spark.read.schema(schemas.SILVER).option("header", True).csv(path)
 
 
 @query
