@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import fingerprint, packing, sharding, simhash
+from clickloom.llm import fingerprint, packing, sharding, simhash, substring
 from clickloom.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def op5_ball_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(documents(spark, sf_dir))
+
+
 def op8_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, sf_dir), words)
@@ -29,6 +33,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_scaled_sketch": op1_scaled_sketch,
     "op5_ball_hashing": op5_ball_hashing,
+    "op7_super_kmers": op7_super_kmers,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op10_virtual_slots": op10_virtual_slots,
 }
