@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import fingerprint, packing, sharding, simhash, substring
+from clickloom.llm import bpe, fingerprint, packing, sharding, simhash, substring
 from clickloom.llm.common import documents
 
 
@@ -13,6 +13,11 @@ def op1_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op2_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 def op5_ball_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -32,6 +37,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_scaled_sketch": op1_scaled_sketch,
+    "op2_merge_replay": op2_merge_replay,
     "op5_ball_hashing": op5_ball_hashing,
     "op7_super_kmers": op7_super_kmers,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
