@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, fingerprint, packing, sharding, simhash, substring
-from clickloom.llm.common import documents
+from clickloom.llm import bpe, fingerprint, packing, quality, sharding
+from clickloom.llm import simhash, substring
+from clickloom.llm.common import documents, labels
 
 
 def op1_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,11 @@ def op2_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, quality.fit(docs, labels(spark, sf_dir)))
+
+
 def op5_ball_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -38,6 +44,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_scaled_sketch": op1_scaled_sketch,
     "op2_merge_replay": op2_merge_replay,
+    "op4_decision_list": op4_decision_list,
     "op5_ball_hashing": op5_ball_hashing,
     "op7_super_kmers": op7_super_kmers,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
