@@ -27,13 +27,25 @@ SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
 )
+_TAIL = ".,:;!?%$&*#|"
+_LATIN = "\u024f"
 _BLANKS = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
     """Ids of a vocabulary file whose pattern never crosses white space.
 
-    Words between ASCII blanks are encoded once and remembered.
+    Words between ASCII blanks are encoded once and remembered. Of a word of
+    Latin letters with punctuation behind, both parts are looked up apart: the
+    vocabulary's pattern parts them, and such letters are their own normal form
+    but for case.
     """
 
     def __init__(self, path: str, memo: int = MEMO_WORDS):
@@ -41,16 +53,41 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo = Memo(memo)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.memo, self.parts = Memo(memo), Memo(memo)
+
+    def _slow(self, word: str) -> bytes:
+        found = self.tokenizer.encode(word, add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
+
+    def _latin(self, core: str) -> bytes:
+        letters = core.encode().decode("latin1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+
+    def _part(self, part: str, make) -> bytes:
+        found = self.parts.young.get(part) or self.parts.old.get(part)
+        if found is None:
+            found = make(part)
+            self.parts.put(part, found)
+        return found
+
+    def _word(self, word: str) -> bytes:
+        core = word.rstrip(_TAIL)
+        lower = core.lower()
+        if not core or max(core) > _LATIN or not (core.isalpha() and lower.isalpha()):
+            return self._slow(word)
+        packed = self._part(lower, self._latin)
+        if len(core) < len(word):
+            packed += self._part(word[len(core) :], self._slow)
+        return packed
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.translate(_BLANKS).split(" ") for text in texts]
         words = set().union(*split)
         words.discard("")
         known, unknown = self.memo.find(words)
-        found = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        for word, encoding in zip(unknown, found):
-            known[word] = packed = np.array(encoding.ids, "<u4").tobytes()
+        for word in unknown:
+            known[word] = packed = self._word(word)
             self.memo.put(word, packed)
         known[""] = b""
         get = known.__getitem__
