@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import bpe, fingerprint, packing, quality, sharding
-from clickloom.llm import simhash, substring
+from clickloom.llm import simhash, substring, toxicity
 from clickloom.llm.common import documents, labels
 
 
@@ -28,6 +28,11 @@ def op5_ball_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.fit(docs, labels(spark, sf_dir)))
+
+
 def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(documents(spark, sf_dir))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_merge_replay": op2_merge_replay,
     "op4_decision_list": op4_decision_list,
     "op5_ball_hashing": op5_ball_hashing,
+    "op6_weak_supervision": op6_weak_supervision,
     "op7_super_kmers": op7_super_kmers,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op10_virtual_slots": op10_virtual_slots,
