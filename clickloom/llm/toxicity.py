@@ -24,8 +24,10 @@ from clickloom.llm.common import Memo, fold, keyed_texts, map_batches
 FOLDS = 5
 LABELLED_ROWS = 10_000  # documented bounds of the rows a model is fitted on
 OTHER_ROWS = 2_000
-FEATURES = 1_000
-VOTERS = 400
+FEATURES = 500
+FEATURE_ODDS = 0.5
+VOTERS = 300
+VOTER_ODDS = 1.0
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6)
 MEMO_WORDS = 200_000
@@ -109,21 +111,21 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> np.nda
     return posterior
 
 
-def train_linear(x: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by gradient steps with momentum."""
-    x = x.astype(np.float32)
-    n = max(len(x), 1)
+def train_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.25) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by Newton steps."""
+    x = np.c_[x, np.ones(len(x))].astype(np.float32)
     prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
-    weights, bias = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
-    speed_w, speed_b = np.zeros_like(weights), 0.0
-    width = max(float((x.sum(1) ** 2).mean() / max(x.sum(1).mean(), 1)), 1.0)
-    rate = 4.0 / (1 + width)
-    for _ in range(steps):
-        error = _sigmoid(x @ weights + bias) - y
-        speed_w = 0.9 * speed_w - rate * (x.T @ error / n + 1e-5 * weights)
-        speed_b = 0.9 * speed_b - rate * float(error.mean())
-        weights, bias = weights + speed_w, bias + speed_b
-    return weights, bias
+    weights = np.r_[np.zeros(x.shape[1] - 1), np.log(prior / (1 - prior))]
+    pull = np.r_[np.full(x.shape[1] - 1, ridge), 1e-3]
+    for _ in range(25):
+        p = _sigmoid(x @ weights)
+        slope = x.T @ (p - y) + pull * weights
+        curve = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x
+        step = np.linalg.solve(curve + np.diag(pull), slope)
+        weights = weights - step / max(1.0, np.abs(step).max() / 2)
+        if np.abs(step).max() < 1e-3:
+            break
+    return weights[:-1], float(weights[-1])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -176,18 +178,20 @@ def feature_counts(rows: DataFrame) -> DataFrame:
 
 
 def choose_features(counts: DataFrame, toxic: int, clean: int) -> list[tuple]:
-    """At most ``FEATURES`` features, by the z-value of their log odds."""
+    """(feature, surely): at most ``FEATURES``, by the lower end of the 95%
+    interval of the log odds of toxic against clean documents."""
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log(
         (F.col("clean") + 0.5) / (clean + 1)
     )
     width = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     ranked = (
         counts.filter(F.col("toxic") + F.col("clean") >= LEAST_DOCUMENTS)
-        .select("feature", odds.alias("odds"), (odds / width).alias("z"))
-        .orderBy(F.abs("z").desc(), "feature")
+        .select("feature", (odds - 1.96 * width).alias("surely"))
+        .filter(F.col("surely") > FEATURE_ODDS)
+        .orderBy(F.col("surely").desc(), "feature")
         .limit(FEATURES)
     )
-    return [(r["feature"], r["odds"], r["z"]) for r in ranked.collect()]
+    return [(r["feature"], r["surely"]) for r in ranked.collect()]
 
 
 def occurrences(rows: DataFrame, features: list[str]) -> DataFrame:
@@ -220,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not toxic or not clean:
         return Model()
     chosen = choose_features(feature_counts(rows), toxic, clean)
-    names = [f for f, *_ in chosen]
+    names = [f for f, _ in chosen]
     names += sorted({f"={w}" for w in LEXICON} - set(names))
     found = occurrences(rows, names).collect()
     found.sort(key=lambda r: (r["gold"], r["found"]))
@@ -228,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     for i, row in enumerate(found):
         table[i, row["found"]] = 1
     gold = np.array([r["gold"] for r in found])
-    speak = [i for i, (_, odds, z) in enumerate(chosen) if odds > 1.5 and z > 2]
+    speak = [i for i, (_, surely) in enumerate(chosen) if surely > VOTER_ODDS]
     voters = [*speak[:VOTERS], *range(len(chosen), table.shape[1])]
     posterior = label_model(table[:, voters], gold)
     weights, bias = train_linear(table[:, : len(names)], posterior)
