@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, fingerprint, packing, quality, sharding
+from clickloom.llm import bpe, fingerprint, lm, packing, quality, sharding
 from clickloom.llm import simhash, substring, toxicity
 from clickloom.llm.common import documents, labels
 
@@ -42,6 +42,10 @@ def op8_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), words)
 
 
+def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op6_weak_supervision": op6_weak_supervision,
     "op7_super_kmers": op7_super_kmers,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
+    "op9_log_bilinear": op9_log_bilinear,
     "op10_virtual_slots": op10_virtual_slots,
 }
 
