@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import bpe, fingerprint, lm, packing, quality, sharding
-from clickloom.llm import simhash, substring, toxicity
+from clickloom.llm import simhash, substring, toxicity, warc
 from clickloom.llm.common import documents, labels
 
 
@@ -19,6 +19,10 @@ def op2_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op3_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.judge(docs, quality.fit(docs, labels(spark, sf_dir)))
@@ -53,6 +57,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_scaled_sketch": op1_scaled_sketch,
     "op2_merge_replay": op2_merge_replay,
+    "op3_indexed_warc": op3_indexed_warc,
     "op4_decision_list": op4_decision_list,
     "op5_ball_hashing": op5_ball_hashing,
     "op6_weak_supervision": op6_weak_supervision,
