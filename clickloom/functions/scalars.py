@@ -9,6 +9,10 @@ from clickloom import constants as C
 
 # The raw time text and the form of a session id.
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ISO_TIME_PATTERN = (
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
+    r" ?(Z|UTC|[+-]\d{2}(:?\d{2})?)?$"
+)
 SESSION_ID_PATTERN = r"\A[A-Za-z0-9][A-Za-z0-9_.-]*\z"
 
 
@@ -35,8 +39,12 @@ def iso_text(time: Column) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO text with ``Z``, an offset or no zone (read as UTC) to UTC time."""
-    return text.try_cast("timestamp").cast("timestamp_ntz")
+    """ISO text with ``Z``, an offset or no zone (read as UTC) to UTC time.
+
+    Text without a whole date and a time of day is no time.
+    """
+    whole = F.when(text.rlike(ISO_TIME_PATTERN), text)
+    return whole.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def iso_text_utc(text: Column) -> Column:

@@ -79,19 +79,35 @@ def super_kmers(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return packed, np.stack([c.astype(np.uint64) for c in columns], 1)
 
 
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Differences of a column, their first bytes first: small when packed."""
+    steps = np.diff(values.astype("<i8"), prepend=0).astype(kind)
+    return steps.view(np.uint8).reshape(-1, steps.itemsize).T.tobytes()
+
+
+def _column(body: bytes, at: int, n: int, kind: str) -> tuple[np.ndarray, int]:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(body, np.uint8, n * width, at).reshape(width, n)
+    steps = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(steps, dtype=np.int64), at + n * width
+
+
 def _blob(head: np.ndarray, ids: np.ndarray, packed: list[bytes]) -> bytes:
     """head: (row of ids, first window, windows) per string."""
-    body = head.astype("<u4").tobytes() + ids.astype("<i8").tobytes()
-    body = struct.pack("<II", len(head), len(ids)) + body + b"\n".join(packed)
-    return zstandard.ZstdCompressor(level=3).compress(body)
+    body = struct.pack("<II", len(head), len(ids))
+    body += b"".join(_planes(head[:, k], "<i4") for k in range(3))
+    body += b"".join(_planes(ids[:, k], "<i8") for k in range(2))
+    return zstandard.ZstdCompressor(level=6).compress(body + b"\n".join(packed))
 
 
 def _open(blob: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     body = zstandard.ZstdDecompressor().decompress(blob)
-    n, m = struct.unpack_from("<II", body)
-    head = np.frombuffer(body, "<u4", 3 * n, 8).reshape(n, 3).astype(np.int64)
-    ids = np.frombuffer(body, "<i8", 2 * m, 8 + 12 * n).reshape(m, 2)
-    return head, ids, body[8 + 12 * n + 16 * m :]
+    (n, m), at = struct.unpack_from("<II", body), 8
+    columns = []
+    for size, kind in ((n, "<i4"),) * 3 + ((m, "<i8"),) * 2:
+        column, at = _column(body, at, size, kind)
+        columns.append(column)
+    return np.stack(columns[:3], 1), np.stack(columns[3:], 1), body[at:]
 
 
 def packed_windows(texts: DataFrame, buckets: int) -> DataFrame:
@@ -114,7 +130,7 @@ def packed_windows(texts: DataFrame, buckets: int) -> DataFrame:
             for i, (s, t) in enumerate(zip(packed, keys[text, 0].tolist())):
                 covered[i] = least.setdefault(s, t) < t
             bucket = (found[:, 3] % np.uint64(buckets)).astype(np.int64)
-            spread = keys[text, 1] % buckets
+            spread = keys[text, 0] % buckets
             bucket = np.where(covered, spread, bucket) * 2 + covered
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -175,7 +191,10 @@ def repeated_ranges(packed: DataFrame) -> DataFrame:
             keys = np.array([rows[i] for i in row.tolist()], np.int64).reshape(-1, 2)
             start = code[first] & 0xFFFFFFFF
             return pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (keys[:, 0], keys[:, 1], start, n)],
+                [
+                    pa.array(keys[:, 0]),
+                    *(pa.array(x.astype(np.int32)) for x in (keys[:, 1], start, n)),
+                ],
                 ["doc_id", "hash", "start", "n"],
             )
 
@@ -212,7 +231,7 @@ def repeated_ranges(packed: DataFrame) -> DataFrame:
                     yield ranges(out)
 
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, task, "doc_id long, hash long, start long, n long")
+    return map_batches(dealt, task, "doc_id long, hash int, start int, n int")
 
 
 def bucket_count(texts: DataFrame) -> int:
@@ -229,12 +248,13 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     kept words, joined by one space, or the input itself if nothing went.
 
     Null texts have no words. Rows with a null id lose nothing and take nothing
-    from others; rows of equal id take nothing from each other; repeated rows
+    from others; rows of equal id take nothing from each other
+    (sixteen bits of a hash tell their texts apart); repeated rows
     come back as often as they came; an empty table gives no rows; columns that
     are neither named nor carried are ignored.
     """
     kept = keyed_texts(docs, *(F.col(c).alias(f"carry_{c}") for c in carry)).withColumn(
-        "hash", F.xxhash64("text")
+        "hash", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int")
     )
     texts = kept.filter("doc_id IS NOT NULL").select(
         "doc_id", "hash", F.col("text").cast("binary").alias("text")

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom import schemas
-from clickloom.operators.lookup import BROADCAST_ROWS, SALTS, at_most, left_lookup
+from clickloom.operators.lookup import (
+    BROADCAST_ROWS,
+    ROWS_PER_SALT,
+    at_most,
+    left_lookup,
+)
 from clickloom.operators.ordered import TASK_ROWS, dense_index
 
 _TOKENS = (C.MISSING_TOKEN, C.UNKNOWN_TOKEN)
@@ -70,7 +75,7 @@ def encode(
     vocabulary: DataFrame,
     columns=C.CATEGORICAL_FEATURES,
     limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """NULL to the missing token, unseen to the unknown one; adds codes."""
     small = at_most(vocabulary, limit)
@@ -79,7 +84,7 @@ def encode(
             F.col("value").alias(name), F.col("code").alias(f"{name}_code")
         )
         filled = df.withColumn(name, F.coalesce(name, F.lit(C.MISSING_TOKEN)))
-        df = left_lookup(filled, known, [name], small, salts=salts)
+        df = left_lookup(filled, known, [name], small, rows_per_salt=rows_per_salt)
         unseen = F.col(f"{name}_code").isNull()
         df = df.withColumn(
             name, F.when(unseen, C.UNKNOWN_TOKEN).otherwise(F.col(name))

@@ -26,15 +26,16 @@ def _counters() -> dict[str, Column]:
 
 
 def _extended_counters() -> dict[str, Column]:
-    """Prices are summed as decimals, so any order gives the same sum."""
-    price = F.col("price").cast("decimal(18,4)")
+    """Prices are summed from the session's least one, which keeps the variance
+    from cancelling; they stay doubles of any size."""
+    above = F.col("price") - F.col("_least_price")
     viewed = (F.col("event_type") == "view") & F.col("price").isNotNull()
     return {
         "total_carts": S.is_type("cart"),
         "total_removes": S.is_type("remove_from_cart"),
         "_viewed": viewed.cast("long"),
-        "_spent": F.when(viewed, price),
-        "_squared": F.when(viewed, (price * price).cast("decimal(28,8)")),
+        "_spent": F.when(viewed, above),
+        "_squared": F.when(viewed, above * above),
         "_branded": F.col("brand").isNotNull().cast("long"),
     }
 
@@ -157,10 +158,14 @@ def extended_snapshots(
     """Further features over strictly earlier rows, keyed like gold rows."""
 
     def whole(rows, keys):
+        least = F.min("price").over(Window.partitionBy(*keys))
+        rows = rows.withColumn("_least_price", least)
         rows = scan.prior_sums(rows, keys, _ORDER, _extended_counters())
         return _finish_extended(_whole_previous(rows, keys))
 
     def chunked(chunks, keys):
+        least = chunks.groupBy(SESSION).agg(F.min("price").alias("_least_price"))
+        chunks = chunks.join(scan.small(least), SESSION)
         names = list(_extended_counters())
         totals = scan.chunk_totals(chunks, _extended_counters())
         offsets = scan.small(scan.chunk_offsets(totals, names))
@@ -177,8 +182,9 @@ def extended_snapshots(
 def _finish_extended(rows: DataFrame) -> DataFrame:
     carts, removes = F.col("total_carts"), F.col("total_removes")
     viewed = F.when(F.col("_viewed") > 0, F.col("_viewed"))
-    mean = F.col("_spent").cast("double") / viewed
-    spread = F.col("_squared").cast("double") / viewed - mean * mean
+    above = F.col("_spent") / viewed
+    mean = F.col("_least_price") + above
+    spread = F.col("_squared") / viewed - above * above
     gap = (F.col("_us") - F.col("_previous")) / F.lit(float(C.MICROS))
     rate = F.when(carts == 0, F.lit(0.0)).otherwise(
         removes.cast("double") / F.when(carts != 0, carts)

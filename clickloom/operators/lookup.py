@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import cut_lineage
+
 BROADCAST_ROWS = 500_000
-SALTS = 64
+ROWS_PER_SALT = 2_000_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -21,21 +23,30 @@ def left_lookup(
     on: Sequence[str],
     small: bool | None = None,
     limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left join to a table with unique keys.
 
-    A table above the limit is joined by key plus salt: its rows are repeated
-    per salt, so a key with a third of all rows is spread over many tasks.
+    Beyond the broadcast limit the join is by key plus salt. Only keys counted
+    above ``rows_per_salt`` rows have more than one salt, as many as their size
+    asks for, and only their table rows are repeated.
     """
     on = list(on)
     if small is None:
         small = at_most(table, limit)
     if small:
         return df.join(F.broadcast(table), on, "left")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-    copies = table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = cut_lineage(
+        sizes.filter(F.col("_rows") > rows_per_salt).select(
+            *on, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts")
+        )
     )
-    joined = df.withColumn("_salt", spread).join(copies, [*on, "_salt"], "left")
-    return joined.drop("_salt")
+    if at_most(hot, BROADCAST_ROWS):
+        hot = F.broadcast(hot)
+    salts = F.coalesce("_salts", F.lit(1))
+    drawn = F.pmod(F.xxhash64(*df.columns), salts).cast("int")
+    salted = df.join(hot, on, "left").withColumn("_salt", drawn).drop("_salts")
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    copies = table.join(hot, on, "left").withColumn("_salt", every).drop("_salts")
+    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")

@@ -108,17 +108,20 @@ def label_outcomes(
     Replay predictions look at ``replay_time`` of purchases after
     ``prediction_time``; backfill ones stay on ``source_event_time``. Both are
     one ordered scan per session and mode, never prediction x purchase pairs.
-    An open window at ``as_of`` with no purchase so far stays NULL.
+    An open window at ``as_of`` with no purchase so far stays NULL, and so does
+    a prediction without a session or with a mode that is neither.
     """
     backfill = F.col("evaluation_mode") == BACKFILL_MODE
     instant = F.when(backfill, F.col("source_event_time")).otherwise(
         F.col("prediction_time")
     )
-    lane = F.concat_ws("|", F.col(SESSION), F.col("evaluation_mode"))
+    known_mode = F.col("evaluation_mode").isin(REPLAY_MODE, BACKFILL_MODE)
+    lane = F.concat("evaluation_mode", F.lit("|"), SESSION)
     asked = predictions.withColumns(
         {"_us": S.epoch_micros(instant), "_session": F.col(SESSION), SESSION: lane}
     ).withColumn("_bought", F.lit(False))
-    purchases = events.filter(F.col("event_type") == "purchase")
+    purchase = (F.col("event_type") == "purchase") & F.col(SESSION).isNotNull()
+    purchases = events.filter(purchase)
     lanes = F.explode(
         F.array(
             F.struct(
@@ -130,7 +133,7 @@ def label_outcomes(
         )
     )
     bought = purchases.select(SESSION, lanes.alias("_l")).select(
-        F.concat_ws("|", F.col(SESSION), F.col("_l.m")).alias(SESSION),
+        F.concat(F.col("_l.m"), F.lit("|"), F.col(SESSION)).alias(SESSION),
         S.epoch_micros(F.col("_l.t")).alias("_us"),
         F.lit(True).alias("_bought"),
     ).distinct()
@@ -149,6 +152,7 @@ def label_outcomes(
         actual = (
             F.when(hit & (F.col("_next") <= known), 1).when(end <= known, 0)
         )
+    actual = F.when(known_mode & F.col("_session").isNotNull(), actual)
     guess = (F.col("purchase_probability") >= 0.5).cast("int")
     kept = [
         F.col("_session").alias(SESSION) if c == SESSION else F.col(c)

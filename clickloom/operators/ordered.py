@@ -19,6 +19,14 @@ TASK_ROWS = 1_000_000
 CHUNK = "_chunk"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner"):
+    """Join on keys that may be NULL; the keys of ``left`` are kept."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    match = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
+    joined = left.join(renamed, match, how)
+    return joined.drop(*[f"_right_{key}" for key in keys])
+
+
 def range_chunks(df: DataFrame, order: Sequence) -> DataFrame:
     """Number balanced, ordered range partitions in a stored column.
 
@@ -45,7 +53,7 @@ def running_sums(
     """Add inclusive running sums of columns, and their totals, per key.
 
     ``sums`` maps a new column to the summed one; ``<new>_total`` is the sum
-    over the whole key. Keys must not be NULL; ``order`` should be total.
+    over the whole key. NULL is a key like any other; ``order`` should be total.
     ``largest`` is a proven bound of the rows of one key; without it the rows
     are stored and counted.
     """
@@ -93,7 +101,7 @@ def _chunked_sums(df, keys, order, sums):
     inside = chunked.select(
         "*", *[F.sum(c).over(local).alias(f"_local_{name}") for name, c in sums.items()]
     )
-    joined = inside.join(offsets, [*keys, CHUNK])
+    joined = null_safe_join(inside, offsets, [*keys, CHUNK])
     return joined.select(
         *df.columns,
         *[

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.lookup import left_lookup
-from clickloom.operators.ordered import exact_quantiles
+from clickloom.operators.ordered import exact_quantiles, null_safe_join
 from clickloom.operators.sessions import SESSION
 
 # The reported price quantiles.
@@ -270,7 +269,7 @@ def box_stats(
     )
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     return (
-        left_lookup(counts, bounds, [by])
+        null_safe_join(counts, bounds, [by], "left")
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),

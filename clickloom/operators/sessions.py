@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordered import CHUNK, range_chunks
+from clickloom.operators.ordered import CHUNK, null_safe_join, range_chunks
 from clickloom.session import cut_lineage
 
 SESSION = "user_session"
 SESSION_ROWS = 2_000_000
-MAX_HOT_SESSIONS = 20_000
+BROADCAST_SESSIONS = 20_000
+BROADCAST_CHUNKS = 100_000
 
 
 def session_sizes(df: DataFrame) -> DataFrame:
@@ -26,21 +27,15 @@ def session_sizes(df: DataFrame) -> DataFrame:
 
 
 def hot_sessions(sizes: DataFrame, limit: int = SESSION_ROWS) -> DataFrame | None:
-    """Sessions above the row limit, or None when there is none.
+    """Sessions above the row limit, stored, or None when there is none.
 
-    The limit is raised to total / MAX_HOT_SESSIONS where needed. No more than
-    MAX_HOT_SESSIONS sessions can then be above it, so the result may always be
-    broadcast.
+    They are marked for broadcast only if they were counted to be few.
     """
     rows = F.col("event_count")
-    seen = sizes.agg(F.sum(rows).alias("total"), F.max(rows).alias("top")).first()
-    if seen["total"] is None:
+    above = (rows > limit) & F.col(SESSION).isNotNull()
+    if not sizes.agg(F.count_if(above)).first()[0]:
         return None
-    limit = max(limit, -(-seen["total"] // MAX_HOT_SESSIONS))
-    if seen["top"] <= limit:
-        return None
-    hot = sizes.filter((rows > limit) & F.col(SESSION).isNotNull())
-    return cut_lineage(hot.select(SESSION))
+    return small(sizes.filter(above).select(SESSION), BROADCAST_SESSIONS)
 
 
 def scan_sessions(
@@ -59,7 +54,6 @@ def scan_sessions(
     hot = hot_sessions(session_sizes(df) if sizes is None else sizes, limit)
     if hot is None:
         return scan_whole(df.repartition(SESSION), [SESSION])
-    hot = F.broadcast(hot)
     cold_rows = df.join(hot, SESSION, "left_anti").select(*df.columns)
     hot_rows = df.join(hot, SESSION, "left_semi").select(*df.columns)
     chunks = range_chunks(hot_rows, [SESSION, *order])
@@ -94,13 +88,15 @@ def prior_sums(df, keys, order, measures: dict[str, Column]) -> DataFrame:
     )
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Store a table of one row per chunk and mark it for broadcast.
+def small(df: DataFrame, most: int = BROADCAST_CHUNKS) -> DataFrame:
+    """Store a table of short rows and mark it for broadcast if it has few.
 
-    Chunks are ordered range partitions of the hot sessions, so there are at
-    most MAX_HOT_SESSIONS + partitions (session, chunk) pairs.
+    There is one row per hot session, or per (session, chunk): chunks are range
+    partitions, so no more than hot sessions plus partitions. A longer table is
+    joined by its key like any other.
     """
-    return F.broadcast(cut_lineage(df))
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= most else stored
 
 
 def chunk_offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -161,7 +157,7 @@ def keep_new(df: DataFrame, flag: str, value: str, firsts: DataFrame) -> DataFra
     (session, chunk) partitioning of the rows.
     """
     known = firsts.withColumn("_first", F.lit(1).cast("long"))
-    joined = df.join(known, [SESSION, CHUNK, value], "left")
+    joined = null_safe_join(df, known, [SESSION, CHUNK, value], "left")
     fixed = F.col(flag) * F.coalesce(F.col("_first"), F.lit(0))
     return joined.withColumn(flag, fixed).select(*df.columns)
 

@@ -11,6 +11,7 @@ from clickloom import schemas
 # Rows of one trigger are bounded, and with them what one key gets at a time.
 OFFSETS_PER_TRIGGER = 2_000_000
 FILES_PER_TRIGGER = 64
+BYTES_PER_TRIGGER = "2g"
 
 
 def topic_events(
@@ -56,8 +57,18 @@ def file_events(
     path: str,
     schema: T.StructType,
     form: str = "parquet",
-    files_per_trigger: int = FILES_PER_TRIGGER,
+    files_per_trigger: int | str = BYTES_PER_TRIGGER,
 ) -> DataFrame:
-    """Files that appear in a folder, a bounded number per trigger."""
+    """Files that appear in a folder, a bounded number per trigger.
+
+    Files of unknown size: give a number of files, or of bytes as text
+    (``"512m"``, see ``BYTES_PER_TRIGGER``); Spark takes one of the two.
+    """
     reader = spark.readStream.schema(schema)
+    if isinstance(files_per_trigger, str):
+        return (
+            reader.option("maxBytesPerTrigger", files_per_trigger)
+            .format(form)
+            .load(path)
+        )
     return reader.option("maxFilesPerTrigger", files_per_trigger).format(form).load(path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,53 +19,77 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from clickloom import constants as C
 from clickloom.functions import scalars as S
 
-ACCEPTED, DUPLICATE, LATE = "accepted", "duplicate", "late"
+ACCEPTED, DUPLICATE, LATE, REJECTED = "accepted", "duplicate", "late", "rejected"
 COUNTED = {"view": 3, "cart": 4, "remove_from_cart": 5}
-
-_INPUT = (
-    "user_session",
-    "event_id",
-    "arrival",
-    "source_us",
-    "replay_us",
-    "event_type",
-    "product_id",
-    "category_id",
-    "category_code",
-    "brand",
-    "price",
+KEY = "_key"
+REJECT_LANES = 256
+
+_TEXT, _LONG, _REAL = T.StringType(), T.LongType(), T.DoubleType()
+
+
+def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in pairs])
+
+
+_EVENT = _fields(
+    ("user_session", _TEXT),
+    ("event_id", _TEXT),
+    ("arrival", _LONG),
+    ("source_us", _LONG),
+    ("replay_us", _LONG),
+    ("event_type", _TEXT),
+    ("product_id", _TEXT),
+    ("category_id", _TEXT),
+    ("category_code", _TEXT),
+    ("brand", _TEXT),
+    ("price", _REAL),
+    ("user_id", _TEXT),
+    ("source", _TEXT),
+    ("message", _TEXT),
+    ("reason", _TEXT),
 )
-
-def _struct(kind: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, kind, True) for name in names.split()]
-
+_INPUT = tuple(_EVENT.names)
+_REASON = _INPUT.index("reason")
 
 _RESULT = T.StructType(
-    _struct(T.StringType(), "user_session event_id")
-    + _struct(T.LongType(), "arrival source_us replay_us")
-    + _struct(T.StringType(), "event_type product_id category_id category_code brand")
-    + _struct(T.DoubleType(), "price")
-    + _struct(T.StringType(), "status late_reason")
-    + _struct(
-        T.LongType(),
-        "first_us last_us count_view count_cart count_remove_from_cart "
-        "serving_total_views serving_total_carts serving_total_removes "
-        "serving_unique_products serving_unique_categories",
-    )
+    [
+        *_EVENT.fields,
+        *_fields(
+            ("status", _TEXT),
+            ("late_reason", _TEXT),
+            ("first_us", _LONG),
+            ("last_us", _LONG),
+            ("count_view", _LONG),
+            ("count_cart", _LONG),
+            ("count_remove_from_cart", _LONG),
+            ("serving_total_views", _LONG),
+            ("serving_total_carts", _LONG),
+            ("serving_total_removes", _LONG),
+            ("serving_unique_products", _LONG),
+            ("serving_unique_categories", _LONG),
+        ).fields,
+    ]
 )
 
 _ROW = Row(*_RESULT.names)
 
 # ``touched`` is the clock of the last accepted event, ``purged`` the clock of
 # the last clean-up of spilled ids. The three texts hold small sets as JSON.
-_STATE = T.StructType(
-    _struct(T.BooleanType(), "alive")
-    + _struct(
-        T.LongType(), "first last touched views carts removes products categories"
-    )
-    + _struct(T.StringType(), "product_set category_set seen_ids")
-    + _struct(T.BooleanType(), "ids_spilled")
-    + _struct(T.LongType(), "purged")
+_STATE = _fields(
+    ("alive", T.BooleanType()),
+    ("first", _LONG),
+    ("last", _LONG),
+    ("touched", _LONG),
+    ("views", _LONG),
+    ("carts", _LONG),
+    ("removes", _LONG),
+    ("products", _LONG),
+    ("categories", _LONG),
+    ("product_set", _TEXT),
+    ("category_set", _TEXT),
+    ("seen_ids", _TEXT),
+    ("ids_spilled", T.BooleanType()),
+    ("purged", _LONG),
 )
 _NEW = (False, 0, 0, 0, 0, 0, 0, 0, 0, "{}", "{}", "{}", False, 0)
 _INLINE = 500
@@ -118,8 +142,12 @@ class SessionProcessor(StatefulProcessor):
     """Duplicate, late and session rules of one key, in arrival order.
 
     The clock is the arrival time of the events, so a replay gives the same
-    answer every time; ``live`` adds Spark's wall-clock TTL so that idle keys
-    go away.
+    answer every time; ``live`` adds a wall-clock limit so that idle keys go
+    away. The state value and the seen ids then have a TTL; the value and
+    category sets have none, as they live as long as their session: a timer that
+    every trigger sets anew clears them.
+
+    Rows with a reason are given back as rejected and touch no state.
     """
 
     def __init__(self, ttl_seconds, late_seconds, live, inline: int = _INLINE):
@@ -130,24 +158,49 @@ class SessionProcessor(StatefulProcessor):
         self.inline = inline
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        name = T.StructType(_struct(T.StringType(), "name"))
-        number = T.StructType(_struct(T.LongType(), "number"))
+        name, number = _fields(("name", _TEXT)), _fields(("number", _LONG))
+        self.handle = handle
         self.stored = handle.getValueState("state", _STATE, self.expiry)
         self.maps = [
-            handle.getMapState(label, name, number, self.expiry)
-            for label in ("products", "categories", "seen")
+            handle.getMapState("products", name, number),
+            handle.getMapState("categories", name, number),
+            handle.getMapState("seen", name, number, self.expiry),
         ]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # One trigger brings a bounded number of rows (see sources.streams).
-        events = sorted(rows, key=lambda row: row["arrival"])
-        self._load(events[0]["replay_us"])
+        events = []
+        for row in rows:
+            event = tuple(row[name] for name in _INPUT)
+            if event[_REASON] is None:
+                events.append(event)
+            else:
+                yield _ROW(*event, REJECTED, None, *[None] * 10)
+        if not events:
+            return
+        events.sort(key=lambda event: event[2])
+        self._load(events[0][4])
         for event in events:
-            yield _ROW(*self._apply(tuple(event[name] for name in _INPUT)))
+            yield _ROW(*self._apply(event))
         self._save()
+        if self.expiry and (self.products.spilled or self.categories.spilled):
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer(now + self.expiry)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """No event for the whole limit: the session's spilled sets go."""
+        self.maps[0].clear()
+        self.maps[1].clear()
+        yield from ()
 
     def _load(self, now: int) -> None:
-        state = tuple(self.stored.get()) if self.stored.exists() else _NEW
+        known = self.stored.exists()
+        state = tuple(self.stored.get()) if known else _NEW
+        if self.expiry and not known:  # what an expired session may have left
+            self.maps[0].clear()
+            self.maps[1].clear()
         self.alive, self.session, sets = state[0], list(state[1:9]), state[9:12]
         spilled = (
             self.session[6] > self.inline,
@@ -218,6 +271,20 @@ class SessionProcessor(StatefulProcessor):
         pass
 
 
+def reject_reason() -> Column:
+    """Why an event cannot be tracked, or NULL."""
+    kind = F.col("event_type")
+    return (
+        F.when(F.col("event_id").isNull() & kind.isNull(), "unreadable_event")
+        .when(F.coalesce("event_id", F.lit("")) == "", "event_id is missing")
+        .when(F.coalesce("user_session", F.lit("")) == "", "user_session is missing")
+        .when(F.col("arrival").isNull(), "arrival is missing")
+        .when(F.col("source_us").isNull(), "unreadable source_event_time")
+        .when(F.col("replay_us").isNull(), "unreadable replay_time")
+        .when(kind.isNull() | ~kind.isin(*C.EVENT_TYPES), "event_type not allowed")
+    )
+
+
 def track_sessions(
     events: DataFrame,
     ttl_seconds: int = C.STATE_TTL_SECONDS,
@@ -228,12 +295,24 @@ def track_sessions(
 
     Needs ``arrival``, a number that grows with the order of arrival inside a
     session (an offset); ``replay_time`` is the clock of both time limits.
+    ``user_id``, ``source`` and ``_text`` (the message) are carried if there.
+    Rows that cannot be tracked come back as rejected, with a reason; they are
+    dealt over many keys before the shuffle.
     """
     times = {
         "source_us": S.epoch_micros(S.parse_iso(F.col("source_event_time").cast("string"))),
         "replay_us": S.epoch_micros(S.parse_iso(F.col("replay_time").cast("string"))),
     }
-    keyed = events.withColumns(times).select(*_INPUT).groupBy("user_session")
+    optional = {"user_id": "user_id", "source": "source", "message": "_text"}
+    for name, column in optional.items():
+        held = F.col(column) if column in events.columns else F.lit(None)
+        times[name] = held.cast("string")
+    checked = events.withColumns(times).withColumn("reason", reject_reason())
+    lane = F.pmod(F.xxhash64("arrival", "message"), F.lit(REJECT_LANES))
+    key = F.when(F.col("reason").isNull(), F.col("user_session")).otherwise(
+        F.concat(F.lit("rejected "), lane)
+    )
+    keyed = checked.select(key.alias(KEY), *_INPUT).groupBy(KEY)
     tracked = keyed.transformWithState(
         statefulProcessor=SessionProcessor(ttl_seconds, late_seconds, live),
         outputStructType=_RESULT,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.plans.scoring import latest_states, score
 from clickloom.sinks.tables import to_messages
-from clickloom.streaming.session_state import ACCEPTED, LATE
+from clickloom.streaming.session_state import ACCEPTED, LATE, REJECTED
 
 LOG_COLUMNS = (
     "event_id",
@@ -16,11 +16,14 @@ LOG_COLUMNS = (
     "event_type",
     "product_id",
     "category_id",
+    "user_id",
     "user_session",
     "category_code",
     "brand",
     "price",
+    "source",
 )
+DAYS_LISTED = 1_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -34,21 +37,26 @@ def append_new(events: DataFrame, path: str) -> None:
     """Append rows whose ``event_id`` the log does not hold yet.
 
     The id is a hash over the event time too, so a repeat has the same date:
-    only those date folders of the log are read.
+    only the date folders of the batch's own dates are read, and each gets few
+    files.
     """
     spark = events.sparkSession
     dated = events.dropDuplicates(["event_id"]).withColumn(
         "event_date", F.to_date("source_event_time")
     )
     if table_exists(spark, path):
-        days = dated.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b"))
-        span = days.first()
-        if span["a"] is None:
+        days = dated.select("event_date").distinct()
+        listed = [r[0] for r in days.limit(DAYS_LISTED + 1).collect()]
+        if not listed:
             return
         log = spark.read.schema("event_id string, event_date date").parquet(path)
-        log = log.filter(F.col("event_date").between(span["a"], span["b"]))
+        if len(listed) <= DAYS_LISTED:
+            log = log.filter(F.col("event_date").isin(listed))
+        else:
+            log = log.join(days, "event_date", "left_semi")
         dated = dated.join(log.select("event_id"), "event_id", "left_anti")
     stamped = dated.withColumn("created_at", F.current_timestamp())
+    stamped = stamped.repartition("event_date")
     stamped.write.mode("append").partitionBy("event_date").parquet(path)
 
 
@@ -62,8 +70,20 @@ def late_events(tracked: DataFrame) -> DataFrame:
     return tracked.filter(F.col("status") == LATE).select(*LOG_COLUMNS, "late_reason")
 
 
-def route(log: str, late: str, serving: str):
-    """``foreachBatch`` function: replay log, late messages, serving rows."""
+def dead_letters(tracked: DataFrame) -> DataFrame:
+    """Rejected messages with their reason: the text as it came, or the fields."""
+    fields = F.to_json(
+        F.struct("event_id", "user_session", "event_type", "product_id", "arrival"),
+        {"ignoreNullFields": "false"},
+    )
+    return tracked.filter(F.col("status") == REJECTED).select(
+        F.coalesce("message", fields).alias("value"), "reason"
+    )
+
+
+def route(log: str, late: str, serving: str, dead: str | None = None):
+    """``foreachBatch`` function: replay log, late messages, serving rows, and
+    dead letters if there is a place for them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -71,7 +91,10 @@ def route(log: str, late: str, serving: str):
             accepted = batch.filter(F.col("status") == ACCEPTED)
             append_new(accepted.select(*LOG_COLUMNS), log)
             _batch_table(to_messages(late_events(batch)), late, batch_id)
-            _batch_table(batch, serving, batch_id)
+            tracked = batch.filter(F.col("status") != REJECTED)
+            _batch_table(tracked.drop("message", "reason"), serving, batch_id)
+            if dead is not None:
+                _batch_table(dead_letters(batch), dead, batch_id)
         finally:
             batch.unpersist()
 
@@ -82,9 +105,14 @@ def score_stream(model, vocabulary: DataFrame, meta: dict, path: str):
     """``foreachBatch`` function: score the newest state of each session."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        states = latest_states(batch.filter(F.col("status") == ACCEPTED))
-        answers = score(states.select("user_session"), states, vocabulary, model, meta)
-        _batch_table(answers, path, batch_id)
+        batch = batch.persist()  # the states are read twice
+        try:
+            states = latest_states(batch.filter(F.col("status") == ACCEPTED))
+            asked = states.select("user_session")
+            answers = score(asked, states, vocabulary, model, meta)
+            _batch_table(answers, path, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 

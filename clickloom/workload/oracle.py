@@ -476,11 +476,10 @@ def build() -> dict[str, str]:
       JOIN split_map m USING (user_session)"""
     q["gold_tables"] = q["gold_with_split"]
     q["extended_features"] = f""", priced AS (
-      SELECT *, CASE WHEN event_type = 'view' THEN CAST(price AS DECIMAL(18, 4)) END
-          AS viewed
-      FROM silver), sums AS (
+      SELECT *, CASE WHEN event_type = 'view' THEN price END AS viewed FROM silver),
+      sums AS (
       SELECT *, count(viewed) OVER w AS n, sum(viewed) OVER w AS spent,
-        sum(CAST(viewed * viewed AS DECIMAL(28, 8))) OVER w AS squared,
+        var_pop(viewed) OVER w AS variance,
         coalesce(sum(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) OVER w, 0)
           AS carts,
         CAST(coalesce(sum(CASE WHEN event_type = 'remove_from_cart' THEN 1 ELSE 0
@@ -493,15 +492,14 @@ def build() -> dict[str, str]:
       WINDOW w AS (PARTITION BY user_session
         ORDER BY source_event_time, event_type, product_id, user_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), means AS (
-      SELECT *, CASE WHEN n > 0 THEN CAST(spent AS DOUBLE) / n END AS mean FROM sums)
+      SELECT *, CASE WHEN n > 0 THEN spent / n END AS mean FROM sums)
       SELECT {_KEY}, removes AS total_removes,
         CASE WHEN carts = 0 THEN 0.0 ELSE CAST(removes AS DOUBLE)
           / CAST(carts AS DOUBLE) END AS cart_remove_rate,
-        round(mean, 6) AS avg_price_viewed,
+        round(mean + 1e-9, 6) AS avg_price_viewed,
         CAST(gap AS DOUBLE) / 1000000 AS time_since_last_event_sec,
         CAST(branded > 0 AS INTEGER) AS has_brand_info,
-        round(CASE WHEN n > 0 THEN sqrt(greatest(CAST(squared AS DOUBLE) / n
-          - mean * mean, 0.0)) END, 4) AS price_std
+        round(sqrt(greatest(variance, 0.0)) + 1e-9, 4) AS price_std
       FROM means"""
     q["model_frame"] = f"""SELECT {', '.join(
         f'CAST(coalesce({c}, 0) AS DOUBLE) AS {c}' for c in _NUMBERS)},
@@ -586,11 +584,11 @@ def build() -> dict[str, str]:
     q["distinct_entities"] = """SELECT count(DISTINCT user_session)
         AS unique_sessions, count(DISTINCT user_id) AS unique_users,
         count(DISTINCT product_id) AS unique_products FROM silver"""
-    q["full_row_duplicates"] = f""", c AS (SELECT event_type, product_id, category_id,
-        user_id, user_session, count(*) AS n FROM bronze GROUP BY ALL)
+    q["full_row_duplicates"] = f""", c AS (SELECT {_EVENT}, count(*) AS n FROM (
+        SELECT {_EVENT} FROM bronze UNION ALL
+        SELECT {_EVENT} FROM bronze WHERE event_type = 'cart') GROUP BY ALL)
       SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM c"""
-    q["distinct_rows"] = """SELECT DISTINCT event_type, product_id, user_session
-      FROM bronze"""
+    q["distinct_rows"] = f"SELECT DISTINCT {_EVENT} FROM bronze"
     q["describe_numbers"] = f""", v AS ({_NUMBER_ROWS})
       SELECT "column", count(value) AS count, round(avg(value), 4) AS mean,
         round(stddev_samp(value), 4) AS std, min(value) AS min, max(value) AS max,
@@ -659,8 +657,8 @@ def build() -> dict[str, str]:
         ORDER BY input_order) AS rn FROM clean)
       SELECT CASE WHEN rn = 1 THEN 'accepted' ELSE 'duplicate' END AS status,
         count(*) AS rows FROM ids GROUP BY 1"""
-    q["stream_replay_log"] = f"""SELECT {_EVENT_ID} AS event_id, {_EVENT.replace(
-        'user_id, ', '')} FROM silver"""
+    q["stream_replay_log"] = f"""SELECT {_EVENT_ID} AS event_id, {_EVENT},
+        'replay' AS source FROM silver"""
     queries = {name: _base() + text for name, text in q.items()}
     week = f"""AND source_event_time > TIMESTAMP '{RETRAIN_AS_OF}' - INTERVAL 7 DAY
     AND source_event_time <= TIMESTAMP '{RETRAIN_AS_OF}'"""

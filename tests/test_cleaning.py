@@ -42,22 +42,25 @@ def test_time_text_and_malformed_text(spark):
 def test_mixed_invalid_rows_shrink_step_by_step(spark):
     frame = raw(
         spark,
-        raw_row(),
-        raw_row(event_type="click"),
-        raw_row(price=0.0),
-        raw_row(user_id=None),
+        raw_row(product_id="7"),
+        raw_row(event_type="wishlist"),
+        raw_row(event_type="wishlist", price=-2.5),
+        raw_row(price=-0.01),
+        raw_row(price=None),
+        raw_row(user_session=None),
+        raw_row(event_time="yesterday"),
     )
     bronze = cleaning.to_bronze(frame)
     required = cleaning.keep_required(bronze)
     counts = (bronze.count(), required.count(), cleaning.keep_valid_price(required).count())
-    assert counts == (3, 2, 1)
+    assert counts == (5, 3, 2)
     assert cleaning.clean_counts(bronze).first().asDict() == {
-        "input_rows": 3,
-        "rejected_required": 1,
+        "input_rows": 5,
+        "rejected_required": 2,
         "rejected_price": 1,
-        "valid_rows": 1,
+        "valid_rows": 2,
     }
-    assert cleaning.raw_counts(frame).first()["rejected_rows"] == 1
+    assert cleaning.raw_counts(frame).first()["rejected_rows"] == 2
 
 
 def test_null_type_is_rejected(spark):
@@ -83,13 +86,14 @@ def test_category_policies(spark):
 
 def test_first_survivor_wins_whatever_the_row_order(spark):
     rows = [
-        event("s", 0, brand="later", price=99.0, category_code="2"),
-        event("s", 0, brand="first", price=10.0, category_code="1"),
-        event("s", 5, brand="b2", price=20.0, category_code="3"),
+        event("t", 40, brand="third copy", price=3.25, category_code="z"),
+        event("t", 40, brand="second copy", price=None, category_code="m"),
+        event("t", 40, brand="kept", price=7.5, category_code="c"),
+        event("t", 41, brand="alone", price=1.5, category_code="q"),
     ]
     frame = silver(spark, rows).repartition(5)
     kept = dedup.keep_first(frame, [F.col("category_code")]).collect()
-    assert {(r["brand"], r["price"]) for r in kept} == {("first", 10.0), ("b2", 20.0)}
+    assert {(r["brand"], r["price"]) for r in kept} == {("kept", 7.5), ("alone", 1.5)}
 
 
 def test_copies_are_limited_before_the_shuffle(spark):

@@ -37,7 +37,7 @@ def test_codes_follow_first_appearance(spark, limit):
 def test_missing_and_unseen(spark, limit):
     train, other = frames(spark)
     words = encoding.fit_vocabulary(train)
-    coded = encoding.encode(encoding.model_frame(other), words, limit=limit, salts=3)
+    coded = encoding.encode(encoding.model_frame(other), words, limit=limit, rows_per_salt=2)
     found = {r["brand"]: r["brand_code"] for r in coded.collect()}
     assert found == {"__UNK__": 1, "__MISSING__": 0, "zeta": 3}
 

@@ -6,8 +6,9 @@ import pytest
 
 from clickloom.operators import evaluation as E
 
-LABELS = [0, 0, 0, 1, 1, 1, 1, 1, 0, 1]
-SCORES = [0.1, 0.2, 0.3, 0.6, 0.7, 0.8, 0.75, 0.9, 0.25, 0.85]
+# With ties, and one negative above the lowest positive.
+LABELS = [1, 1, 0, 1, 0, 1, 0, 0]
+SCORES = [0.95, 0.5, 0.5, 0.5, 0.35, 0.3, 0.15, 0.05]
 
 
 def scored(spark, pairs, name="m"):
@@ -30,10 +31,25 @@ def plain(pairs):
     return points, area, average, best[0]
 
 
-def test_perfect_ranking(spark):
-    row = E.metrics(scored(spark, list(zip(LABELS, SCORES)))).first()
-    assert row["pr_auc"] == pytest.approx(1.0) and row["threshold"] == 0.6
-    assert (row["tp"], row["fp"], row["fn"], row["tn"]) == (6, 0, 0, 4)
+def test_ranking_with_ties_and_a_misplaced_positive(spark):
+    pairs = list(zip(LABELS, SCORES))
+    row = E.metrics(scored(spark, pairs)).first()
+    _, area, average, best = plain(pairs)
+    assert row["pr_auc"] == pytest.approx(area) and area < 1
+    assert row["average_precision"] == pytest.approx(average)
+    assert row["threshold"] == best == 0.3
+    assert (row["tp"], row["fp"], row["fn"], row["tn"]) == (4, 2, 0, 2)
+
+
+def test_null_model_has_metrics_on_both_paths(spark):
+    rows = [(None, y, s) for y, s in zip(LABELS, SCORES)] * 3
+    rows += [("m", y, 1 - s) for y, s in zip(LABELS, SCORES)]
+    frame = spark.createDataFrame(rows, "model string, label int, score double")
+    found = [
+        sorted(map(str, E.metrics(frame, ["model"], limit=limit).collect()))
+        for limit in (10**6, 3)
+    ]
+    assert len(found[0]) == 2 and found[0] == found[1]
 
 
 @pytest.mark.parametrize("limit", [10**6, 5])
@@ -54,9 +70,9 @@ def test_random_scores_equal_the_definition(spark, limit):
 
 
 def test_given_threshold_and_empty_predictions(spark):
-    row = E.metrics(scored(spark, list(zip(LABELS, SCORES))), threshold=0.95).first()
+    row = E.metrics(scored(spark, list(zip(LABELS, SCORES))), threshold=0.99).first()
     assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
-    assert row["threshold"] == 0.95 and row["fn"] == 6
+    assert row["threshold"] == 0.99 and row["fn"] == 4
 
 
 def test_no_positive_label(spark):

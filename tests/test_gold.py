@@ -104,10 +104,13 @@ def test_a_large_split_map_does_not_move_the_rows_again(spark, tmp_path):
     assert "SortMergeJoin" in plan and plan.count("Exchange") == 2
 
 
-def test_hot_sessions_are_few(spark, monkeypatch):
-    monkeypatch.setattr(sessions, "MAX_HOT_SESSIONS", 4)
+def test_hot_sessions_are_broadcast_only_if_few(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "BROADCAST_SESSIONS", 1)
     frame = silver(spark, [event(f"s{i % 20}", i) for i in range(200)])
-    assert sessions.hot_sessions(sessions.session_sizes(frame), 5) is None
+    assert sessions.hot_sessions(sessions.session_sizes(frame), 10) is None
+    many = sessions.hot_sessions(sessions.session_sizes(frame), 5)
+    assert many.count() == 20  # the limit does not rise; too many to broadcast
+    assert "Broadcast" not in str(many._jdf.queryExecution().analyzed())
     rows = [event("big" if i % 2 else f"s{i % 20}", i) for i in range(200)]
     hot = sessions.hot_sessions(sessions.session_sizes(silver(spark, rows)), 5)
     assert [r[0] for r in hot.collect()] == ["big"]
@@ -197,3 +200,28 @@ def test_results_do_not_depend_on_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_null_products_and_categories_on_both_paths(spark):
+    rows = []
+    for i in range(60):
+        rows.append(event("hot", i // 2, product=[None, "a", "b"][i % 3],
+                          category_id=[None, "c"][i % 2], category_code=None))
+    frame = silver(spark, rows).dropDuplicates()
+    key = ["source_event_time", "event_type", "product_id"]
+    found = [
+        sorted(map(str, gold.snapshots(frame, 600, limit=n)
+                   .select(*key, "unique_products", "unique_categories").collect()))
+        for n in (10**6, 7)
+    ]
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("limit", [10**6, 4])
+def test_prices_of_any_size(spark, limit):
+    prices = [0.00004, 0.00006, None, 1e15, 1e15 + 2, 3.0]
+    rows = [event("s", i, product=f"p{i}", price=p) for i, p in enumerate(prices)]
+    found = gold.extended_snapshots(silver(spark, rows), limit).orderBy("source_event_time")
+    means = [r["avg_price_viewed"] for r in found.collect()]
+    assert means[:4] == [None, pytest.approx(0.00004), *[pytest.approx(0.00005)] * 2]
+    assert means[4] == pytest.approx(1e15 / 3)

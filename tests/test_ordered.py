@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.operators import lookup, ordered, profile
 from data import event, silver
@@ -53,7 +54,7 @@ def test_salted_lookup_equals_the_broadcast_one(spark):
     words = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, code int")
     key = lambda f: sorted(map(str, f.collect()))
     small = lookup.left_lookup(frame, words, ["k"], small=True)
-    salted = lookup.left_lookup(frame, words, ["k"], small=False, salts=4)
+    salted = lookup.left_lookup(frame, words, ["k"], small=False, rows_per_salt=3)
     assert key(small.select("k", "i", "v", "code")) == key(
         salted.select("k", "i", "v", "code")
     )
@@ -85,3 +86,26 @@ def test_head_per_file(spark):
     assert {(r["file"], r["i"]) for r in rows} == {
         ("a", 0), ("a", 1), ("b", 0), ("b", 1),
     }
+
+
+def test_null_keys_on_both_paths(spark):
+    rnd = random.Random(6)
+    data = [
+        (rnd.choice([None, "hot", "hot", "k"]), i, rnd.randrange(5)) for i in range(200)
+    ]
+    frame = spark.createDataFrame(data, "k string, i long, v long").repartition(4)
+    found = [
+        sorted(map(str, ordered.exact_quantiles(frame, "v", {"m": 0.5}, ["k"], n).collect()))
+        for n in (10**6, 2)
+    ]
+    assert len(found[0]) == 3 and found[0] == found[1]
+    sums = [
+        sorted(map(str, ordered.running_sums(frame, ["k"], ["i"], {"u": "v"}, n)
+                   .select("k", "i", "u", "u_total").collect()))
+        for n in (10**6, 9)
+    ]
+    assert len(sums[0]) == 200 and sums[0] == sums[1]
+    renamed = frame.select(F.col("k").alias("event_type"), F.col("v").alias("price"))
+    boxes = profile.box_stats(renamed).collect()
+    assert {r["event_type"] for r in boxes} == {None, "hot", "k"}
+    assert all(r["whisker_low"] is not None for r in boxes)

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.functions import scalars as S
 from clickloom.operators import gold
 from clickloom.sinks import tables as batch_sinks
 from clickloom.plans import scoring
@@ -28,6 +29,8 @@ def message(event_id, session="s", seconds=0, kind="view", arrival=0, clock=None
         "brand": None,
         "price": None,
         "arrival": arrival,
+        "user_id": None,
+        "source": None,
     }
     row.update(other)
     return row
@@ -36,13 +39,14 @@ def message(event_id, session="s", seconds=0, kind="view", arrival=0, clock=None
 LAYOUT = (
     "event_id string, user_session string, source_event_time timestamp_ntz, "
     "replay_time timestamp_ntz, event_type string, product_id string, "
-    "category_id string, category_code string, brand string, price double, arrival long"
+    "category_id string, category_code string, brand string, price double, "
+    "arrival long, user_id string, source string"
 )
 
 
 def run(spark, folder, batches, **rules):
     """Feed each batch as a file of its own; returns the sink paths."""
-    paths = {n: f"{folder}/{n}" for n in ("in", "log", "late", "serving", "checkpoint")}
+    paths = {n: f"{folder}/{n}" for n in ("in", "log", "late", "serving", "dead", "checkpoint")}
     for batch in batches:
         frame = spark.createDataFrame([tuple(m.values()) for m in batch], LAYOUT)
         frame.coalesce(1).write.mode("append").parquet(paths["in"])
@@ -50,7 +54,7 @@ def run(spark, folder, batches, **rules):
             spark, paths["in"], frame.schema, files_per_trigger=1
         )
         tracked = session_state.track_sessions(source, **rules)
-        write = sinks.route(paths["log"], paths["late"], paths["serving"])
+        write = sinks.route(*(paths[n] for n in ("log", "late", "serving", "dead")))
         sinks.drain(tracked, write, paths["checkpoint"])
     return paths
 
@@ -61,56 +65,101 @@ def served(spark, paths):
 
 
 def test_states_by_hand(spark, tmp_path):
+    """Two sessions, a repeat, a late event and one at the edge, over 3 triggers."""
     paths = run(
         spark,
         tmp_path,
         [
-            [message("e1")],
             [
-                message("e2", seconds=120, kind="cart", product_id="200", arrival=1,
-                        category_id="fallback", category_code="category.code",
-                        brand="brand-a", price=12.5),
-                message("e3", seconds=180, kind="remove_from_cart", product_id="200",
-                        category_code="", arrival=2),
-                message("e1", seconds=0, arrival=3, clock=200),
-                message("e4", seconds=30, arrival=4, clock=210),
-                message("e5", seconds=120, kind="purchase", arrival=5, clock=220),
+                message("k1", "left", kind="cart", product_id="p9", price=3.5,
+                        user_id="u1", source="replay"),
+                message("m1", "right", seconds=7, arrival=1),
+            ],
+            [
+                message("k2", "left", seconds=95, product_id="p9", arrival=2,
+                        brand="acme", category_code="tools.saw"),
+                message("m1", "right", seconds=7, arrival=3, clock=96),
+                message("k3", "left", seconds=34, arrival=4, clock=97),
+            ],
+            [
+                message("k4", "left", seconds=35, kind="remove_from_cart", arrival=5,
+                        clock=98, product_id="p5"),
+                message("m2", "right", seconds=107, kind="purchase", arrival=6,
+                        category_id="other"),
             ],
         ],
     )
     rows = served(spark, paths)
-    first = rows[("e1", 0)]
-    assert first["status"] == "accepted" and first["serving_total_views"] == 0
-    assert first["serving_price"] == 0.0 and first["serving_category_code"] == ""
-    third = rows[("e3", 2)].asDict()
+    statuses = {key[0]: [] for key in rows}
+    for (event_id, _), row in sorted(rows.items(), key=lambda item: item[0][1]):
+        statuses[event_id].append(row["status"])
+    assert statuses == {
+        "k1": ["accepted"], "k2": ["accepted"], "k3": ["late"], "k4": ["accepted"],
+        "m1": ["accepted", "duplicate"], "m2": ["accepted"],
+    }
+    opening = rows[("k1", 0)]
+    assert (opening["serving_total_carts"], opening["count_cart"]) == (0, 1)
+    assert opening["serving_price"] == 3.5 and opening["serving_brand"] == ""
+    # k3 is 61 s older than k2 and late; k4 is 60 s older, accepted, and moves time back
+    last = rows[("k4", 5)].asDict()
     expected = {
         "first_event_time": START,
-        "last_event_time": START + dt.timedelta(seconds=180),
+        "last_event_time": START + dt.timedelta(seconds=35),
         "count_view": 1, "count_cart": 1, "count_remove_from_cart": 1,
         "serving_total_views": 1, "serving_total_carts": 1,
         "serving_total_removes": 0, "serving_net_cart_count": 1,
-        "serving_cart_to_view_ratio": 1.0, "serving_unique_categories": 2,
-        "serving_unique_products": 2, "serving_session_duration_sec": 180.0,
-        "serving_price": 0.0, "serving_category_id": "cat-id",
-        "serving_category_code": "", "serving_brand": "",
-        "serving_event_type": "remove_from_cart", "latest_event_type": "remove_from_cart",
+        "serving_cart_to_view_ratio": 1.0, "serving_unique_products": 1,
+        "serving_unique_categories": 2, "serving_session_duration_sec": 35.0,
+        "serving_event_type": "remove_from_cart",
     }
-    assert {k: third[k] for k in expected} == expected
-    assert rows[("e1", 3)]["status"] == "duplicate"
-    late = rows[("e4", 4)]
-    assert late["status"] == "late" and late["serving_total_views"] is None
+    assert {k: last[k] for k in expected} == expected
+    late = rows[("k3", 4)]
     assert late["late_reason"] == "older_than_last_event_time_by_more_than_60s"
-    edge = rows[("e5", 5)]
-    assert edge["status"] == "accepted"  # exactly 60 s older is not late
-    assert edge["last_event_time"] == START + dt.timedelta(seconds=120)
-    assert edge["serving_unique_categories"] == 2
-    log = {r["event_id"] for r in spark.read.parquet(paths["log"]).collect()}
-    assert log == {"e1", "e2", "e3", "e5"}
+    assert late["serving_total_views"] is None
+    log = spark.read.parquet(paths["log"]).collect()
+    assert {r["event_id"] for r in log} == {"k1", "k2", "k4", "m1", "m2"}
+    assert {(r["user_id"], r["source"]) for r in log if r["event_id"] == "k1"} == {
+        ("u1", "replay")
+    }
     sent = spark.read.parquet(paths["late"]).collect()
-    assert [r["key"] for r in sent] == ["s"] and "late_reason" in sent[0]["value"]
-    assert "status" not in sent[0]["value"]
+    assert [r["key"] for r in sent] == ["left"] and "late_reason" in sent[0]["value"]
+    assert "user_id" in sent[0]["value"] and "status" not in sent[0]["value"]
     states = sinks.serving_rows(spark, paths["serving"]).filter("status = 'accepted'")
-    assert scoring.latest_states(states).first()["event_id"] == "e5"
+    newest = {r["user_session"]: r["event_id"] for r in scoring.latest_states(states).collect()}
+    assert newest == {"left": "k4", "right": "m2"}
+
+
+def test_bad_messages_go_to_the_dead_letters(spark, tmp_path):
+    """No time, an unknown type, no session and broken JSON: the stream goes on."""
+    good = message("g1"), message("g2", seconds=5, arrival=9)
+    bad = [
+        message("n1", source_event_time=None, arrival=1),
+        message("n2", kind="wishlist", arrival=2),
+        message("n3", session=None, arrival=3),
+        message("n4", replay_time=None, arrival=4),
+        message(None, arrival=5),
+    ]
+    paths = run(spark, tmp_path, [[good[0], *bad], [good[1]]])
+    assert {key[0] for key in served(spark, paths)} == {"g1", "g2"}
+    dead = spark.read.parquet(paths["dead"]).collect()
+    assert sorted(r["reason"] for r in dead) == [
+        "event_id is missing", "event_type not allowed",
+        "unreadable replay_time", "unreadable source_event_time",
+        "user_session is missing",
+    ]
+    text = spark.createDataFrame([("{broken",), ("[]",)], "value string")
+    letters = streams.decode(text.withColumn("arrival", F.lit(1).cast("long")))
+    checked = letters.withColumns(
+        {"source_us": F.lit(None).cast("long"), "replay_us": F.lit(None).cast("long")}
+    ).select(session_state.reject_reason().alias("reason"))
+    assert [r["reason"] for r in checked.collect()] == ["unreadable_event"] * 2
+
+
+@pytest.mark.parametrize("text", ["T10:00:00", "10:00:00", "2019", "2019-10-01", "soon"])
+def test_text_without_a_whole_time_is_no_time(spark, text):
+    frame = spark.createDataFrame([(text,), ("2019-10-01T10:00:00Z",)], "t string")
+    found = [r[0] for r in frame.select(S.parse_iso(F.col("t"))).collect()]
+    assert found == [None, dt.datetime(2019, 10, 1, 10)]
 
 
 def test_state_and_ids_expire_after_their_time(spark, tmp_path):
