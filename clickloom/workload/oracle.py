@@ -499,7 +499,8 @@ def build() -> dict[str, str]:
         round(mean + 1e-9, 6) AS avg_price_viewed,
         CAST(gap AS DOUBLE) / 1000000 AS time_since_last_event_sec,
         CAST(branded > 0 AS INTEGER) AS has_brand_info,
-        round(sqrt(greatest(variance, 0.0)) + 1e-9, 4) AS price_std
+        CASE WHEN n > 0 THEN round(sqrt(greatest(variance, 0.0)) + 1e-9, 4) END
+          AS price_std
       FROM means"""
     q["model_frame"] = f"""SELECT {', '.join(
         f'CAST(coalesce({c}, 0) AS DOUBLE) AS {c}' for c in _NUMBERS)},

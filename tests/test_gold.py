@@ -112,7 +112,7 @@ def test_hot_sessions_are_broadcast_only_if_few(spark, monkeypatch):
     assert many.count() == 20  # the limit does not rise; too many to broadcast
     assert "Broadcast" not in str(many._jdf.queryExecution().analyzed())
     rows = [event("big" if i % 2 else f"s{i % 20}", i) for i in range(200)]
-    hot = sessions.hot_sessions(sessions.session_sizes(silver(spark, rows)), 5)
+    hot = sessions.hot_sessions(sessions.session_sizes(silver(spark, rows)), 10)
     assert [r[0] for r in hot.collect()] == ["big"]
 
 
