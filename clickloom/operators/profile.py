@@ -101,6 +101,16 @@ def time_ranges(df: DataFrame, by: str) -> DataFrame:
     )
 
 
+def overall_range(ranges: DataFrame, by: str, label: str = "all") -> DataFrame:
+    """The ranges of ``time_ranges`` and one more row for all of them."""
+    whole = ranges.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"),
+    )
+    return ranges.unionByName(whole.withColumn(by, F.lit(label)))
+
+
 def session_profile(df: DataFrame) -> DataFrame:
     span = F.unix_micros(F.col("last_event_time").cast("timestamp")) - F.unix_micros(
         F.col("first_event_time").cast("timestamp")

@@ -17,6 +17,7 @@ from clickloom.session import prepare, scratch_path
 
 WEEK_MICROS = 7 * 24 * 3600 * 1_000_000
 HORIZON = 6 * 3600
+CSV_FILES = 8
 CUTOFF = "2024-01-25T00:00:00"
 
 
@@ -120,15 +121,22 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw rows as month-named CSV files and return the folder."""
-    rows = raw(spark, sf_dir).select(*schemas.RAW.names)
+    """Write the raw rows as month-named CSV files and return the folder.
+
+    A row's file is its input order modulo ``CSV_FILES``; rows of a file are in
+    input order.
+    """
+    part = F.pmod("input_order", F.lit(CSV_FILES)).alias("part")
+    rows = raw(spark, sf_dir).select(*schemas.RAW.names, "input_order", part)
+    rows = rows.repartition(CSV_FILES, "part").sortWithinPartitions("part", "input_order")
     staged, folder = scratch_path(spark, "staged"), scratch_path(spark, "raw")
-    rows.write.option("header", True).csv(staged)
+    rows.drop("input_order").write.partitionBy("part").option("header", True).csv(staged)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     system = path(staged).getFileSystem(conf)
     system.mkdirs(path(folder))
-    for number, status in enumerate(system.globStatus(path(f"{staged}/part-*.csv"))):
+    for status in system.globStatus(path(f"{staged}/part=*/part-*.csv")):
+        number = int(status.getPath().getParent().getName().removeprefix("part="))
         system.rename(status.getPath(), path(f"{folder}/2024-Jan-{number:05d}.csv"))
     return folder

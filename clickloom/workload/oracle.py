@@ -424,6 +424,21 @@ def build() -> dict[str, str]:
         'replay' AS source, {_EVENT_ID} AS event_id
       FROM bronze WHERE source_event_time IS NOT NULL AND category_id IS NOT NULL"""
     q["replay_messages"] = q["replay_events"]
+    file = "'2024-Jan-' || lpad(CAST(input_order % 8 AS VARCHAR), 5, '0') || '.csv'"
+    raw_columns = """event_time, event_type, product_id, category_id, user_id,
+      user_session, category_code, brand, price"""
+    q["raw_header_audit"] = f"""SELECT DISTINCT {file} AS file,
+        CAST(9 AS INTEGER) AS column_count, TRUE AS complete, '' AS extra,
+        '' AS missing, TRUE AS in_order FROM raw"""
+    q["first_raw_rows"] = f"""SELECT {raw_columns} FROM raw
+      WHERE input_order % 8 = 0 ORDER BY input_order LIMIT 200"""
+    q["head_per_file"] = f"""SELECT {raw_columns}, {file} AS raw_file FROM (
+        SELECT *, row_number() OVER (PARTITION BY input_order % 8
+          ORDER BY input_order) AS rn FROM raw) WHERE rn <= 100"""
+    q["file_time_ranges"] = f"""SELECT coalesce({file}, 'all') AS raw_file,
+        count(*) AS rows, min(source_event_time) AS start_time,
+        max(source_event_time) AS end_time
+      FROM bronze GROUP BY GROUPING SETS (({file}), ())"""
     q["dead_letters"] = """SELECT '{broken' AS value, 'unreadable_event' AS reason,
         count(*) AS rows FROM raw WHERE event_time = 'not a time'"""
     q["replay_rejects"] = """SELECT CASE WHEN category_id IS NULL

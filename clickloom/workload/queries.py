@@ -66,7 +66,9 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_header_audit(spark, sf_dir):
     folder = A.monthly_csv(spark, sf_dir)
     files = raw_csv.select_files(spark, folder, "all").collect()
-    return raw_csv.audit_headers(spark, [f["path"] for f in files])
+    found = raw_csv.audit_headers(spark, [f["path"] for f in files])
+    names = {c: F.array_join(c, ",") for c in ("extra", "missing")}
+    return found.withColumns(names)
 
 
 @query
@@ -469,7 +471,8 @@ def time_ranges(spark, sf_dir):
 def file_time_ranges(spark, sf_dir):
     folder = A.monthly_csv(spark, sf_dir)
     rows = raw_csv.read_window(spark, folder, "all", ordered=True)
-    return profile.time_ranges(cleaning.to_bronze(rows, "raw_file"), "raw_file")
+    ranges = profile.time_ranges(cleaning.to_bronze(rows, "raw_file"), "raw_file")
+    return profile.overall_range(ranges, "raw_file")
 
 
 @query
@@ -477,7 +480,7 @@ def head_per_file(spark, sf_dir):
     folder = A.monthly_csv(spark, sf_dir)
     rows = raw_csv.read_window(spark, folder, "all", ordered=True)
     first = profile.head_per_file(rows, "raw_file", ["raw_block", "raw_row"], 100)
-    return first.drop("raw_row")
+    return first.select(*schemas.RAW.names, "raw_file")
 
 
 @query
