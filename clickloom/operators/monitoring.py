@@ -239,6 +239,56 @@ def degradation_alerts(quality: DataFrame, bound: float = PR_AUC_ALERT) -> DataF
     )
 
 
+#: Metric, whether low or high values are bad, bound, hours in a row.
+ALERT_RULES = (
+    ("pr_auc", "low", 0.7, 2),
+    ("f1", "low", 0.5, 2),
+    ("kl", "high", 0.15, 1),
+    ("outcome_coverage", "low", 0.8, 1),
+    ("fallback_rate", "high", 0.05, 2),
+)
+
+
+def metric_alerts(*metrics: DataFrame) -> DataFrame:
+    """(evaluation_mode, window_start, rule, value) of every broken alert rule.
+
+    ``metrics`` are hourly tables that hold some of the rules' columns. Where a
+    rule asks for two hours, the hour before must break it too.
+    """
+    keys = ["evaluation_mode", "window_start"]
+    found = None
+    for table in metrics:
+        held = [name for name, *_ in ALERT_RULES if name in table.columns]
+        numbers = [F.col(name).cast("double").alias(name) for name in held]
+        long = table.select(*keys, *numbers).unpivot(keys, held, "rule", "value")
+        found = long if found is None else found.unionByName(long)
+    bad, hours = F.lit(False), F.lit(1)
+    for name, side, bound, count in ALERT_RULES:
+        broken = F.col("value") < bound if side == "low" else F.col("value") > bound
+        bad = F.when(F.col("rule") == name, broken).otherwise(bad)
+        hours = F.when(F.col("rule") == name, F.lit(count)).otherwise(hours)
+    in_order = Window.partitionBy("evaluation_mode", "rule").orderBy("window_start")
+    marked = found.withColumns({"_bad": bad, "_hours": hours}).withColumns(
+        {
+            "_before": F.lag("_bad").over(in_order),
+            "_at": F.lag("window_start").over(in_order),
+        }
+    )
+    follows = F.col("_at") == F.col("window_start") - F.expr("INTERVAL 1 HOUR")
+    enough = (F.col("_hours") == 1) | (F.col("_before") & follows)
+    return marked.filter(F.col("_bad") & enough).select(*keys, "rule", "value")
+
+
+def gaps(predictions: DataFrame) -> DataFrame:
+    """Latency (since the replay) and freshness (since the event) per mode."""
+    kinds = {"latency": "replay_time", "freshness": "source_event_time"}
+    parts = [
+        latency(predictions, since).withColumn("gap", F.lit(gap))
+        for gap, since in kinds.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def latency(
     predictions: DataFrame, since: str = "replay_time", keys=("evaluation_mode",)
 ) -> DataFrame:

@@ -242,8 +242,10 @@ def _encoded() -> str:
     )
 
 
-def _metric_select(source: str, keys: str = "") -> str:
-    """PR-AUC and friends at 0.5 per key from (keys, score, positives, n)."""
+def _metric_select(source: str, keys: str = "", into: str = "") -> str:
+    """PR-AUC and friends at 0.5 per key from (keys, score, positives, n); with
+    ``into`` as one more named subquery."""
+    head, tail = (f", {into} AS (", ")") if into else ("", "")
     k = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys}" if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
@@ -269,7 +271,7 @@ def _metric_select(source: str, keys: str = "") -> str:
     max(total) AS total, max(taken) AS everything
   FROM mc {group}
 )
-SELECT {k}round(pr_auc, 6) AS pr_auc, round(ap, 6) AS average_precision,
+{head}SELECT {k}round(pr_auc, 6) AS pr_auc, round(ap, 6) AS average_precision,
   CAST(0.5 AS DOUBLE) AS threshold, CAST(tp AS BIGINT) AS tp,
   CAST(above - tp AS BIGINT) AS fp, CAST(total - tp AS BIGINT) AS fn,
   CAST(everything - total - above + tp AS BIGINT) AS tn,
@@ -278,7 +280,7 @@ SELECT {k}round(pr_auc, 6) AS pr_auc, round(ap, 6) AS average_precision,
   round(CASE WHEN total = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / total END, 6) AS recall,
   round(CASE WHEN above + total = 0 THEN 0.0
     ELSE 2.0 * CAST(tp AS DOUBLE) / (above + total) END, 6) AS f1
-FROM mm
+FROM mm{tail}
 """
 
 
@@ -648,15 +650,40 @@ def build() -> dict[str, str]:
         round(CAST(count(*) FILTER (prediction_mode = 'fallback') AS DOUBLE)
           / count(*), 6) AS fallback_rate
       FROM wide GROUP BY 1, 2"""
-    q["degradation_alerts"] = q["online_metrics"].replace(
-        "SELECT evaluation_mode, window_start, round(pr_auc",
-        ", shown AS (SELECT evaluation_mode, window_start, round(pr_auc",
-    ) + """), lagged AS (SELECT *, lag(pr_auc) OVER o AS b,
+    shown = _ONLINE + _metric_select(
+        "online_counts", "evaluation_mode, window_start", into="shown"
+    )
+    q["degradation_alerts"] = shown + """, lagged AS (SELECT *, lag(pr_auc) OVER o AS b,
         lag(window_start) OVER o AS earlier FROM shown
       WINDOW o AS (PARTITION BY evaluation_mode ORDER BY window_start))
       SELECT evaluation_mode, window_start, pr_auc FROM lagged
       WHERE pr_auc < 0.7 AND b < 0.7
         AND earlier = window_start - INTERVAL 1 HOUR"""
+    q["metric_alerts"] = shown + """, cov AS (SELECT evaluation_mode, window_start,
+        round(CAST(count(actual_purchase) AS DOUBLE) / count(*), 6) AS known,
+        round(CAST(count(*) FILTER (prediction_mode = 'fallback') AS DOUBLE)
+          / count(*), 6) AS fallback
+      FROM wide GROUP BY 1, 2), vals AS (
+      SELECT evaluation_mode, window_start, 'pr_auc' AS rule, pr_auc AS value,
+        pr_auc < 0.7 AS bad, 2 AS hours FROM shown UNION ALL
+      SELECT evaluation_mode, window_start, 'f1', f1, f1 < 0.5, 2 FROM shown UNION ALL
+      SELECT evaluation_mode, window_start, 'outcome_coverage', known, known < 0.8, 1
+      FROM cov UNION ALL
+      SELECT evaluation_mode, window_start, 'fallback_rate', fallback,
+        fallback > 0.05, 2 FROM cov), lagged AS (
+      SELECT *, lag(bad) OVER o AS before, lag(window_start) OVER o AS earlier
+      FROM vals WINDOW o AS (PARTITION BY evaluation_mode, rule ORDER BY window_start))
+      SELECT evaluation_mode, window_start, rule, value FROM lagged
+      WHERE bad AND (hours = 1 OR (before AND earlier = window_start - INTERVAL 1 HOUR))"""
+    q["prediction_gaps"] = """, l AS (SELECT evaluation_mode, 'latency' AS gap,
+        CAST(epoch_us(prediction_time) - epoch_us(replay_time) AS DOUBLE) / 1000000
+          AS s FROM predictions UNION ALL
+      SELECT evaluation_mode, 'freshness',
+        CAST(epoch_us(prediction_time) - epoch_us(source_event_time) AS DOUBLE)
+          / 1000000 FROM predictions)
+      SELECT evaluation_mode, gap, round(quantile_cont(s, 0.5), 6) AS p50,
+        round(quantile_cont(s, 0.95), 6) AS p95,
+        round(quantile_cont(s, 0.99), 6) AS p99 FROM l GROUP BY 1, 2"""
     q["prediction_latency"] = """, l AS (SELECT evaluation_mode,
         CAST(epoch_us(prediction_time) - epoch_us(source_event_time) AS DOUBLE)
           / 1000000 AS s FROM predictions)

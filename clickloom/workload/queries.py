@@ -584,6 +584,19 @@ def degradation_alerts(spark, sf_dir):
     return monitoring.degradation_alerts(online_metrics(spark, sf_dir))
 
 
+@query
+def metric_alerts(spark, sf_dir):
+    return monitoring.metric_alerts(
+        online_metrics(spark, sf_dir), online_coverage(spark, sf_dir)
+    )
+
+
+@query
+def prediction_gaps(spark, sf_dir):
+    rows = monitoring.gaps(A.predictions(spark, sf_dir))
+    return rounded(rows, 6, "p50", "p95", "p99")
+
+
 @query
 def prediction_latency(spark, sf_dir):
     rows = monitoring.latency(A.predictions(spark, sf_dir), "source_event_time")
