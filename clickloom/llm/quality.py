@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import keyed_texts, map_batches
+from clickloom.llm.common import bounded, keyed_texts, map_batches
 
 LABELLED_ROWS = 20_000  # documented bound of the rows a list is fitted on
 LEAST_WORDS = 50
@@ -215,7 +215,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> list[Rule]:
-    """Rules from at most ``rows`` labelled documents, chosen by hash of the id.
+    """Rules from about ``rows`` labelled documents, chosen by hash of the id.
 
     Labels that are null, or repeated with another value, are left out; without
     labels of both kinds there are no rules.
@@ -226,10 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> list[R
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
         .filter("quality = most")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
         .select("doc_id", "quality")
     )
+    marked = bounded(marked, rows, labels.count(), F.col("doc_id"))
     chosen = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
     numbers = document_statistics(chosen).dropDuplicates(["doc_id"])
     found = numbers.join(F.broadcast(marked), "doc_id").filter(~base_failed())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import Memo, fold, keyed_texts, map_batches
+from clickloom.llm.common import Memo, bounded, fold, keyed_texts, map_batches
 
 FOLDS = 5
 LABELLED_ROWS = 10_000  # documented bounds of the rows a model is fitted on
@@ -143,9 +143,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .filter("gold = most")
         .select("doc_id", F.col("gold").cast("int").alias("gold"))
     )
-    by_hash = (F.xxhash64("doc_id"), F.col("doc_id"))
-    gold = marked.orderBy(*by_hash).limit(LABELLED_ROWS)
-    other = ids.distinct().orderBy(*by_hash).limit(OTHER_ROWS)
+    gold = bounded(marked, LABELLED_ROWS, labels.count(), F.col("doc_id"))
+    other = bounded(ids, OTHER_ROWS, docs.count(), F.col("doc_id")).distinct()
     other = other.join(F.broadcast(gold), "doc_id", "left_anti")
     chosen = gold.unionByName(other.withColumn("gold", F.lit(-1)))
     return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "gold")
