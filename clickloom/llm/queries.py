@@ -67,4 +67,42 @@ QUERIES = {
     "op10_virtual_slots": op10_virtual_slots,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_indexed_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    upper(sha1(encode(coalesce(html, '')))) AS hex
+  FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS least FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT)
+        >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> least THEN least END AS refers_to
+FROM f""",
+    "op7_super_kmers": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), k AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w
+), s AS (
+  SELECT doc_id, word, i, count(*) OVER o AS n, string_agg(word, ' ') OVER o AS passage
+  FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), m AS (
+  SELECT *, n = 13 AND min(doc_id) OVER (PARTITION BY n, passage) < doc_id AS again
+  FROM s
+), c AS (
+  SELECT doc_id, word, i, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM m
+)
+SELECT w.doc_id, CAST(len(any_value(w.ws)) AS BIGINT) AS n_words,
+  count(*) FILTER (c.gone) AS n_removed,
+  sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.i) FILTER (NOT c.gone), ''))
+    AS kept_sha256
+FROM w LEFT JOIN c ON w.doc_id = c.doc_id GROUP BY w.doc_id""",
+}
