@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,9 +73,33 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/clickloom-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/clickloom-{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that operators store in the block, when it ends.
+
+    Results must be written or read inside it: they may hang on those tables.
+    Outside any such block the tables stay until the folder is cleaned up.
+    """
+    _SCOPES.append([])
+    try:
+        yield _SCOPES[-1]
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCOPES.pop():
+            target = path(name)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
