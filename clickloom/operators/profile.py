@@ -238,7 +238,11 @@ def correlations(df: DataFrame, columns) -> DataFrame:
 def histogram(
     df: DataFrame, value: str = "price", bins: int = 50, clip: float | None = None
 ) -> DataFrame:
-    """Equal-width bins; ``clip`` moves values above that quantile onto it."""
+    """Equal-width bins with their edges, empty ones included.
+
+    ``clip`` moves values above that quantile onto it. Without a value there is
+    no range and no bin.
+    """
     numbers = df.select(F.col(value).cast("double").alias("v"))
     numbers = numbers.filter(F.col("v").isNotNull() & ~F.isnan("v"))
     if clip is not None:
@@ -248,7 +252,25 @@ def histogram(
     span = numbers.agg(span.alias("span")).scalar()
     low, high = span.getField("low"), span.getField("high")
     placed = numbers.select(bin_of(F.col("v"), low, high, bins).alias("bin"))
-    return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
+    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
+    flat = high == low
+    start = F.when(flat, low - 0.5).otherwise(low)
+    width = F.when(flat, F.lit(1.0)).otherwise(high - low)
+
+    def edge(number: Column) -> Column:
+        return start + width * number / F.lit(float(bins))
+
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return (
+        every.join(F.broadcast(counts), "bin", "left")
+        .select(
+            "bin",
+            F.coalesce("rows", F.lit(0)).alias("rows"),
+            edge(F.col("bin")).alias("low"),
+            edge(F.col("bin") + 1).alias("high"),
+        )
+        .filter("low IS NOT NULL")
+    )
 
 
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:

@@ -387,9 +387,14 @@ FROM totals
 def _histogram(source: str, bins: int) -> str:
     return f"""
 , r AS (SELECT min(v) AS low, max(v) AS high FROM {source})
-SELECT CAST(greatest(0, least({bins - 1}, CAST(floor((v - low) * {bins}.0
-  / (high - low)) AS BIGINT))) AS INTEGER) AS bin, count(*) AS rows
-FROM {source}, r GROUP BY 1
+, filled AS (
+  SELECT CAST(greatest(0, least({bins - 1}, CAST(floor((v - low) * {bins}.0
+    / (high - low)) AS BIGINT))) AS INTEGER) AS bin, count(*) AS rows
+  FROM {source}, r GROUP BY 1)
+SELECT CAST(b AS INTEGER) AS bin, coalesce(rows, 0) AS rows,
+  round(low + (high - low) * b / {bins}.0, 6) AS low,
+  round(low + (high - low) * (b + 1) / {bins}.0, 6) AS high
+FROM range({bins}) t(b) CROSS JOIN r LEFT JOIN filled ON filled.bin = b
 """
 
 

@@ -525,12 +525,13 @@ def correlations(spark, sf_dir):
 
 @query
 def price_histogram(spark, sf_dir):
-    return profile.histogram(A.silver(spark, sf_dir))
+    return rounded(profile.histogram(A.silver(spark, sf_dir)), 6, "low", "high")
 
 
 @query
 def price_histogram_clipped(spark, sf_dir):
-    return profile.histogram(A.silver(spark, sf_dir), bins=60, clip=0.99)
+    rows = profile.histogram(A.silver(spark, sf_dir), bins=60, clip=0.99)
+    return rounded(rows, 6, "low", "high")
 
 
 @query

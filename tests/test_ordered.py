@@ -75,7 +75,10 @@ def test_missing_values_and_top_values(spark):
 def test_histogram_of_one_value(spark):
     frame = silver(spark, [event("s", i, price=2.0) for i in range(3)])
     rows = profile.histogram(frame, bins=10).collect()
-    assert [(r["bin"], r["rows"]) for r in rows] == [(5, 3)]
+    assert [(r["bin"], r["rows"]) for r in rows if r["rows"]] == [(5, 3)]
+    assert len(rows) == 10  # empty bins too, with edges
+    assert (rows[0]["low"], rows[9]["high"]) == (1.5, 2.5)
+    assert profile.histogram(frame.limit(0), bins=10).count() == 0
 
 
 def test_head_per_file(spark):
