@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import Memo, keyed_texts, map_batches
 
-MEMO_WORDS = 250_000
-REPLAY_BYTES = 4 << 20
+MEMO_WORDS = 150_000
+REPLAY_BYTES = 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,7 +39,6 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {i: token for token, i in ranks.items()}
         self.bytes = [ranks[bytes([b])] for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
         get = ranks.get
@@ -128,9 +127,6 @@ class MergeReplay:
             out.append(found)
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
-
 
 class TextEncoder:
     """Ids of texts: pattern, then the memo of words, then replay of the rest."""
@@ -158,6 +154,10 @@ class TextEncoder:
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
 
 
+def decode(ids: np.ndarray, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
 _ENCODERS: dict[tuple[str, str], TextEncoder] = {}
 
 
@@ -191,14 +191,14 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_batches(keyed_texts(docs), task, "doc_id long, ids binary")
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded): the bytes of every row of ids; null stays null."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay = encoder(path, pattern).replay
+        tokens = {i: token for token, i in load_ranks(path).items()}
         for batch in batches:
             found = [
-                None if ids is None else replay.decode(np.frombuffer(ids, "<u4"))
+                None if ids is None else decode(np.frombuffer(ids, "<u4"), tokens)
                 for ids in batch.column(1).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
@@ -212,7 +212,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Token count, and digests of the ids and of the bytes they decode to."""
-    decoded = decode_documents(encode_documents(docs, path, pattern), path, pattern)
+    decoded = decode_documents(encode_documents(docs, path, pattern), path)
     return decoded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),

@@ -28,6 +28,7 @@ def reference():
 
 
 ENCODER = bpe.TextEncoder(PATH, PATTERN, 50)
+TOKENS = {i: t for t, i in bpe.load_ranks(PATH).items()}
 LIBRARY = library(bpe.load_ranks(PATH))
 
 
@@ -37,7 +38,7 @@ def test_any_text(text):
     ids = ENCODER.encode([text, "aaaa" + text])
     assert ids[0].tolist() == LIBRARY.encode_ordinary(text)
     assert ids[1].tolist() == LIBRARY.encode_ordinary("aaaa" + text)
-    assert ENCODER.replay.decode(ids[0]) == text.encode()
+    assert bpe.decode(ids[0], TOKENS) == text.encode()
 
 
 def test_ranks_out_of_order():
