@@ -108,9 +108,22 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """At most ``KNOWN_WORDS`` words and ``BUCKETS`` sums reach the driver."""
-    top = counts.orderBy(F.col("n").desc(), "word").limit(KNOWN_WORDS)
+    """At most ``KNOWN_WORDS`` words and ``BUCKETS`` sums reach the driver.
+
+    The words are those above a count, found from a histogram of the counts'
+    logarithms, so no task sends more than it has to.
+    """
+    step = F.floor(F.log2("n") * 32).cast("int")
+    histogram = counts.groupBy(step.alias("step")).count().collect()
+    least, held = None, 0
+    for row in sorted(histogram, reverse=True):
+        held += row["count"]
+        if held > KNOWN_WORDS:
+            break
+        least = row["step"]
+    top = counts.filter(step >= (1 << 20 if least is None else least))
     rows = [(bytes(r["word"]), r["n"]) for r in top.select("word", "n").collect()]
+    rows.sort(key=lambda row: (-row[1], row[0]))
     known = dict(rows)
     frequent = [word for word, _ in rows[:WORDS]]
     if END not in frequent:
