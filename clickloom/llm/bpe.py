@@ -22,6 +22,7 @@ from clickloom.llm.common import Memo, keyed_texts, map_batches
 
 MEMO_WORDS = 150_000
 REPLAY_BYTES = 1 << 19
+SLICE_ROWS = 250
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -179,14 +180,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path, pattern)
         for batch in batches:
-            found = words.encode(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([ids.tobytes() for ids in found], pa.binary()),
-                ],
-                ["doc_id", "ids"],
-            )
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                found = words.encode(part.column(1).to_pylist())
+                packed = pa.array([ids.tobytes() for ids in found], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), packed], ["doc_id", "ids"]
+                )
 
     return map_batches(keyed_texts(docs), task, "doc_id long, ids binary")
 
@@ -197,14 +197,16 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {i: token for token, i in load_ranks(path).items()}
         for batch in batches:
-            found = [
-                None if ids is None else decode(np.frombuffer(ids, "<u4"), tokens)
-                for ids in batch.column(1).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())],
-                ["doc_id", "ids", "decoded"],
-            )
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                found = [
+                    None if ids is None else decode(np.frombuffer(ids, "<u4"), tokens)
+                    for ids in part.column(1).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found, pa.binary())],
+                    ["doc_id", "ids", "decoded"],
+                )
 
     schema = "doc_id long, ids binary, decoded binary"
     return map_batches(encoded.select("doc_id", "ids"), task, schema)
