@@ -22,7 +22,7 @@ from clickloom.llm.common import Memo, keyed_texts, map_batches
 CAPACITY = 2048
 END_ID = 1
 GROUP_TOKENS = 4 << 20
-MEMO_WORDS = 200_000
+MEMO_WORDS = 300_000
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
