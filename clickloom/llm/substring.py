@@ -3,7 +3,9 @@
 Consecutive windows of a document that share a minimiser (the least hash of the
 short word groups in a window) form one packed string, so that words travel
 about three times and not thirteen. The minimiser names the bucket; in a bucket
-every distinct window is matched exactly, by its words.
+every distinct window is matched exactly, by its words. The windows of a
+minimiser that is too frequent for one bucket travel singly, each to the bucket
+that a hash of all its words names, so that equal ones still meet.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +27,11 @@ WINDOW = 13
 GROUP = 3
 BUCKET_BYTES = 1 << 20
 LEAST_BUCKETS = 64
+#: A minimiser of about so many windows is dealt out by whole windows. They are
+#: counted in one of COUNT_SHARE texts; a task holds COUNTED counts.
+HEAVY_WINDOWS = 1 << 20
+COUNT_SHARE = 8
+COUNTED = 1 << 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -48,8 +56,14 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def super_kmers(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Packed strings and, per string, (text, first window, windows, minimiser)."""
+def super_kmers(
+    texts: list[bytes], heavy: np.ndarray | None = None
+) -> tuple[list[bytes], np.ndarray]:
+    """Packed strings and, per string, (text, first window, windows, minimiser).
+
+    Windows of the ``heavy`` minimisers are strings of their own, with a hash of
+    the whole window for a minimiser.
+    """
     split = [text.split() for text in texts]
     sizes = np.array([len(s) for s in split])
     words = [w for s in split for w in s]
@@ -61,6 +75,10 @@ def super_kmers(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     whole = owner[: len(least)] == owner[WINDOW - 1 :]
     fresh = np.ones(len(least), bool)
     fresh[1:] = (least[1:] != least[:-1]) | (owner[1 : len(least)] != owner[: len(least) - 1])
+    if heavy is not None and len(heavy):
+        single = np.isin(least, heavy)
+        fresh |= single
+        fresh[1:] |= single[:-1]
     first = np.flatnonzero(whole & fresh)
     if not len(first):
         return [], none
@@ -75,7 +93,11 @@ def super_kmers(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         b" ".join(words[a:b]) for a, b in zip(first.tolist(), (end + WINDOW - 1).tolist())
     ]
     text = owner[first]
-    columns = (text, first - begin[text], end - first, least[first])
+    marked = least[first]
+    if heavy is not None and len(heavy):
+        for i in np.flatnonzero(single[first]).tolist():
+            marked[i] = xxhash.xxh64_intdigest(packed[i])
+    columns = (text, first - begin[text], end - first, marked)
     return packed, np.stack([c.astype(np.uint64) for c in columns], 1)
 
 
@@ -110,7 +132,45 @@ def _open(blob: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.stack(columns[:3], 1), np.stack(columns[3:], 1), body[at:]
 
 
-def packed_windows(texts: DataFrame, buckets: int) -> DataFrame:
+def heavy_minimisers(
+    texts: DataFrame, most: int | None = None, share: int | None = None
+) -> np.ndarray:
+    """Minimisers of about ``most`` windows or more.
+
+    Windows are counted in one of ``share`` texts. A task keeps the most frequent
+    minimisers and takes the count of the first one it drops off the others, so
+    it may count too few, by a share of its windows of one in ``COUNTED``. What
+    is missed or found here moves windows between buckets; results are the same.
+    """
+    most, share = most or HEAVY_WINDOWS, share or COUNT_SHARE
+    held = COUNTED
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for batch in batches:
+            _, found = super_kmers(batch.column(0).to_pylist())
+            key = np.r_[key, found[:, 3]]
+            n = np.r_[n, found[:, 2].astype(np.int64)]
+            key, row = np.unique(key, return_inverse=True)
+            n = np.bincount(row, n, len(key)).astype(np.int64)
+            if len(key) > held:
+                n -= np.partition(n, -held - 1)[-held - 1]
+                key, n = key[n > 0], n[n > 0]
+        if len(key):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"]
+            )
+
+    some = texts.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
+    counts = map_batches(some.select("text"), task, "key long, n long")
+    total = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    found = total.filter(F.col("n") * share >= most).select("key").collect()
+    return np.array([r[0] for r in found], np.int64).view(np.uint64)
+
+
+def packed_windows(
+    texts: DataFrame, buckets: int, heavy: np.ndarray | None = None
+) -> DataFrame:
     """(bucket, marks, blob): one row per bucket and batch.
 
     Of equal strings in a batch only the one of the smallest id travels; the
@@ -122,7 +182,7 @@ def packed_windows(texts: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(batch.column(0).to_numpy(), kind="stable")
             batch = batch.take(pa.array(order))
             keys = np.stack([batch.column(i).to_numpy() for i in (0, 1)], 1)
-            packed, found = super_kmers(batch.column(2).to_pylist())
+            packed, found = super_kmers(batch.column(2).to_pylist(), heavy)
             if not packed:
                 continue
             text, first, count = found[:, :3].astype(np.int64).T
@@ -174,26 +234,27 @@ def _windows(head: np.ndarray, body: bytes) -> tuple[list[bytes], np.ndarray, np
 def repeated_ranges(packed: DataFrame) -> DataFrame:
     """(doc_id, hash, start, n): windows that a smaller id has too.
 
-    A bucket holds each distinct window once, with the smallest id so far; any
-    other occurrence is given out as soon as it is known, in whatever order the
-    documents come.
+    A bucket holds each distinct window once, with the smallest id so far and the
+    place of that row; any other occurrence is given out as soon as it is known,
+    in whatever order the documents come.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen, again, rows = None, {}, {}, []
-
-        def ranges(codes: list[int]) -> pa.RecordBatch:
-            code = np.unique(np.array(codes, np.int64))
-            cut = np.r_[True, np.diff(code) != 1]
-            first = np.flatnonzero(cut)
+        current, seen, again = None, {}, {}
+
+        def ranges(ids: list[int], codes: list[int]) -> pa.RecordBatch:
+            doc, code = np.array(ids, np.int64), np.array(codes, np.int64)
+            order = np.lexsort((code, doc))
+            doc, code = doc[order], code[order]
+            fresh = np.r_[True, (np.diff(code) != 0) | (np.diff(doc) != 0)]
+            doc, code = doc[fresh], code[fresh]
+            first = np.flatnonzero(np.r_[True, (np.diff(code) != 1) | (np.diff(doc) != 0)])
             n = np.diff(np.r_[first, len(code)])
-            row = code[first] >> 32
-            keys = np.array([rows[i] for i in row.tolist()], np.int64).reshape(-1, 2)
-            start = code[first] & 0xFFFFFFFF
+            columns = (code[first] >> 32, code[first] & 0xFFFFFFFF, n)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys[:, 0]),
-                    *(pa.array(x.astype(np.int32)) for x in (keys[:, 1], start, n)),
+                    pa.array(doc[first]),
+                    *(pa.array(x.astype(np.int32)) for x in columns),
                 ],
                 ["doc_id", "hash", "start", "n"],
             )
@@ -201,34 +262,36 @@ def repeated_ranges(packed: DataFrame) -> DataFrame:
         for batch in batches:
             for bucket, marks, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != current:
-                    current, seen, again, rows = bucket, {}, {}, []
-                head, ids, body = _open(blob)
-                base, out = len(rows), []
-                rows += ids.tolist()
+                    current, seen, again = bucket, {}, {}
+                head, keys, body = _open(blob)
+                ids, out = [], []
                 if marks:
                     for r, start, n in head.tolist():
-                        at = (base + r) << 32 | start
+                        at = int(keys[r, 1]) << 32 | start
+                        ids += [int(keys[r, 0])] * n
                         out += range(at, at + n)
-                    yield ranges(out)
+                    yield ranges(ids, out)
                     continue
                 windows, row, place = _windows(head, body)
-                codes = ((row + base) << 32 | place).tolist()
-                for window, code in zip(windows, codes):
+                codes = (keys[row, 1] << 32 | place).tolist()
+                for window, a, code in zip(windows, keys[row, 0].tolist(), codes):
                     held = seen.get(window)
                     if held is None:
-                        seen[window] = code
+                        seen[window] = a, code
                         continue
-                    a, b = rows[code >> 32][0], rows[held >> 32][0]
+                    b = held[0]
                     if a > b:
+                        ids.append(a)
                         out.append(code)
                     elif a < b:
-                        out.append(held)
-                        out += again.pop(window, ())
-                        seen[window] = code
+                        more = again.pop(window, ())
+                        ids += [b] * (1 + len(more))
+                        out += (held[1], *more)
+                        seen[window] = a, code
                     else:
                         again.setdefault(window, []).append(code)
                 if out:
-                    yield ranges(out)
+                    yield ranges(ids, out)
 
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
     return map_batches(dealt, task, "doc_id long, hash int, start int, n int")
@@ -259,7 +322,8 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     texts = kept.filter("doc_id IS NOT NULL").select(
         "doc_id", "hash", F.col("text").cast("binary").alias("text")
     )
-    ranges = repeated_ranges(packed_windows(texts, bucket_count(texts)))
+    packed = packed_windows(texts, bucket_count(texts), heavy_minimisers(texts))
+    ranges = repeated_ranges(packed)
     of_row = ranges.groupBy("doc_id", "hash").agg(
         F.collect_list(F.struct("start", "n")).alias("found")
     )

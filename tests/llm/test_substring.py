@@ -71,3 +71,42 @@ def test_sliding_min():
     for width in range(1, 14):
         want = [min(values[i : i + width]) for i in range(100 - width + 1)]
         assert substring.sliding_min(values, width).tolist() == want
+
+
+def test_a_frequent_minimiser_is_dealt_out(spark, monkeypatch):
+    """Every window of one minimiser lay in one bucket, whatever their number."""
+    rng = random.Random(6)
+    # windows around the same three words, the rest of each differing
+    low = min(
+        (f"a{i} b{i} c{i}" for i in range(3000)),
+        key=lambda t: int(substring.group_hashes(t.encode().split())[0]),
+    )
+    rows = []
+    for i in range(300):
+        around = [f"w{rng.randrange(400)}" for _ in range(20)]
+        text = " ".join(around[:10]) + f" {low} " + " ".join(around[10:])
+        rows += [(2 * i, text, None, None, 0), (2 * i + 1, f"{text} z{i}", None, None, 0)]
+    monkeypatch.setattr(substring, "HEAVY_WINDOWS", 500)
+    monkeypatch.setattr(substring, "COUNT_SHARE", 1)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    texts = frame.selectExpr("doc_id", "0 AS hash", "cast(text AS binary) AS text")
+    heavy = substring.heavy_minimisers(texts)
+    assert heavy.tolist() == substring.group_hashes(low.encode().split()).tolist()
+
+    def largest(heavy):
+        held = {}
+        for r in substring.packed_windows(texts, 64, heavy).filter("NOT marks").collect():
+            head, _, body = substring._open(bytes(r["blob"]))
+            held.setdefault(r["bucket"], set()).update(substring._windows(head, body)[0])
+        return max(map(len, held.values()))
+
+    assert largest(None) > 3000
+    assert largest(heavy) < 300
+    assert got(frame) == plain(rows)
+
+
+def test_all_minimisers_heavy(docs, rows, monkeypatch):
+    monkeypatch.setattr(substring, "HEAVY_WINDOWS", 1)
+    monkeypatch.setattr(substring, "COUNT_SHARE", 2)
+    monkeypatch.setattr(substring, "COUNTED", 50)
+    assert got(docs) == plain(rows)
