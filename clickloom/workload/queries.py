@@ -707,8 +707,7 @@ def stream_late_events(spark, sf_dir):
 def _trained(spark, sf_dir):
     target, _ = _gold_table(spark, sf_dir)
     frames, words = lake.model_inputs(sources.read_gold_splits(spark, target))
-    pool = training.candidates()[-1:]
-    model, threshold, report = training.run(frames, pool)
+    model, threshold, report = training.run(frames)
     return model, words, threshold, report
 
 
