@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, fingerprint, lm, packing, quality, sharding
-from clickloom.llm import simhash, substring, toxicity, warc
+from clickloom.llm import alignment, bpe, fingerprint, lm, packing, quality
+from clickloom.llm import secret_scan, sharding, simhash, substring, toxicity
+from clickloom.llm import warc, whitening
 from clickloom.llm.common import documents, labels
 
 
@@ -54,6 +55,24 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.project(vectors, whitening.fit(vectors))
+
+
+def op12_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op13_ownership_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_scaled_sketch": op1_scaled_sketch,
     "op2_merge_replay": op2_merge_replay,
@@ -65,6 +84,9 @@ QUERIES = {
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op9_log_bilinear": op9_log_bilinear,
     "op10_virtual_slots": op10_virtual_slots,
+    "op11_feast_whitening": op11_feast_whitening,
+    "op12_text_alignment": op12_text_alignment,
+    "op13_ownership_frequency": op13_ownership_frequency,
 }
 
 ORACLE_SQL: dict[str, str] = {
