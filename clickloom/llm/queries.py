@@ -127,4 +127,53 @@ SELECT w.doc_id, CAST(len(any_value(w.ws)) AS BIGINT) AS n_words,
   sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.i) FILTER (NOT c.gone), ''))
     AS kept_sha256
 FROM w LEFT JOIN c ON w.doc_id = c.doc_id GROUP BY w.doc_id""",
+    "op13_ownership_frequency": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, source
+  FROM documents
+), p(kind, name, pattern, part, least) AS (VALUES
+  (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|'
+    || '[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])'
+    || '["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+  (2, 'hex', '[0-9a-f]{24,}', 0, 24),
+  (3, 'owned', '[A-Za-z0-9+/_=-]{20,}', 0, 20)
+), m AS (
+  SELECT row, source, kind, least, string_split_regex(text, pattern) AS gaps,
+    regexp_extract_all(text, pattern) AS hits,
+    CASE WHEN part = 2 THEN regexp_extract_all(text, pattern, 2)
+      ELSE regexp_extract_all(text, pattern) END AS found
+  FROM d, p WHERE regexp_matches(text, pattern)
+), e AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m), s AS (
+  SELECT row, source, kind, found[i] AS value, length(hits[i]) AS size, CAST(
+    list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)
+    AS BIGINT) AS start
+  FROM e WHERE length(found[i]) >= least
+), b AS (SELECT * FROM s WHERE kind < 3), w AS (
+  SELECT * FROM s WHERE kind = 3 AND regexp_matches(value, '[a-z]')
+    AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM b WHERE b.row = s.row
+      AND b.start < s.start + s.size AND s.start < b.start + b.size)
+), c AS (SELECT * FROM b UNION ALL SELECT * FROM w), o AS (
+  SELECT value, count(DISTINCT source) + max(CAST(source IS NULL AS INT)) <= 8 AS live
+  FROM c GROUP BY value
+), t AS (
+  SELECT row, c.kind, c.start, live,
+    name || ':' || c.start || ':' || (c.start + c.size) AS span
+  FROM c JOIN o USING (value) JOIN p ON p.kind = c.kind WHERE live OR c.kind < 3
+), g AS (
+  SELECT row, count(*) FILTER (kind = 0) AS n_assign,
+    count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_shared,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (live) AS live_spans,
+    string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM t GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared,
+  coalesce(live_spans, '') AS live_spans, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (row)""",
 }

@@ -191,10 +191,11 @@ def scan_documents(
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")
     every = F.coalesce("spans", nothing)
     out = stored.join(spans, "row", "left").withColumn("spans", every)
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, (name, *_) in enumerate(BASE)
-    ]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, (name, *_) in enumerate(BASE)]
     only_live = F.filter("spans", lambda s: s["live"])
     return out.select(
         "doc_id",
