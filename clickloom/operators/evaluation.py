@@ -134,6 +134,11 @@ def metrics_from_counts(
         (F.col("_positives") - hits).alias("fn"),
         (F.col("_rows") - F.col("_positives") - taken + hits).alias("tn"),
     )
+    return confusion_metrics(counted)
+
+
+def confusion_metrics(counted: DataFrame) -> DataFrame:
+    """Add precision, recall and F1 to rows with tp, fp and fn."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return counted.withColumns(
         {

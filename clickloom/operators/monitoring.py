@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import scalars as S
-from clickloom.operators import evaluation as E
-from clickloom.operators.ordered import TASK_ROWS, exact_quantiles, largest_group
+from clickloom.operators import rolling
+from clickloom.operators.ordered import TASK_ROWS, exact_quantiles
 from clickloom.operators.profile import bin_of
 from clickloom.operators.sessions import SESSION, SESSION_ROWS, add_next_instant
 from clickloom.session import cut_lineage
@@ -22,6 +22,7 @@ PR_AUC_ALERT = 0.7
 
 REPLAY_MODE = "demo_replay"
 BACKFILL_MODE = "offline_backfill"
+OUTCOME = ("actual_purchase", "ground_truth_time", "is_correct_prediction")
 
 
 def drift(
@@ -30,7 +31,7 @@ def drift(
     """PSI and KL divergence of each feature between two frames.
 
     Both sides are binned on the expected range; values beyond it count in the
-    end bins.
+    end bins. A feature without any expected value has no scores and no bands.
     """
     features = list(features)
     extremes = expected.agg(
@@ -52,6 +53,10 @@ def drift(
             for f in features
             if extremes[f"low_{f}"] is not None
         ]
+        if not cells:
+            return df.sparkSession.createDataFrame(
+                [], "feature string, bin int, n long, side string"
+            )
         listed = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
         counted = listed.filter(F.col("bin").isNotNull()).groupBy("feature", "bin")
         return counted.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))
@@ -83,19 +88,51 @@ def drift(
         F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi"),
         F.sum(F.col("p1") * F.log(F.col("p1") / F.col("q1"))).alias("kl"),
     )
+    asked = F.explode(F.array(*map(F.lit, features))).alias("feature")
+    named = expected.sparkSession.range(1).select(asked)
+    scores = named.join(scores, "feature", "left")
     psi_band = (
-        F.when(F.col("psi") >= RETRAIN_BAND, "retrain")
+        F.when(F.col("psi").isNull(), None)
+        .when(F.col("psi") >= RETRAIN_BAND, "retrain")
         .when(F.col("psi") >= WARN_BAND, "warn")
         .otherwise("stable")
     )
     kl_band = (
-        F.when(F.col("kl") > RETRAIN_BAND, "retrain")
+        F.when(F.col("kl").isNull(), None)
+        .when(F.col("kl") > RETRAIN_BAND, "retrain")
         .when(F.col("kl") > WARN_BAND, "warn")
         .otherwise("stable")
     )
     return scores.withColumns({"psi_band": psi_band, "kl_band": kl_band})
 
 
+def prediction_instant():
+    """Where the window of a prediction starts: on the source's own time line
+    for backfill, else when it was made."""
+    backfill = F.col("evaluation_mode") == BACKFILL_MODE
+    return F.when(backfill, F.col("source_event_time")).otherwise(
+        F.col("prediction_time")
+    )
+
+
+def purchase_lanes(events: DataFrame) -> DataFrame:
+    """(user_session, evaluation_mode, instant): each purchase on both time
+    lines. Purchases without a session are left out."""
+    purchase = (F.col("event_type") == "purchase") & F.col(SESSION).isNotNull()
+    lanes = F.explode(
+        F.array(
+            F.struct(F.lit(REPLAY_MODE).alias("m"), F.col("replay_time").alias("t")),
+            F.struct(
+                F.lit(BACKFILL_MODE).alias("m"), F.col("source_event_time").alias("t")
+            ),
+        )
+    )
+    listed = events.filter(purchase).select(SESSION, lanes.alias("_l"))
+    return listed.select(
+        SESSION, F.col("_l.m").alias("evaluation_mode"), F.col("_l.t").alias("instant")
+    )
+
+
 def label_outcomes(
     predictions: DataFrame,
     events: DataFrame,
@@ -103,40 +140,25 @@ def label_outcomes(
     as_of=None,
     limit: int = SESSION_ROWS,
 ) -> DataFrame:
-    """Fill ``actual_purchase`` and ``is_correct_prediction``.
+    """Fill ``actual_purchase``, ``is_correct_prediction``, ``ground_truth_time``.
 
     Replay predictions look at ``replay_time`` of purchases after
     ``prediction_time``; backfill ones stay on ``source_event_time``. Both are
     one ordered scan per session and mode, never prediction x purchase pairs.
     An open window at ``as_of`` with no purchase so far stays NULL, and so does
-    a prediction without a session or with a mode that is neither.
+    a prediction without a session or with a mode that is neither. The ground
+    truth time is the end of the window, and NULL as long as that is open.
     """
-    backfill = F.col("evaluation_mode") == BACKFILL_MODE
-    instant = F.when(backfill, F.col("source_event_time")).otherwise(
-        F.col("prediction_time")
-    )
     known_mode = F.col("evaluation_mode").isin(REPLAY_MODE, BACKFILL_MODE)
     lane = F.concat("evaluation_mode", F.lit("|"), SESSION)
+    instant = S.epoch_micros(prediction_instant())
     asked = predictions.withColumns(
-        {"_us": S.epoch_micros(instant), "_session": F.col(SESSION), SESSION: lane}
+        {"_us": instant, "_session": F.col(SESSION), SESSION: lane}
     ).withColumn("_bought", F.lit(False))
-    purchase = (F.col("event_type") == "purchase") & F.col(SESSION).isNotNull()
-    purchases = events.filter(purchase)
-    lanes = F.explode(
-        F.array(
-            F.struct(
-                F.lit(REPLAY_MODE).alias("m"), F.col("replay_time").alias("t")
-            ),
-            F.struct(
-                F.lit(BACKFILL_MODE).alias("m"), F.col("source_event_time").alias("t")
-            ),
-        )
+    bought = purchase_lanes(events).select(
+        lane.alias(SESSION), S.epoch_micros(F.col("instant")).alias("_us")
     )
-    bought = purchases.select(SESSION, lanes.alias("_l")).select(
-        F.concat(F.col("_l.m"), F.lit("|"), F.col(SESSION)).alias(SESSION),
-        S.epoch_micros(F.col("_l.t")).alias("_us"),
-        F.lit(True).alias("_bought"),
-    ).distinct()
+    bought = bought.withColumn("_bought", F.lit(True)).distinct()
     scanned = add_next_instant(
         asked.unionByName(bought, allowMissingColumns=True),
         "_us",
@@ -147,21 +169,25 @@ def label_outcomes(
     end = F.col("_us") + horizon_seconds * C.MICROS
     hit = F.col("_next") <= end
     actual = F.when(hit, 1).otherwise(0)
+    closed = end
     if as_of is not None:
         known = S.epoch_micros(F.lit(as_of).cast("timestamp_ntz"))
+        closed = F.when(end <= known, end)
         actual = (
             F.when(hit & (F.col("_next") <= known), 1).when(end <= known, 0)
         )
-    actual = F.when(known_mode & F.col("_session").isNotNull(), actual)
+    asked_for = known_mode & F.col("_session").isNotNull()
+    actual = F.when(asked_for, actual)
+    truth = F.timestamp_micros(F.when(asked_for, closed)).cast("timestamp_ntz")
     guess = (F.col("purchase_probability") >= 0.5).cast("int")
     kept = [
         F.col("_session").alias(SESSION) if c == SESSION else F.col(c)
         for c in predictions.columns
-        if c not in ("actual_purchase", "is_correct_prediction")
+        if c not in OUTCOME
     ]
-    return scanned.select(*kept, actual.alias("actual_purchase")).withColumn(
-        "is_correct_prediction", F.col("actual_purchase") == guess
-    )
+    return scanned.select(
+        *kept, actual.alias("actual_purchase"), truth.alias("ground_truth_time")
+    ).withColumn("is_correct_prediction", F.col("actual_purchase") == guess)
 
 
 def _day_windows(hour: str):
@@ -170,32 +196,21 @@ def _day_windows(hour: str):
     return F.explode(F.sequence(first, F.col(hour), F.expr("INTERVAL 1 HOUR")))
 
 
-def online_metrics(labelled: DataFrame, limit: int = TASK_ROWS) -> DataFrame:
+def online_metrics(
+    labelled: DataFrame, limit: int = TASK_ROWS, as_of=None
+) -> DataFrame:
     """24-hour metrics every hour and evaluation mode, fallback rows excluded.
 
-    Rows collapse to (mode, hour, score) before they fan out into windows. No
-    window holds more than 24 times the scores of the busiest hour.
+    The hourly score counts are stored and swept in blocks of windows; with
+    ``as_of`` only the last full day before it is read and computed.
     """
-    model = labelled.filter(
-        (F.col("prediction_mode") == "model") & F.col("actual_purchase").isNotNull()
-    )
-    hourly = model.groupBy(
-        "evaluation_mode",
-        F.date_trunc("hour", "prediction_time").cast("timestamp_ntz").alias("_hour"),
-        F.col("purchase_probability").alias("score"),
-    ).agg(
-        F.sum(F.col("actual_purchase").cast("long")).alias("positives"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    hourly = cut_lineage(hourly)
-    largest = 24 * largest_group(hourly, ["evaluation_mode", "_hour"])
-    windowed = (
-        hourly.withColumn("window_start", _day_windows("_hour"))
-        .groupBy("evaluation_mode", "window_start", "score")
-        .agg(F.sum("positives").alias("positives"), F.sum("rows").alias("rows"))
-    )
-    keys = ["evaluation_mode", "window_start"]
-    return E.metrics_from_counts(windowed, keys, 0.5, limit, largest)
+    if as_of is not None:
+        end = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz"))
+        end = end.cast("timestamp_ntz")
+        time = F.col("prediction_time")
+        labelled = labelled.filter((time >= end - F.expr("INTERVAL 24 HOURS")) & (time < end))
+    hourly = cut_lineage(rolling.hourly_scores(labelled))
+    return rolling.metrics(hourly, 0.5, as_of, limit)
 
 
 def coverage(labelled: DataFrame) -> DataFrame:

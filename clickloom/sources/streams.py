@@ -10,8 +10,7 @@ from clickloom import schemas
 
 # Rows of one trigger are bounded, and with them what one key gets at a time.
 OFFSETS_PER_TRIGGER = 2_000_000
-FILES_PER_TRIGGER = 64
-BYTES_PER_TRIGGER = "2g"
+BYTES_PER_TRIGGER = 2 << 30
 
 
 def topic_events(
@@ -57,18 +56,16 @@ def file_events(
     path: str,
     schema: T.StructType,
     form: str = "parquet",
-    files_per_trigger: int | str = BYTES_PER_TRIGGER,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int = BYTES_PER_TRIGGER,
 ) -> DataFrame:
-    """Files that appear in a folder, a bounded number per trigger.
+    """Files that appear in a folder, a bounded number or size per trigger.
 
-    Files of unknown size: give a number of files, or of bytes as text
-    (``"512m"``, see ``BYTES_PER_TRIGGER``); Spark takes one of the two.
+    Spark takes one of the two bounds: without a number of files, the bytes.
     """
-    reader = spark.readStream.schema(schema)
-    if isinstance(files_per_trigger, str):
-        return (
-            reader.option("maxBytesPerTrigger", files_per_trigger)
-            .format(form)
-            .load(path)
-        )
-    return reader.option("maxFilesPerTrigger", files_per_trigger).format(form).load(path)
+    reader = spark.readStream.schema(schema).format(form)
+    if files_per_trigger is None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path)

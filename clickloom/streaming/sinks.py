@@ -60,7 +60,7 @@ def append_new(events: DataFrame, path: str) -> None:
     stamped.write.mode("append").partitionBy("event_date").parquet(path)
 
 
-def _batch_table(df: DataFrame, path: str, batch_id: int) -> None:
+def batch_table(df: DataFrame, path: str, batch_id: int) -> None:
     """A folder per batch: a repeated batch replaces its own rows."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -90,11 +90,11 @@ def route(log: str, late: str, serving: str, dead: str | None = None):
         try:
             accepted = batch.filter(F.col("status") == ACCEPTED)
             append_new(accepted.select(*LOG_COLUMNS), log)
-            _batch_table(to_messages(late_events(batch)), late, batch_id)
+            batch_table(to_messages(late_events(batch)), late, batch_id)
             tracked = batch.filter(F.col("status") != REJECTED)
-            _batch_table(tracked.drop("message", "reason"), serving, batch_id)
+            batch_table(tracked.drop("message", "reason"), serving, batch_id)
             if dead is not None:
-                _batch_table(dead_letters(batch), dead, batch_id)
+                batch_table(dead_letters(batch), dead, batch_id)
         finally:
             batch.unpersist()
 
@@ -110,7 +110,7 @@ def score_stream(model, vocabulary: DataFrame, meta: dict, path: str):
             states = latest_states(batch.filter(F.col("status") == ACCEPTED))
             asked = states.select("user_session")
             answers = score(asked, states, vocabulary, model, meta)
-            _batch_table(answers, path, batch_id)
+            batch_table(answers, path, batch_id)
         finally:
             batch.unpersist()
 

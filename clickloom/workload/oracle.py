@@ -190,18 +190,20 @@ _MISSING = " UNION ALL ".join(
 )
 _NUMBER_ROWS = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM gold"
-    for c in ("price", "session_duration_sec")
+    for c in _NUMBERS
 )
 _TEXT_ROWS = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {c} AS value FROM silver WHERE {c} IS NOT NULL"
-    for c in ("event_type", "product_id", "brand")
+    for c in (
+        "event_type", "product_id", "category_id", "user_id", "user_session",
+        "category_code", "brand",
+    )
 )
-_CORRELATED = ("total_views", "unique_products", "session_duration_sec", "price")
 _CORRELATIONS = " UNION ALL ".join(
     f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", "
     f"round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS correlation FROM gold"
-    for a in _CORRELATED
-    for b in _CORRELATED
+    for a in _NUMBERS
+    for b in _NUMBERS
 )
 
 _TRAIN = """, trained AS (
@@ -298,6 +300,37 @@ _ONLINE = _HOURS + """, online_counts AS (
 )
 """
 
+# Scores of each day against those of the week before it.
+_SCORE_KL = """, hist AS (
+  SELECT evaluation_mode, epoch_us(prediction_time) // 3600000000 AS hour,
+    greatest(0, least(9, CAST(floor(purchase_probability * 10) AS INTEGER))) AS bin,
+    count(*) AS n
+  FROM predictions WHERE prediction_mode = 'model' GROUP BY ALL
+), starts AS (
+  SELECT DISTINCT evaluation_mode, hour - i.i AS first FROM hist, range(24) i(i)
+), sums AS (
+  SELECT s.evaluation_mode, s.first, b.bin,
+    coalesce(sum(n) FILTER (hour < first), 0) AS p,
+    coalesce(sum(n) FILTER (hour >= first), 0) AS q
+  FROM starts s CROSS JOIN range(10) b(bin) LEFT JOIN hist h
+    ON h.evaluation_mode = s.evaluation_mode AND h.bin = b.bin
+      AND h.hour BETWEEN s.first - 168 AND s.first + 23
+  GROUP BY ALL
+), floored AS (
+  SELECT evaluation_mode, first, sum(p) OVER d AS ps, sum(q) OVER d AS qs,
+    greatest(CAST(p AS DOUBLE) / sum(p) OVER d, 0.001) AS p,
+    greatest(CAST(q AS DOUBLE) / sum(q) OVER d, 0.001) AS q
+  FROM sums WINDOW d AS (PARTITION BY evaluation_mode, first)
+), normal AS (
+  SELECT evaluation_mode, first, p / sum(p) OVER d AS p, q / sum(q) OVER d AS q
+  FROM floored WHERE ps > 0 AND qs > 0 WINDOW d AS (PARTITION BY evaluation_mode, first)
+), shifts AS (
+  SELECT evaluation_mode, make_timestamp(CAST(first AS BIGINT) * 3600000000)
+      AS window_start, sum(p * ln(p / q)) AS kl
+  FROM normal GROUP BY ALL
+)
+"""
+
 # Sub-sessions of the stream: a gap above the time to live starts anew.
 STREAM_TTL = 12 * 3600
 _STREAM = f""", gaps AS (
@@ -342,22 +375,44 @@ _EVENT_ID = (
     "'%Y-%m-%dT%H:%M:%S'), event_type, product_id, user_id))"
 )
 
-_PSI = """, lo AS (SELECT min(session_start_time) + (max(session_start_time)
+_VIEWED = """, priced AS (
+      SELECT *, CASE WHEN event_type = 'view' THEN price END AS viewed FROM silver),
+      sums AS (
+      SELECT *, count(viewed) OVER w AS n, sum(viewed) OVER w AS spent,
+        var_pop(viewed) OVER w AS variance,
+        coalesce(sum(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) OVER w, 0)
+          AS carts,
+        CAST(coalesce(sum(CASE WHEN event_type = 'remove_from_cart' THEN 1 ELSE 0
+          END) OVER w, 0) AS BIGINT) AS removes,
+        count(brand) OVER w AS branded,
+        epoch_us(source_event_time) - lag(epoch_us(source_event_time)) OVER (
+          PARTITION BY user_session
+          ORDER BY source_event_time, event_type, product_id, user_id) AS gap
+      FROM priced
+      WINDOW w AS (PARTITION BY user_session
+        ORDER BY source_event_time, event_type, product_id, user_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), means AS (
+      SELECT *, CASE WHEN n > 0 THEN spent / n END AS mean FROM sums)
+"""
+
+_PSI = _VIEWED + """, lo AS (SELECT min(session_start_time) + (max(session_start_time)
     - min(session_start_time)) / 2 AS mid FROM sessions
 ), sides AS (
-  SELECT g.*, s.session_start_time < (SELECT mid FROM lo) AS early
+  SELECT g.*, s.session_start_time < (SELECT mid FROM lo) AS early,
+    round(m.mean + 1e-9, 6) AS avg_price_viewed
   FROM gold g JOIN sessions s USING (user_session)
+  JOIN means m USING (user_session, source_event_time, event_type, product_id, user_id)
 ), vals AS (
 """ + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, early FROM sides"
-    for c in ("cart_to_view_ratio", "session_duration_sec")
+    for c in ("cart_to_view_ratio", "session_duration_sec", "avg_price_viewed")
 ) + """
 ), bounds AS (
   SELECT feature, min(v) AS low, max(v) AS high FROM vals WHERE early GROUP BY feature
 ), binned AS (
   SELECT feature, early, greatest(0, least(9, CAST(floor((v - low) * 10.0
     / (high - low)) AS BIGINT))) AS bin
-  FROM vals JOIN bounds USING (feature)
+  FROM vals JOIN bounds USING (feature) WHERE v IS NOT NULL
 ), grid AS (
   SELECT feature, i AS bin FROM bounds, range(10) t(i)
 ), sized AS (
@@ -381,6 +436,7 @@ SELECT feature, round(psi, 6) AS psi, round(kl, 6) AS kl,
   CASE WHEN kl > 0.2 THEN 'retrain' WHEN kl > 0.1 THEN 'warn' ELSE 'stable' END
     AS kl_band
 FROM totals
+UNION ALL SELECT 'no_value', NULL, NULL, NULL, NULL
 """
 
 
@@ -497,24 +553,7 @@ def build() -> dict[str, str]:
     q["gold_with_split"] = """SELECT g.*, m.split FROM gold g
       JOIN split_map m USING (user_session)"""
     q["gold_tables"] = q["gold_with_split"]
-    q["extended_features"] = f""", priced AS (
-      SELECT *, CASE WHEN event_type = 'view' THEN price END AS viewed FROM silver),
-      sums AS (
-      SELECT *, count(viewed) OVER w AS n, sum(viewed) OVER w AS spent,
-        var_pop(viewed) OVER w AS variance,
-        coalesce(sum(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) OVER w, 0)
-          AS carts,
-        CAST(coalesce(sum(CASE WHEN event_type = 'remove_from_cart' THEN 1 ELSE 0
-          END) OVER w, 0) AS BIGINT) AS removes,
-        count(brand) OVER w AS branded,
-        epoch_us(source_event_time) - lag(epoch_us(source_event_time)) OVER (
-          PARTITION BY user_session
-          ORDER BY source_event_time, event_type, product_id, user_id) AS gap
-      FROM priced
-      WINDOW w AS (PARTITION BY user_session
-        ORDER BY source_event_time, event_type, product_id, user_id
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), means AS (
-      SELECT *, CASE WHEN n > 0 THEN spent / n END AS mean FROM sums)
+    q["extended_features"] = _VIEWED + f"""
       SELECT {_KEY}, removes AS total_removes,
         CASE WHEN carts = 0 THEN 0.0 ELSE CAST(removes AS DOUBLE)
           / CAST(carts AS DOUBLE) END AS cart_remove_rate,
@@ -644,7 +683,29 @@ def build() -> dict[str, str]:
     q["drift"] = _PSI
     q["prediction_outcomes"] = """SELECT *,
         CAST(purchase_probability >= 0.5 AS INTEGER) = actual_purchase
-          AS is_correct_prediction FROM labelled"""
+          AS is_correct_prediction,
+        CASE WHEN evaluation_mode = 'offline_backfill' THEN source_event_time
+          ELSE prediction_time END + """ + f"""INTERVAL {HORIZON} SECOND
+          AS ground_truth_time FROM labelled"""
+    q["stream_outcomes"] = f""", instants AS (
+        SELECT *, CASE WHEN evaluation_mode = 'offline_backfill' THEN source_event_time
+          ELSE prediction_time END AS instant FROM labelled
+      ), reached AS (
+        SELECT least((SELECT max(instant) FROM instants), (SELECT
+          max(source_event_time) + INTERVAL 2 SECOND FROM silver
+          WHERE event_type = 'purchase')) - INTERVAL 600 SECOND AS until
+      ), ends AS (
+        SELECT i.* EXCLUDE (instant, actual_purchase),
+          instant + INTERVAL {HORIZON} SECOND AS done,
+          instant + INTERVAL {HORIZON} SECOND <= until AS closed, actual_purchase AS hit
+        FROM instants i, reached
+      )
+      SELECT * EXCLUDE (done, closed, hit),
+        CASE WHEN closed THEN hit END AS actual_purchase,
+        CASE WHEN closed THEN done END AS ground_truth_time,
+        CASE WHEN closed THEN CAST(purchase_probability >= 0.5 AS INTEGER) = hit END
+          AS is_correct_prediction
+      FROM ends"""
     q["online_metrics"] = _ONLINE + _metric_select(
         "online_counts", "evaluation_mode, window_start"
     )
@@ -658,13 +719,23 @@ def build() -> dict[str, str]:
     shown = _ONLINE + _metric_select(
         "online_counts", "evaluation_mode, window_start", into="shown"
     )
+    q["online_metrics_as_of"] = f""", online_counts AS (
+        SELECT evaluation_mode, TIMESTAMP '{CUTOFF}' - INTERVAL 24 HOUR AS window_start,
+          purchase_probability AS score, sum(actual_purchase) AS positives,
+          count(*) AS n
+        FROM labelled WHERE prediction_mode = 'model'
+          AND prediction_time >= TIMESTAMP '{CUTOFF}' - INTERVAL 24 HOUR
+          AND prediction_time < TIMESTAMP '{CUTOFF}' GROUP BY ALL)
+      """ + _metric_select("online_counts", "evaluation_mode, window_start")
+    q["score_drift"] = _SCORE_KL + """SELECT evaluation_mode, window_start,
+        round(kl, 6) AS kl FROM shifts"""
     q["degradation_alerts"] = shown + """, lagged AS (SELECT *, lag(pr_auc) OVER o AS b,
         lag(window_start) OVER o AS earlier FROM shown
       WINDOW o AS (PARTITION BY evaluation_mode ORDER BY window_start))
       SELECT evaluation_mode, window_start, pr_auc FROM lagged
       WHERE pr_auc < 0.7 AND b < 0.7
         AND earlier = window_start - INTERVAL 1 HOUR"""
-    q["metric_alerts"] = shown + """, cov AS (SELECT evaluation_mode, window_start,
+    q["metric_alerts"] = shown + _SCORE_KL + """, cov AS (SELECT evaluation_mode, window_start,
         round(CAST(count(actual_purchase) AS DOUBLE) / count(*), 6) AS known,
         round(CAST(count(*) FILTER (prediction_mode = 'fallback') AS DOUBLE)
           / count(*), 6) AS fallback
@@ -675,7 +746,9 @@ def build() -> dict[str, str]:
       SELECT evaluation_mode, window_start, 'outcome_coverage', known, known < 0.8, 1
       FROM cov UNION ALL
       SELECT evaluation_mode, window_start, 'fallback_rate', fallback,
-        fallback > 0.05, 2 FROM cov), lagged AS (
+        fallback > 0.05, 2 FROM cov UNION ALL
+      SELECT evaluation_mode, window_start, 'kl', round(kl, 6), round(kl, 6) > 0.15, 1
+      FROM shifts), lagged AS (
       SELECT *, lag(bad) OVER o AS before, lag(window_start) OVER o AS earlier
       FROM vals WINDOW o AS (PARTITION BY evaluation_mode, rule ORDER BY window_start))
       SELECT evaluation_mode, window_start, rule, value FROM lagged

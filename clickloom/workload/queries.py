@@ -20,6 +20,7 @@ from clickloom.operators import (
     monitoring,
     profile,
     replay,
+    rolling,
     sessions,
     splits,
 )
@@ -29,7 +30,7 @@ from clickloom.session import cut_lineage, scratch_path
 from clickloom.sinks import tables as sinks
 from clickloom.sources import raw_csv, streams
 from clickloom.sources import tables as sources
-from clickloom.streaming import session_state, sinks as stream_sinks
+from clickloom.streaming import outcomes, session_state, sinks as stream_sinks
 from clickloom.workload import adapter as A
 from clickloom.workload.oracle import RETRAIN_AS_OF, STREAM_TTL
 
@@ -44,6 +45,9 @@ SLICES = [
 ]
 
 
+_TEXTS = [f.name for f in schemas.SILVER if f.dataType.simpleString() == "string"]
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -505,21 +509,18 @@ def distinct_entities(spark, sf_dir):
 
 @query
 def describe_numbers(spark, sf_dir):
-    columns = ["price", "session_duration_sec"]
-    rows = profile.describe_numbers(A.snapshots(spark, sf_dir), columns)
+    rows = profile.describe_numbers(A.snapshots(spark, sf_dir), C.NUMERIC_FEATURES)
     return rounded(rows, 4, "mean", "std", "q1", "q2", "q3")
 
 
 @query
 def describe_texts(spark, sf_dir):
-    columns = ["event_type", "product_id", "brand"]
-    return profile.describe_texts(A.silver(spark, sf_dir), columns)
+    return profile.describe_texts(A.silver(spark, sf_dir), _TEXTS)
 
 
 @query
 def correlations(spark, sf_dir):
-    columns = ["total_views", "unique_products", "session_duration_sec", "price"]
-    rows = profile.correlations(A.snapshots(spark, sf_dir), columns)
+    rows = profile.correlations(A.snapshots(spark, sf_dir), C.NUMERIC_FEATURES)
     return rounded(rows, 6, "correlation")
 
 
@@ -545,14 +546,17 @@ def price_box(spark, sf_dir):
 @query
 def drift(spark, sf_dir):
     """Gold rows of sessions that start in the first half against the rest."""
-    rows = cut_lineage(A.snapshots(spark, sf_dir))
+    viewed = extended_features(spark, sf_dir).select(*C.EVENT_KEY, "avg_price_viewed")
+    rows = A.snapshots(spark, sf_dir).join(viewed, list(C.EVENT_KEY))
+    rows = cut_lineage(rows.withColumn("no_value", F.lit(None).cast("double")))
     began = F.timestamp_micros(
         S.epoch_micros(F.col("source_event_time"))
         - F.round(F.col("session_duration_sec") * 1e6).cast("long")
     ).cast("timestamp_ntz")
     span = rows.agg(F.min(began).alias("a"), F.max(began).alias("b")).first()
     middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2).cast("timestamp_ntz")
-    features = ["cart_to_view_ratio", "session_duration_sec"]
+    features = ["cart_to_view_ratio", "session_duration_sec", "avg_price_viewed"]
+    features += ["no_value"]
     shifts = monitoring.drift(
         rows.filter(began < middle), rows.filter(began >= middle), features
     )
@@ -580,6 +584,25 @@ def online_coverage(spark, sf_dir):
     return rounded(rows, 6, "outcome_coverage", "fallback_rate")
 
 
+@query
+def online_metrics_as_of(spark, sf_dir):
+    """The last full day before the cutoff only."""
+    rows = monitoring.online_metrics(_labelled(spark, sf_dir), as_of=A.CUTOFF)
+    return rounded(rows, 6, *_METRICS)
+
+
+@query
+def score_drift(spark, sf_dir):
+    """Histograms of two parts of the log, kept as one table, merged."""
+    log = cut_lineage(A.predictions(spark, sf_dir))
+    cutoff = F.lit(A.CUTOFF).cast("timestamp_ntz")
+    earlier = F.col("prediction_time") < cutoff
+    kept = cut_lineage(rolling.score_histograms(log.filter(earlier)))
+    fresh = rolling.score_histograms(log.filter(~earlier))
+    kept = cut_lineage(rolling.merge_hourly(kept, fresh))
+    return rounded(rolling.score_drift(kept), 6, "kl")
+
+
 @query
 def degradation_alerts(spark, sf_dir):
     return monitoring.degradation_alerts(online_metrics(spark, sf_dir))
@@ -587,8 +610,14 @@ def degradation_alerts(spark, sf_dir):
 
 @query
 def metric_alerts(spark, sf_dir):
+    labelled = cut_lineage(_labelled(spark, sf_dir))
+    quality = rounded(monitoring.online_metrics(labelled), 6, *_METRICS)
+    known = monitoring.coverage(labelled)
+    shifts = rolling.score_drift(rolling.score_histograms(labelled))
     return monitoring.metric_alerts(
-        online_metrics(spark, sf_dir), online_coverage(spark, sf_dir)
+        quality,
+        rounded(known, 6, "outcome_coverage", "fallback_rate"),
+        rounded(shifts, 6, "kl"),
     )
 
 
@@ -625,16 +654,16 @@ def _arrivals(spark, sf_dir, delay=None):
     )
 
 
-def _arriving(spark, arrivals, base):
+def _arriving(spark, arrivals, base, name="in"):
     """The arrivals as a stream of TRIGGERS triggers, earlier ones first."""
     arrivals = cut_lineage(arrivals)
     last = arrivals.agg(F.max("arrival")).scalar()
     part = F.floor(F.col("arrival") * TRIGGERS / (last + 1))
     for number in range(TRIGGERS):
         some = arrivals.filter(part == number).repartition(FILES_PER_PART)
-        some.write.mode("append").parquet(f"{base}/in")
+        some.write.mode("append").parquet(f"{base}/{name}")
     return streams.file_events(
-        spark, f"{base}/in", arrivals.schema, files_per_trigger=FILES_PER_PART
+        spark, f"{base}/{name}", arrivals.schema, files_per_trigger=FILES_PER_PART
     )
 
 
@@ -701,6 +730,23 @@ def stream_late_events(spark, sf_dir):
     return spark.read.parquet(paths["late"]).select("key", "value")
 
 
+@query
+def stream_outcomes(spark, sf_dir):
+    """Predictions and purchases arrive as two streams, in four triggers each."""
+    base = scratch_path(spark, "outcomes")
+    log = cut_lineage(A.predictions(spark, sf_dir))
+    bought = A.replayed(spark, sf_dir).filter("event_type = 'purchase'")
+    asked = dense_index(log, ["prediction_time", "prediction_id"], "arrival")
+    sold = dense_index(bought, ["replay_time", *C.EVENT_KEY], "arrival")
+    hits = outcomes.purchase_hits(
+        _arriving(spark, asked.drop("arrival_total"), base, "asked"),
+        _arriving(spark, sold.drop("arrival_total"), base, "bought"),
+        A.HORIZON,
+    )
+    outcomes.follow(hits, f"{base}/outcomes", f"{base}/checkpoint")
+    return outcomes.settled(log, f"{base}/outcomes", A.HORIZON)
+
+
 # Training and scoring.
 
 
