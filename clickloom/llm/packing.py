@@ -9,11 +9,13 @@ the bitsets back gives how many pieces of each length to take.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -29,7 +31,6 @@ SCHEMA = (
 )
 _TAIL = ".,:;!?%$&*#|"
 _LATIN = "\u024f"
-_BLANKS = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
 def byte_letters() -> dict[int, str]:
@@ -42,7 +43,8 @@ def byte_letters() -> dict[int, str]:
 class WordTokenizer:
     """Ids of a vocabulary file whose pattern never crosses white space.
 
-    Words between ASCII blanks are encoded once and remembered. Of a word of
+    The special tokens' strings in a text are special, as in the library's own
+    call. Words between ASCII blanks are encoded once and remembered. Of a word of
     Latin letters with punctuation behind, both parts are looked up apart: the
     vocabulary's pattern parts them, and such letters are their own normal form
     but for case.
@@ -52,17 +54,16 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.memo, self.parts = Memo(memo), Memo(memo)
 
     def _slow(self, word: str) -> bytes:
         found = self.tokenizer.encode(word, add_special_tokens=False)
-        return np.array(found.ids, "<u4").tobytes()
+        return array("I", found.ids).tobytes()
 
     def _latin(self, core: str) -> bytes:
         letters = core.encode().decode("latin1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _part(self, part: str, make) -> bytes:
         found = self.parts.young.get(part) or self.parts.old.get(part)
@@ -81,17 +82,32 @@ class WordTokenizer:
             packed += self._part(word[len(core) :], self._slow)
         return packed
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.translate(_BLANKS).split(" ") for text in texts]
-        words = set().union(*split)
-        words.discard("")
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """Ids of each text: its words are numbered, each different word is
+        looked up once, and the ids are gathered by place."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if not words:
+            return [np.zeros(0, "<u4")] * len(texts)
         known, unknown = self.memo.find(words)
         for word in unknown:
-            known[word] = packed = self._word(word)
+            known[word] = packed = self._word(word) if word else b""
             self.memo.put(word, packed)
-        known[""] = b""
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
+        packed = [known[word] for word in words]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        number = coded.indices.to_numpy()
+        taken = sizes[number]
+        ends = np.cumsum(taken)
+        shift = starts[number] - (ends - taken)
+        whole = ids[np.repeat(shift, taken) + np.arange(ends[-1])]
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        bounds = np.r_[0, ends][offsets]
+        return [whole[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -227,9 +243,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
             )
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             ids = batch.column(0).to_pylist()
-            for doc_id, found in zip(ids, words.encode(texts)):
+            for doc_id, found in zip(ids, words.encode(batch.column(1))):
                 packer.add(doc_id, np.concatenate([found, end]))
                 if packer.held >= GROUP_TOKENS:
                     packer.flush()

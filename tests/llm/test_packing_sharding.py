@@ -20,7 +20,6 @@ ODD = ["don't we'll GO", "İstanbul ΣΑΣ ﬁne", "a\x1cb\u00a0c\u2003d", "e\u0
 
 def direct(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -31,7 +30,6 @@ def test_ids_of_odd_texts():
 
 
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 WORDS = packing.WordTokenizer(PATH, 50)
 
 
