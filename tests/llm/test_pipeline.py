@@ -7,7 +7,7 @@ import sys
 
 from llm_data import SCHEMA, with_odd_rows
 from test_packing_sharding import check_packing
-from test_sketch_simhash import _expected
+from test_minhash import plain as similar
 from test_substring import plain
 
 import corpus_pipeline
@@ -47,7 +47,7 @@ def test_stages_against_plain_rules(spark, tmp_path):
             kept = {r["doc_id"] for r in quality.judge(docs, rules).collect() if r["kept"]}
             assert found == [r for r in given if r[0] in kept]
         elif name == "near_duplicates":
-            first = {least for _, _, least in _expected(given)}
+            first = {least for _, least in similar(given)}
             assert found == [r for r in given if r[0] in first]
         else:
             removed = {i: n for i, _, n, _ in plain(given)}
