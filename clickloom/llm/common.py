@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,51 @@ def map_batches(
     return df.mapInArrow(task, schema)
 
 
+def sum_matrices(
+    rows: DataFrame,
+    shape: tuple[int, int],
+    add: Callable[[np.ndarray, pa.RecordBatch], None],
+) -> np.ndarray:
+    """The sum of a matrix that ``add`` fills from batches, one matrix a task.
+
+    A task sends one row per line of its matrix; lines are added up in the order
+    of their tasks, as they arrive where they are dealt to. Only the sum, of the
+    given shape, reaches the driver.
+    """
+    height, width = shape
+
+    def lines(places, parts, matrix: np.ndarray) -> pa.RecordBatch:
+        ends = np.arange(0, matrix.size + 1, width, dtype=np.int32)
+        line = pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel()))
+        numbers = [pa.array(x, pa.int32()) for x in (places, parts)]
+        return pa.RecordBatch.from_arrays([*numbers, line], ["d", "part", "line"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            if batch.num_rows:
+                add(total, batch)
+        part = TaskContext.get().partitionId()
+        yield lines(range(height), [part] * height, total)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            found = batch.column(2).flatten().to_numpy().reshape(-1, width)
+            for d, line in zip(batch.column(0).to_pylist(), found, strict=True):
+                total[d] = total[d] + line if d in total else line.copy()
+        for d in sorted(total):
+            yield lines([d], [0], total[d])
+
+    schema = "d int, part int, line array<double>"
+    dealt = map_batches(rows, task, schema).repartition("d")
+    merged = map_batches(dealt.sortWithinPartitions("d", "part"), merge, schema)
+    matrix = np.zeros(shape)
+    for line in merged.collect():
+        matrix[line["d"]] = line["line"]
+    return matrix
+
+
 class Memo:
     """Two-generation cache: at most ``2 * size`` entries, the used ones stay."""
 

@@ -5,6 +5,10 @@ training rows, patterns) fire or stay silent on a document. A generative model
 of the votes estimates how often each fires on toxic and on clean documents,
 and how far voters say the same thing; its posterior labels train a linear
 classifier on words, which scores every document.
+
+Labels come from a bounded sample of labelled rows. All other training rows take
+part without one: rows with the same features are counted together, and Spark
+sums over those counts in every step of both models.
 """
 
 from __future__ import annotations
@@ -20,10 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import Memo, bounded, fold, keyed_texts, map_batches
+from clickloom.llm.common import sum_matrices
+from clickloom.session import cut_lineage
 
 FOLDS = 5
-LABELLED_ROWS = 10_000  # documented bounds of the rows a model is fitted on
-OTHER_ROWS = 2_000
+LABELLED_ROWS = 10_000  # documented bound of the labelled rows of a model
+#: The unlabelled rows, all of them, weigh this share of the labelled ones.
+OTHER_WEIGHT = 0.02
+ROUNDS = 30
+SETTLED = 1e-4
 FEATURES = 500
 FEATURE_ODDS = 0.5
 VOTERS = 300
@@ -74,54 +83,112 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior of the toxic class for every row of ``votes`` (0 or 1).
+def _table(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """0 or 1 for each feature of the rows of ``found``."""
+    found = batch.column(2)
+    table = np.zeros((batch.num_rows, width), np.float32)
+    row = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
+    table[row, found.flatten().to_numpy()] = 1
+    return table
+
+
+@dataclass
+class LabelModel:
+    """Voters' columns, their weighed evidence, and the log prior odds.
+
+    The known label acts as one more voter that is right 49 times in 50. A
+    voter's evidence is divided by one plus the correlations it has with others
+    beyond what the class explains: voters that repeat each other count once.
+    """
+
+    voters: list[int]
+    moves: np.ndarray
+    bias: float
+
+    def posterior(self, table: np.ndarray, gold: np.ndarray | None) -> np.ndarray:
+        score = self.bias + table[:, self.voters] @ self.moves
+        if gold is not None:
+            score = score + np.log(49.0) * np.where(gold < 0, 0, 2 * gold - 1)
+        return _sigmoid(score)
+
+
+def fit_labels(
+    patterns: DataFrame, width: int, voters: list[int], prior: float
+) -> LabelModel:
+    """Label model of rows (gold, weight, found); gold is 1, 0 or -1 (unlabelled).
 
-    ``gold`` is 1, 0 or -1 (unlabelled) and acts as one more voter that is
-    right 49 times in 50; it also gives the first guess. A voter's evidence
-    is divided by one plus the correlations it has with others beyond what the
-    class explains, so that voters which repeat each other count once.
+    The labelled rows alone give the first guess, then all rows are weighed by
+    their posterior until the rates settle; every step is one sum over Spark.
     """
-    votes = votes.astype(np.float32)
-    known = gold >= 0
-    prior = np.clip(gold[known].mean() if known.any() else 0.05, 0.01, 0.99)
-    posterior = np.where(known, np.where(gold == 1, 0.98, 0.02), prior)
-    sure = np.where(known, np.where(gold == 1, np.log(49.0), -np.log(49.0)), 0.0)
-    seen = np.where(known, 1.0, 0.0)[:, None]
-    weigh = np.ones(votes.shape[1])
-    for step in range(rounds):
-        rows = seen if step == 0 and known.any() else np.ones((len(votes), 1))
-        on, off = posterior[:, None] * rows, (1 - posterior)[:, None] * rows
-        p1 = ((votes * on).sum(0) + 0.5) / (on.sum() + 1.5)
-        p0 = ((votes * off).sum(0) + 0.05) / (off.sum() + 1.0)
+    many = len(voters)
+    model, rates, weigh = None, None, np.ones(many)
+
+    def of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        gold, weight = (batch.column(i).to_numpy() for i in (0, 1))
+        table = _table(batch, width)
+        if model is None:
+            known = np.where(gold == 1, 0.98, 0.02)
+            return table[:, voters], known, weight * (gold >= 0)
+        return table[:, voters], model.posterior(table, gold), weight
+
+    def counts(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        votes, toxic, weight = of(batch)
+        for line, share in enumerate((toxic * weight, (1 - toxic) * weight)):
+            total[line, :many] += share @ votes
+            total[line, many] += share.sum()
+
+    def alike(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        votes, toxic, weight = of(batch)
+        rest = votes - toxic[:, None] * rates[0] - (1 - toxic)[:, None] * rates[1]
+        total += (rest * weight[:, None]).T @ rest
+
+    for step in range(ROUNDS):
+        on, off = sum_matrices(patterns, (2, many + 1), counts)
+        before = rates
+        rates = np.stack(
+            [
+                (on[:many] + 0.5) / (on[many] + 1.5),
+                (off[:many] + 0.05) / (off[many] + 1.0),
+            ]
+        )
         if step % 10 == 0:
-            rest = votes - posterior[:, None] * p1 - (1 - posterior)[:, None] * p0
-            spread = np.sqrt((rest**2).mean(0) + 1e-9)
-            alike = np.abs(rest.T @ rest / len(rest)) / np.outer(spread, spread)
-            np.fill_diagonal(alike, 0)
-            weigh = 1 / (1 + np.where(alike > 0.3, alike, 0).sum(1))
-        fire = weigh * (np.log(p1) - np.log(p0))
-        silent = weigh * (np.log1p(-p1) - np.log1p(-p0))
-        prior = np.clip(posterior.mean(), 0.001, 0.999)
-        score = np.log(prior / (1 - prior)) + sure + silent.sum() + votes @ (fire - silent)
-        moved = _sigmoid(score)
-        if np.abs(moved - posterior).max() < 1e-4 and step > 10:
+            shared = sum_matrices(patterns, (many, many), alike)
+            spread = np.sqrt(np.maximum(shared.diagonal(), 1e-9))
+            close = np.abs(shared) / np.outer(spread, spread)
+            np.fill_diagonal(close, 0)
+            weigh = 1 / (1 + np.where(close > 0.3, close, 0).sum(1))
+        if step:
+            prior = np.clip(on[many] / (on[many] + off[many]), 0.001, 0.999)
+        fire = weigh * (np.log(rates[0]) - np.log(rates[1]))
+        silent = weigh * (np.log1p(-rates[0]) - np.log1p(-rates[1]))
+        bias = float(np.log(prior / (1 - prior)) + silent.sum())
+        model = LabelModel(voters, fire - silent, bias)
+        if step > 1 and np.abs(rates - before).max() < SETTLED:
             break
-        posterior = moved
-    return posterior
-
+    return model
+
+
+def fit_linear(
+    patterns: DataFrame, width: int, labels: LabelModel, ridge: float = 0.25
+) -> tuple[np.ndarray, float]:
+    """Logistic regression of the first ``width`` features on posterior labels,
+    by Newton steps; gradient and curvature are one sum over Spark."""
+    columns = max(width, max(labels.voters, default=-1) + 1)
+    weights = np.zeros(width + 1)
+    pull = np.r_[np.full(width, ridge), 1e-3]
+
+    def slopes(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        gold, weight = (batch.column(i).to_numpy() for i in (0, 1))
+        table = _table(batch, columns)
+        x = np.c_[table[:, :width], np.ones(len(table), np.float32)]
+        p = _sigmoid(x @ weights)
+        total[:, -1] += x.T @ (weight * (p - labels.posterior(table, gold)))
+        total[:, :-1] += (x * (weight * p * (1 - p))[:, None].astype(np.float32)).T @ x
 
-def train_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.25) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by Newton steps."""
-    x = np.c_[x, np.ones(len(x))].astype(np.float32)
-    prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
-    weights = np.r_[np.zeros(x.shape[1] - 1), np.log(prior / (1 - prior))]
-    pull = np.r_[np.full(x.shape[1] - 1, ridge), 1e-3]
     for _ in range(25):
-        p = _sigmoid(x @ weights)
-        slope = x.T @ (p - y) + pull * weights
-        curve = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x
-        step = np.linalg.solve(curve + np.diag(pull), slope)
+        sums = sum_matrices(patterns, (width + 1, width + 2), slopes)
+        slope = sums[:, -1] + pull * weights
+        step = np.linalg.solve(sums[:, :-1] + np.diag(pull), slope)
         weights = weights - step / max(1.0, np.abs(step).max() / 2)
         if np.abs(step).max() < 1e-3:
             break
@@ -129,11 +196,9 @@ def train_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.25) -> tuple[np.
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, gold): labelled and other rows outside fold 0, both bounded and
-    chosen by hash of the id; gold is -1 for the others."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter(
-        (fold(F.col("doc_id"), FOLDS) != 0) & F.col("doc_id").isNotNull()
-    )
+    """(text, gold) of every row outside fold 0 that has an id. At most
+    ``LABELLED_ROWS`` labels, chosen by hash of the id, are looked at; gold is
+    -1 for all other rows."""
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -144,10 +209,11 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", F.col("gold").cast("int").alias("gold"))
     )
     gold = bounded(marked, LABELLED_ROWS, labels.count(), F.col("doc_id"))
-    other = bounded(ids, OTHER_ROWS, docs.count(), F.col("doc_id")).distinct()
-    other = other.join(F.broadcast(gold), "doc_id", "left_anti")
-    chosen = gold.unionByName(other.withColumn("gold", F.lit(-1)))
-    return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "gold")
+    texts = keyed_texts(docs).filter(
+        (fold(F.col("doc_id"), FOLDS) != 0) & F.col("doc_id").isNotNull()
+    )
+    joined = texts.join(F.broadcast(gold), "doc_id", "left")
+    return joined.select("text", F.coalesce("gold", F.lit(-1)).alias("gold"))
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
@@ -198,15 +264,16 @@ def occurrences(rows: DataFrame, features: list[str]) -> DataFrame:
     place = {f: i for i, f in enumerate(features)}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(MEMO_WORDS)
         for batch in batches:
+            texts = batch.column(0).to_pylist()
+            every = [document_words(text) for text in texts]
+            hits = _known_hits(memo, every, place)
             out = []
-            for text in batch.column(0).to_pylist():
-                names = {f for w in document_words(text) for f in word_features(w)}
-                found = [place[f] for f in names if f in place]
+            for text, words in zip(texts, every, strict=True):
                 low = text.lower()
-                found += [
-                    len(place) + i for i, p in enumerate(PATTERNS) if p.search(low)
-                ]
+                found = {i for word in words for i in hits[word]}
+                found |= {len(place) + i for i, p in enumerate(PATTERNS) if p.search(low)}
                 out.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["gold", "found"]
@@ -215,6 +282,15 @@ def occurrences(rows: DataFrame, features: list[str]) -> DataFrame:
     return map_batches(rows, task, "gold int, found array<int>")
 
 
+def _known_hits(memo: Memo, texts: list[set[str]], place: dict[str, int]) -> dict:
+    """Places of the features of every word of the texts."""
+    known, unknown = memo.find(set().union(*texts))
+    for word in unknown:
+        known[word] = hits = tuple(place[f] for f in word_features(word) if f in place)
+        memo.put(word, hits)
+    return known
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The classifier; without labels of both kinds it scores near zero."""
     rows = training_rows(docs, labels)
@@ -222,20 +298,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return Model()
-    chosen = choose_features(feature_counts(rows), toxic, clean)
+    chosen = choose_features(feature_counts(rows.filter("gold >= 0")), toxic, clean)
     names = [f for f, _ in chosen]
     names += sorted({f"={w}" for w in LEXICON} - set(names))
-    found = occurrences(rows, names).collect()
-    found.sort(key=lambda r: (r["gold"], r["found"]))
-    table = np.zeros((len(found), len(names) + len(PATTERNS)), np.float32)
-    for i, row in enumerate(found):
-        table[i, row["found"]] = 1
-    gold = np.array([r["gold"] for r in found])
+    weight = min(1.0, OTHER_WEIGHT * (toxic + clean) / max(totals.get(-1, 0), 1))
+    one = F.when(F.col("gold") < 0, F.lit(weight)).otherwise(F.lit(1.0))
+    counted = occurrences(rows, names).groupBy("gold", "found").count()
+    patterns = counted.select("gold", (one * F.col("count")).alias("weight"), "found")
+    patterns = cut_lineage(patterns.sortWithinPartitions("gold", "found"))
+    width = len(names) + len(PATTERNS)
     speak = [i for i, (_, surely) in enumerate(chosen) if surely > VOTER_ODDS]
-    voters = [*speak[:VOTERS], *range(len(chosen), table.shape[1])]
-    posterior = label_model(table[:, voters], gold)
-    weights, bias = train_linear(table[:, : len(names)], posterior)
-    return Model(names, weights.tolist(), bias)
+    voters = [*speak[:VOTERS], *range(len(chosen), width)]
+    labels_ = fit_labels(patterns, width, voters, toxic / (toxic + clean))
+    weights, bias = fit_linear(patterns, len(names), labels_)
+    return Model(names, np.round(weights, 9).tolist(), round(bias, 9))
 
 
 def score_documents(
@@ -254,11 +330,7 @@ def score_documents(
         memo = Memo(MEMO_WORDS)
         for batch in batches:
             texts = [document_words(t) for t in batch.column(1).to_pylist()]
-            known, unknown = memo.find(set().union(*texts))
-            for word in unknown:
-                hits = tuple(place[f] for f in word_features(word) if f in place)
-                known[word] = hits
-                memo.put(word, hits)
+            known = _known_hits(memo, texts, place)
             scores = []
             for words in texts:
                 hits = {i for word in words for i in known[word]}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import map_batches
+from clickloom.llm.common import map_batches, sum_matrices
 
 COMPONENTS = 32
 SCALE, OFFSET = 64, 1_000_000
@@ -236,42 +236,13 @@ def _sums(rows: DataFrame, size: int) -> tuple[int, list[int]]:
 def _products(
     rows: DataFrame, size: int, width: int, values: Callable[[np.ndarray], np.ndarray]
 ) -> np.ndarray:
-    """Sum over the rows of the outer product of ``values`` with itself.
+    """Sum over the rows of the outer product of ``values`` with itself."""
 
-    A task sends one row per line of its matrix; the lines are added up as they
-    arrive in the task they are dealt to.
-    """
-    schema = "d int, line array<double>"
-
-    def packed(matrix: np.ndarray, places) -> pa.RecordBatch:
-        ends = np.arange(0, matrix.size + 1, width, dtype=np.int32)
-        lines = pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel()))
-        names = ["d", "line"]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(places, pa.int32()), lines], names=names
-        )
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, width))
-        for batch in batches:
-            found = values(_integers(batch, size))
-            total += found.T @ found
-        yield packed(total, range(width))
+    def add(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        found = values(_integers(batch, size))
+        total += found.T @ found
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            lines = batch.column(1).flatten().to_numpy().reshape(-1, width)
-            for d, line in zip(batch.column(0).to_pylist(), lines, strict=True):
-                total[d] = total[d] + line if d in total else line.copy()
-        for d in sorted(total):
-            yield packed(total[d], [d])
-
-    lines = map_batches(map_batches(rows, task, schema).repartition("d"), merge, schema)
-    matrix = np.zeros((width, width))
-    for line in lines.collect():
-        matrix[line["d"]] = line["line"]
-    return matrix
+    return sum_matrices(rows, (width, width), add)
 
 
 def fit(

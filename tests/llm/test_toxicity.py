@@ -60,21 +60,37 @@ def test_odd_input(spark, odd, empty, rows):
     assert toxicity.fit(docs, marks.limit(0)) == toxicity.Model()
 
 
-def test_label_model_finds_accuracies_without_labels_everywhere():
+def patterns_of(spark, table, gold, weight=1.0):
+    rows = [(int(g), weight, [i for i, v in enumerate(row) if v]) for row, g in zip(table.tolist(), gold)]
+    return spark.createDataFrame(rows, "gold int, weight double, found array<int>").repartition(4)
+
+
+def test_label_model_finds_accuracies_without_labels_everywhere(spark):
     rng = np.random.default_rng(1)
     truth = rng.random(4000) < 0.2
     rates = [(0.6, 0.02), (0.4, 0.01), (0.7, 0.05), (0.3, 0.001), (0.5, 0.5)]
     votes = np.stack([np.where(truth, rng.random(4000) < a, rng.random(4000) < b) for a, b in rates], 1)
     votes = np.concatenate([votes, votes[:, :1]], 1)  # one voter repeats another
     gold = np.where(rng.random(4000) < 0.05, truth, -1)
-    posterior = toxicity.label_model(votes, gold)
+    model = toxicity.fit_labels(patterns_of(spark, votes, gold), 6, list(range(6)), 0.2)
+    posterior = model.posterior(votes.astype(float), None)  # the known labels are withheld
     assert ((posterior > 0.5) == truth).mean() > 0.93
 
 
-def test_linear_classifier_on_soft_labels():
+def test_linear_classifier_on_soft_labels(spark):
     rng = np.random.default_rng(3)
     x = (rng.random((3000, 30)) < 0.2).astype(float)
-    y = np.where(x[:, 0] + x[:, 1] > 0, 0.95, 0.02)
-    weights, bias = toxicity.train_linear(x, y)
+    labels = toxicity.LabelModel([0, 1], np.array([7.0, 7.0]), -4.0)
+    y = labels.posterior(x, None)
+    weights, bias = toxicity.fit_linear(patterns_of(spark, x, [-1] * 3000), 30, labels)
     got = 1 / (1 + np.exp(-(x @ weights + bias)))
     assert ((got > 0.5) == (y > 0.5)).mean() > 0.99
+
+
+def test_every_unlabelled_row_counts(spark, monkeypatch):
+    """All rows outside the held-out fold are in the counts, whatever their number."""
+    docs, marks, labels = labelled(spark, 400)
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 50)
+    gold = [r["gold"] for r in toxicity.training_rows(docs, marks).collect()]
+    assert len(gold) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in labels)
+    assert 20 < sum(g >= 0 for g in gold) < 80
