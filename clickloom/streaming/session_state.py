@@ -73,8 +73,8 @@ _RESULT = T.StructType(
 
 _ROW = Row(*_RESULT.names)
 
-# ``touched`` is the clock of the last accepted event, ``purged`` the clock of
-# the last clean-up of spilled ids. The three texts hold small sets as JSON.
+# ``touched`` is the clock of the last accepted event, ``bucket`` the newest time
+# bucket of the ids. The three texts hold small sets as JSON.
 _STATE = _fields(
     ("alive", T.BooleanType()),
     ("first", _LONG),
@@ -89,7 +89,7 @@ _STATE = _fields(
     ("category_set", _TEXT),
     ("seen_ids", _TEXT),
     ("ids_spilled", T.BooleanType()),
-    ("purged", _LONG),
+    ("bucket", _LONG),
 )
 _NEW = (False, 0, 0, 0, 0, 0, 0, 0, 0, "{}", "{}", "{}", False, 0)
 _INLINE = 500
@@ -104,6 +104,11 @@ def _missing(value) -> bool:
     return value is None or value == "" or value != value
 
 
+def _coded(value: str | None) -> str:
+    """A set member as text; no value is a member of its own."""
+    return "" if value is None else f"={value}"
+
+
 class _Names:
     """A set of texts with a number each: small ones inline, the rest in a map.
 
@@ -138,6 +143,53 @@ class _Names:
         return json.dumps(self.inline)
 
 
+class _Ids:
+    """Ids with the clock they were first seen at, for one time limit.
+
+    Small sets sit inline. The rest is dealt by time over two maps: buckets are
+    as long as the limit, so an id of the bucket before the last one is past it,
+    and its whole map is cleared at once. No list of ids is ever read.
+    """
+
+    def __init__(self, stores, text: str, spilled: bool, room: int, ttl: int, bucket: int):
+        self.stores, self.inline, self.spilled = stores, json.loads(text), spilled
+        self.room, self.ttl, self.bucket = room, ttl, bucket
+
+    def roll(self, now: int) -> None:
+        """Drop what is past the limit."""
+        self.inline = {k: v for k, v in self.inline.items() if now - v <= self.ttl}
+        self._advance(now // self.ttl)
+
+    def _advance(self, bucket: int) -> None:
+        passed = bucket - self.bucket
+        if self.spilled and passed > 0:
+            self.stores[bucket % 2].clear()
+            if passed > 1:
+                self.stores[1 - bucket % 2].clear()
+                self.spilled = False
+        self.bucket = max(self.bucket, bucket)
+
+    def seen(self, name: str, now: int) -> bool:
+        """Whether the id was seen within the limit; if not, it is from now on."""
+        at = self.inline.get(name)
+        found = [] if at is None else [at]
+        if at is None and self.spilled:
+            held = (s for s in self.stores if s.containsKey((name,)))
+            found = [store.getValue((name,))[0] for store in held]
+        if any(now - at <= self.ttl for at in found):
+            return True
+        if name in self.inline or len(self.inline) < self.room:
+            self.inline[name] = now
+        else:
+            self._advance(now // self.ttl)
+            self.stores[now // self.ttl % 2].updateValue((name,), (now,))
+            self.spilled = True
+        return False
+
+    def text(self) -> str:
+        return json.dumps(self.inline)
+
+
 class SessionProcessor(StatefulProcessor):
     """Duplicate, late and session rules of one key, in arrival order.
 
@@ -164,7 +216,9 @@ class SessionProcessor(StatefulProcessor):
         self.maps = [
             handle.getMapState("products", name, number),
             handle.getMapState("categories", name, number),
-            handle.getMapState("seen", name, number, self.expiry),
+        ]
+        self.id_maps = [
+            handle.getMapState(f"seen_{n}", name, number, self.expiry) for n in (0, 1)
         ]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -202,42 +256,23 @@ class SessionProcessor(StatefulProcessor):
             self.maps[0].clear()
             self.maps[1].clear()
         self.alive, self.session, sets = state[0], list(state[1:9]), state[9:12]
-        spilled = (
-            self.session[6] > self.inline,
-            self.session[7] > self.inline,
-            state[12],
-        )
-        self.products, self.categories, self.seen = (
+        spilled = (self.session[6] > self.inline, self.session[7] > self.inline)
+        self.products, self.categories = (
             _Names(*parts, self.inline) for parts in zip(self.maps, sets, spilled)
         )
-        self.purged = state[13]
-        self._purge(now)
+        self.seen = _Ids(
+            self.id_maps, sets[2], state[12], self.inline, self.ttl, state[13]
+        )
+        self.seen.roll(now)
 
     def _save(self) -> None:
         texts = (self.products.text(), self.categories.text(), self.seen.text())
         self.stored.update(
-            (self.alive, *self.session, *texts, self.seen.spilled, self.purged)
+            (self.alive, *self.session, *texts, self.seen.spilled, self.seen.bucket)
         )
 
-    def _purge(self, now: int) -> None:
-        """Drop ids that are past their time."""
-        kept = {k: v for k, v in self.seen.inline.items() if now - v <= self.ttl}
-        self.seen.inline = kept
-        if self.seen.spilled and now - self.purged > self.ttl:
-            held = list(self.seen.store.iterator())
-            for name, at in held:
-                if now - at[0] > self.ttl:
-                    self.seen.store.removeKey(name)
-            self.purged = now
-
-    def _repeated(self, event_id: str, now: int) -> bool:
-        at = self.seen.get(event_id)
-        if at is not None and now - at <= self.ttl:
-            return True
-        self.seen.put(event_id, now)
-        return False
-
-    def _first(self, names: _Names, value: str) -> int:
+    def _first(self, names: _Names, value: str | None) -> int:
+        value = _coded(value)
         if names.get(value) is not None:
             return 0
         names.put(value, 1)
@@ -246,7 +281,7 @@ class SessionProcessor(StatefulProcessor):
     def _apply(self, event: tuple) -> tuple:
         at, now = event[3], event[4]
         kind, product, category, code = event[5:9]
-        if self._repeated(event[1], now):
+        if self.seen.seen(event[1], now):
             return (*event, DUPLICATE, None, *[None] * 10)
         if self.alive and now - self.session[2] > self.ttl:
             self.products.clear()

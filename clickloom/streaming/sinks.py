@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.plans.scoring import latest_states, score
+from clickloom.session import cut_lineage
 from clickloom.sinks.tables import to_messages
 from clickloom.streaming.session_state import ACCEPTED, LATE, REJECTED
 
@@ -24,6 +27,7 @@ LOG_COLUMNS = (
     "source",
 )
 DAYS_LISTED = 1_000
+ROWS_PER_FILE = 1_000_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -33,12 +37,28 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
-def append_new(events: DataFrame, path: str) -> None:
+def spread_days(dated: DataFrame, rows_per_file: int) -> DataFrame:
+    """Deal each day over as many tasks as its counted rows ask for.
+
+    The table of days is as short as the calendar, so it is broadcast; it also
+    says how many tasks there are in all.
+    """
+    files = F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_files")
+    days = dated.groupBy("event_date").agg(files)
+    tasks = days.agg(F.sum("_files")).first()[0] or 1
+    number = F.pmod(F.xxhash64("event_id"), F.col("_files")).cast("int")
+    same = F.col("event_date").eqNullSafe(F.col("_day"))
+    named = F.broadcast(days.withColumnRenamed("event_date", "_day"))
+    dealt = dated.join(named, same).withColumn("_file", number)
+    return dealt.repartition(tasks, "event_date", "_file").drop("_day", "_files", "_file")
+
+
+def append_new(events: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Append rows whose ``event_id`` the log does not hold yet.
 
     The id is a hash over the event time too, so a repeat has the same date:
-    only the date folders of the batch's own dates are read, and each gets few
-    files.
+    only the date folders of the batch's own dates are read. A date is written
+    by as many tasks as its rows ask for, also if it is the only one.
     """
     spark = events.sparkSession
     dated = events.dropDuplicates(["event_id"]).withColumn(
@@ -55,9 +75,34 @@ def append_new(events: DataFrame, path: str) -> None:
         else:
             log = log.join(days, "event_date", "left_semi")
         dated = dated.join(log.select("event_id"), "event_id", "left_anti")
-    stamped = dated.withColumn("created_at", F.current_timestamp())
-    stamped = stamped.repartition("event_date")
-    stamped.write.mode("append").partitionBy("event_date").parquet(path)
+    dated = dated.persist()
+    try:
+        stamped = spread_days(dated, rows_per_file).withColumn(
+            "created_at", F.current_timestamp()
+        )
+        stamped.write.mode("append").partitionBy("event_date").parquet(path)
+    finally:
+        dated.unpersist()
+
+
+def compact_log(
+    spark: SparkSession, path: str, days: Sequence, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Rewrite the given days (dates or ISO texts) of a log with few files each.
+
+    The rows are copied to the shared folder first and only these days' folders
+    are replaced, so a job that fails can be repeated from the copy. No stream
+    may write to the log meanwhile.
+    """
+    named = [F.lit(str(day)).cast("date") for day in days]
+    kept = cut_lineage(spark.read.parquet(path).filter(F.col("event_date").isin(named)))
+    (
+        spread_days(kept, rows_per_file)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
 
 
 def batch_table(df: DataFrame, path: str, batch_id: int) -> None:
@@ -81,11 +126,25 @@ def dead_letters(tracked: DataFrame) -> DataFrame:
     )
 
 
-def route(log: str, late: str, serving: str, dead: str | None = None):
+def route(
+    log: str,
+    late: str,
+    serving: str,
+    dead: str | None = None,
+    commits: str | None = None,
+):
     """``foreachBatch`` function: replay log, late messages, serving rows, and
-    dead letters if there is a place for them."""
+    dead letters if there is a place for them.
+
+    Every sink may be written again after a failure: the log takes unseen ids
+    only, the others replace the batch's folder. With ``commits`` a batch leaves
+    a record when all its sinks are written, and is not written once more.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commits is not None and table_exists(spark, f"{commits}/batch_id={batch_id}"):
+            return
         batch = batch.persist()
         try:
             accepted = batch.filter(F.col("status") == ACCEPTED)
@@ -95,6 +154,9 @@ def route(log: str, late: str, serving: str, dead: str | None = None):
             batch_table(tracked.drop("message", "reason"), serving, batch_id)
             if dead is not None:
                 batch_table(dead_letters(batch), dead, batch_id)
+            if commits is not None:
+                counts = batch.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+                batch_table(counts.coalesce(1), commits, batch_id)
         finally:
             batch.unpersist()
 

@@ -317,3 +317,159 @@ def test_repeats_within_the_watermark(spark, tmp_path):
     )
     kept = spark.read.parquet(out).select("event_id").orderBy(F.col("event_id"))
     assert [r[0] for r in kept.collect()] == ["e0", "e1", "e2"]
+
+
+def test_missing_products_count_once_over_triggers(spark, tmp_path):
+    """No product, or no category, is one value of the session, also later on."""
+    rnd = random.Random(6)
+    events, number = [], 0
+    for _ in range(3):
+        batch = []
+        for _ in range(12):
+            batch.append(message(
+                f"e{number}", seconds=number, arrival=number,
+                product_id=rnd.choice([None, "null", "", "p1"]),
+                category_id=rnd.choice([None, "null", "c1"]),
+            ))
+            number += 1
+        events.append(batch)
+    rows = served(spark, run(spark, tmp_path, events))
+    products, categories = set(), set()
+    for m in sum(events, []):
+        found = rows[(m["event_id"], m["arrival"])]
+        counts = found["serving_unique_products"], found["serving_unique_categories"]
+        assert counts == (len(products), len(categories))
+        products.add(m["product_id"])
+        categories.add(m["category_id"])
+    assert None in products and "null" in products
+
+
+class _Store:
+    """Map state in memory that notes what is asked of it."""
+
+    def __init__(self):
+        self.held, self.cleared = {}, 0
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def clear(self):
+        self.held, self.cleared = {}, self.cleared + 1
+
+    def iterator(self):
+        raise AssertionError("the ids must not be listed")
+
+
+def test_spilled_ids_leave_by_buckets():
+    """Against a plain dict, over many limits; no list of ids is read."""
+    rnd = random.Random(9)
+    ttl, now, first = 100, 0, {}
+    stores, text, spilled, bucket = [_Store(), _Store()], "{}", False, 0
+    for _ in range(400):  # triggers
+        ids = session_state._Ids(stores, text, spilled, 3, ttl, bucket)
+        now += rnd.choice([0, 1, 5, 30, 30, 120, 260])
+        ids.roll(now)
+        for _ in range(rnd.randrange(8)):
+            now += rnd.randrange(4)
+            name = f"i{rnd.randrange(12)}"
+            known = name in first and now - first[name] <= ttl
+            assert ids.seen(name, now) == known
+            if not known:
+                first[name] = now
+        text, spilled, bucket = ids.text(), ids.spilled, ids.bucket
+        assert all(len(s.held) <= 12 for s in stores)
+    assert all(s.cleared > 10 for s in stores)
+
+
+def _log(spark, n, day=0, tag=""):
+    rows = [
+        (f"{tag}e{i}", START + dt.timedelta(days=day, seconds=i), None, "view", "p", "c", "u", f"s{i % 9}",
+         None, None, 1.0, "replay") for i in range(n)
+    ]
+    types = "string timestamp_ntz timestamp_ntz string string string string string string string double string"
+    schema = ", ".join(f"{c} {t}" for c, t in zip(sinks.LOG_COLUMNS, types.split()))
+    return spark.createDataFrame(rows, schema)
+
+
+def _files(path, day):
+    name = (START + dt.timedelta(days=day)).date().isoformat()
+    return len(list((path / f"event_date={name}").glob("*.parquet")))
+
+
+def test_a_day_is_written_by_many_tasks_and_compacted(spark, tmp_path):
+    path = tmp_path / "log"
+    sinks.append_new(_log(spark, 400), str(path), rows_per_file=50)
+    assert 5 <= _files(path, 0) <= 8
+    sinks.append_new(_log(spark, 10, 1, "x"), str(path), rows_per_file=50)
+    sinks.append_new(_log(spark, 450), str(path), rows_per_file=50)  # 50 are new
+    assert _files(path, 1) == 1
+    before = sorted(map(tuple, spark.read.parquet(str(path)).drop("created_at").collect()), key=str)
+    assert len(before) == 460
+    sinks.compact_log(spark, str(path), [START.date()])
+    assert _files(path, 0) == 1 and _files(path, 1) == 1
+    after = sorted(map(tuple, spark.read.parquet(str(path)).drop("created_at").collect()), key=str)
+    assert after == before
+    sinks.append_new(_log(spark, 450), str(path))
+    assert spark.read.parquet(str(path)).count() == 460
+
+
+@pytest.mark.parametrize("broken", ["late", "serving", "dead", "commits"])
+def test_a_batch_that_fails_between_sinks_is_repeated(spark, tmp_path, monkeypatch, broken):
+    """The query stops at the second batch, starts again, and all sinks equal those
+    of a run without a failure."""
+    rnd = random.Random(3)
+    batches, number = [], 0
+    for _ in range(3):
+        batch = []
+        for _ in range(15):
+            kind = rnd.choice([*TYPES, "wishlist"])
+            batch.append(message(
+                f"e{rnd.randrange(30)}", rnd.choice("ab"), rnd.randrange(300), kind, number, clock=number,
+            ))
+            number += 1
+        batches.append(batch)
+
+    def feed(folder, fail):
+        paths = {n: f"{folder}/{n}" for n in ("log", "late", "serving", "dead", "commits")}
+        for batch in batches:
+            frame = spark.createDataFrame([tuple(m.values()) for m in batch], LAYOUT)
+            frame.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = streams.file_events(spark, f"{folder}/in", frame.schema, files_per_trigger=1)
+        write, put, failed = sinks.route(*paths.values()), sinks.batch_table, []
+
+        def once(df, path, batch_id):
+            if fail and batch_id == 1 and path == paths[broken] and not failed:
+                failed.append(path)
+                raise OSError("disk full")
+            put(df, path, batch_id)
+
+        monkeypatch.setattr(sinks, "batch_table", once)
+        for _ in range(2):
+            tracked = session_state.track_sessions(source)
+            try:
+                sinks.drain(tracked, write, f"{folder}/checkpoint")
+                break
+            except Exception as error:
+                assert failed and "disk full" in str(error)
+        monkeypatch.setattr(sinks, "batch_table", put)
+        assert bool(failed) == fail
+        return {
+            n: sorted(map(tuple, spark.read.parquet(p).drop("created_at").collect()), key=str)
+            for n, p in paths.items()
+        }
+
+    clean, repeated = feed(tmp_path / "a", False), feed(tmp_path / "b", True)
+    assert repeated == clean and all(clean.values())
+
+
+def test_a_committed_batch_is_not_written_again(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("log", "late", "serving", "dead", "commits")]
+    sinks.batch_table(spark.range(1), paths[-1], 7)
+    sinks.route(*paths)(spark.range(3), 7)
+    assert not (tmp_path / "serving").exists()
