@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import json
+import random
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -10,32 +14,38 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom import schemas
 from clickloom.operators import evaluation as E
-from clickloom.session import scratch_path
+from clickloom.session import cut_lineage, scratch_path
 from clickloom.sources.tables import read_table
 
 HASH_BUCKETS = 64
+HASHED_FEATURES = 1 << 14
+TRIALS = 3
+SEED = 42
 
 
 def bucketed(frame: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """Hash category codes into few numbers so that trees can split on them.
+    """Hash category codes into few classes that trees split as sets.
 
-    Tokens keep their own number; only the model sees the buckets.
+    Tokens keep their own class; only the model sees the buckets. The columns
+    are marked nominal, so no order of the hashes is taken for one of the values.
     """
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": buckets}}
     for name in C.CATEGORICAL_FEATURES:
         code = F.col(f"{name}_code")
         spread = F.pmod(F.xxhash64(code), F.lit(buckets - C.FIRST_VALUE_CODE))
         number = F.when(code < C.FIRST_VALUE_CODE, code).otherwise(
             spread + C.FIRST_VALUE_CODE
         )
-        frame = frame.withColumn(f"{name}_bucket", number.cast("double"))
+        marked = number.cast("double").alias(f"{name}_bucket", metadata=nominal)
+        frame = frame.select("*", marked)
     return frame
 
 
@@ -52,22 +62,67 @@ def weighted(train: DataFrame) -> DataFrame:
     return train.withColumn("_weight", weight)
 
 
-def candidates(seed: int = 42) -> list[tuple[str, object]]:
-    """A small fixed search space in evaluation order."""
-    shared = dict(
-        labelCol=C.LABEL, featuresCol="features", weightCol="_weight"
-    )
-    return [
-        ("gbt_shallow", GBTClassifier(maxDepth=3, maxIter=10, seed=seed, **shared)),
-        ("gbt_deep", GBTClassifier(maxDepth=5, maxIter=10, seed=seed, **shared)),
-        ("forest", RandomForestClassifier(maxDepth=6, numTrees=20, seed=seed, **shared)),
-        ("logistic", LogisticRegression(maxIter=30, regParam=0.01, **shared)),
-    ]
+@dataclass(frozen=True)
+class Candidate:
+    """A learner with the ranges its settings are drawn from.
+
+    A pair of whole numbers is a range of whole numbers, ``positive_weight``
+    multiplies the weight of positive rows. ``hashed`` learners see a category
+    value as a column of its own, the others as a class.
+    """
+
+    make: Callable[..., object]
+    ranges: dict[str, tuple]
+    hashed: bool = False
 
+    def settings(self, name: str, trials: int, seed: int) -> list[dict]:
+        """Seeded draws; equal names and seeds give equal settings."""
+        rng = random.Random(f"{seed}/{name}")
+        return [
+            {
+                key: rng.randint(low, high)
+                if isinstance(low, int)
+                else round(rng.uniform(low, high), 6)
+                for key, (low, high) in self.ranges.items()
+            }
+            for _ in range(trials)
+        ]
 
-def _assembler() -> VectorAssembler:
-    inputs = [*C.NUMERIC_FEATURES, *[f"{c}_bucket" for c in C.CATEGORICAL_FEATURES]]
-    return VectorAssembler(inputCols=inputs, outputCol="features")
+    def pipeline(self, settings: dict) -> Pipeline:
+        kept = {k: v for k, v in settings.items() if k != "positive_weight"}
+        learner = self.make(
+            labelCol=C.LABEL, featuresCol="features", weightCol="_weight", **kept
+        )
+        if self.hashed:
+            inputs = [*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES]
+            first = FeatureHasher(
+                inputCols=inputs,
+                categoricalCols=list(C.CATEGORICAL_FEATURES),
+                numFeatures=HASHED_FEATURES,
+                outputCol="features",
+            )
+        else:
+            buckets = [f"{c}_bucket" for c in C.CATEGORICAL_FEATURES]
+            first = VectorAssembler(
+                inputCols=[*C.NUMERIC_FEATURES, *buckets], outputCol="features"
+            )
+        return Pipeline(stages=[first, learner])
+
+
+def candidates(seed: int = SEED) -> list[tuple[str, Candidate]]:
+    """The learners in evaluation order."""
+    balance = {"positive_weight": (0.5, 2.0)}
+    trees = dict(maxBins=HASH_BUCKETS, seed=seed)
+    boost = {"maxDepth": (2, 5), "maxIter": (8, 16), "stepSize": (0.05, 0.3), **balance}
+    sampled = {**boost, "subsamplingRate": (0.5, 0.9)}
+    forest = {"maxDepth": (4, 8), "numTrees": (10, 30), **balance}
+    linear = {"regParam": (0.001, 0.1), "elasticNetParam": (0.0, 0.5), **balance}
+    return [
+        ("gbt", Candidate(partial(GBTClassifier, **trees), boost)),
+        ("gbt_sampled", Candidate(partial(GBTClassifier, **trees), sampled)),
+        ("forest", Candidate(partial(RandomForestClassifier, **trees), forest)),
+        ("logistic", Candidate(partial(LogisticRegression, maxIter=30), linear, True)),
+    ]
 
 
 def scores(model, frame: DataFrame) -> DataFrame:
@@ -77,33 +132,73 @@ def scores(model, frame: DataFrame) -> DataFrame:
     )
 
 
-def _stored(model: PipelineModel, frame: DataFrame) -> PipelineModel:
-    """The model as read back: a fresh one drags its training summary along."""
-    path = scratch_path(frame.sparkSession, "candidate")
-    model.write().save(path)
-    return PipelineModel.load(path)
+def search(
+    train: DataFrame,
+    validation: DataFrame,
+    pool=None,
+    trials: int = TRIALS,
+    seed: int = SEED,
+) -> DataFrame:
+    """A row per trial: candidate, settings, where its model is stored, metrics.
+
+    Both frames are stored encoded, once. Every trial's model and validation
+    scores are stored too; the metrics of all trials are one job over the
+    scores.
+    """
+    pool = candidates() if pool is None else pool
+    spark = train.sparkSession
+    ready, held = cut_lineage(weighted(bucketed(train))), cut_lineage(validation)
+    base, facts = scratch_path(spark, "search"), []
+    for order, (name, candidate) in enumerate(pool):
+        for trial, settings in enumerate(candidate.settings(name, trials, seed)):
+            more = F.when(F.col(C.LABEL) == 1, settings["positive_weight"]).otherwise(1.0)
+            rows = ready.withColumn("_weight", F.col("_weight") * more)
+            path = f"{base}/model-{order}-{trial}"
+            candidate.pipeline(settings).fit(rows).write().save(path)
+            facts.append((name, order, trial, json.dumps(settings, sort_keys=True), path))
+            # read back: a fresh model drags its training summary along
+            scored = scores(PipelineModel.load(path), held).withColumns(
+                {"candidate_order": F.lit(order), "trial": F.lit(trial)}
+            )
+            scored.write.mode("append").parquet(f"{base}/scores")
+    keys = ["candidate_order", "trial"]
+    found = E.metrics(spark.read.parquet(f"{base}/scores"), keys)
+    table = spark.createDataFrame(
+        facts, "candidate string, candidate_order int, trial int, settings string, path string"
+    )
+    return cut_lineage(table.join(F.broadcast(found), keys))
+
+
+def best_trials(table: DataFrame) -> DataFrame:
+    """The best trial of each candidate, the earliest one on a tie."""
+    order = Window.partitionBy("candidate").orderBy(F.col("pr_auc").desc(), "trial")
+    every = Window.partitionBy("candidate")
+    ranked = table.withColumns(
+        {"_place": F.row_number().over(order), "trials": F.count(F.lit(1)).over(every)}
+    )
+    return ranked.filter("_place = 1").drop("_place")
 
 
 def train_candidates(
-    train: DataFrame, validation: DataFrame, pool=None
+    train: DataFrame, validation: DataFrame, pool=None, trials: int = TRIALS
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit every candidate; metrics of all of them come from one job."""
-    pool = candidates() if pool is None else pool
-    ready = weighted(bucketed(train))
-    models, scored = {}, None
-    for order, (name, learner) in enumerate(pool):
-        model = _stored(Pipeline(stages=[_assembler(), learner]).fit(ready), ready)
-        models[name] = model
-        part = scores(model, validation).withColumns(
-            {"candidate": F.lit(name), "candidate_order": F.lit(order)}
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    return models, E.metrics(scored, ["candidate", "candidate_order"])
+    """Every candidate's best model, and the row of its trial."""
+    best = best_trials(search(train, validation, pool, trials))
+    models = {r["candidate"]: PipelineModel.load(r["path"]) for r in best.collect()}
+    return models, best
+
 
+def run(
+    frames: dict[str, DataFrame],
+    pool=None,
+    floor: float = C.MIN_PR_AUC,
+    trials: int = TRIALS,
+):
+    """Winner by validation PR-AUC, gate verdict, test metrics and report.
 
-def run(frames: dict[str, DataFrame], pool=None, floor: float = C.MIN_PR_AUC):
-    """Winner by validation PR-AUC, gate verdict, test metrics and report."""
-    models, table = train_candidates(frames["train"], frames["val"], pool)
+    The report has a row per candidate; the winner's facts are in every one.
+    """
+    models, table = train_candidates(frames["train"], frames["val"], pool, trials)
     winner = E.best_model(table).first()
     model = models[winner["candidate"]]
     threshold = winner["threshold"]
@@ -115,7 +210,7 @@ def run(frames: dict[str, DataFrame], pool=None, floor: float = C.MIN_PR_AUC):
         "override_by string, override_reason string, override_time string",
     )
     passed = E.gate_verdict(asked).first()["passed"]
-    report = tested.select(
+    facts = tested.select(
         F.lit(winner["candidate"]).alias("winner_name"),
         F.lit(winner["pr_auc"]).alias("winner_validation_pr_auc"),
         F.lit(winner["average_precision"]).alias("winner_validation_average_precision"),
@@ -124,7 +219,19 @@ def run(frames: dict[str, DataFrame], pool=None, floor: float = C.MIN_PR_AUC):
         F.col("average_precision").alias("test_average_precision"),
         F.lit(passed).alias("validation_gate_passed"),
     )
-    return model, threshold, report
+    tried = table.select(
+        "candidate",
+        "candidate_order",
+        "trials",
+        "settings",
+        F.col("pr_auc").alias("validation_pr_auc"),
+        F.col("average_precision").alias("validation_average_precision"),
+    )
+    fact = facts.first().asDict()
+    report = tried.select(
+        "*", *[F.lit(fact[f.name]).cast(f.dataType).alias(f.name) for f in facts.schema]
+    )
+    return model, threshold, report.orderBy("candidate_order")
 
 
 def save_bundle(

@@ -37,6 +37,7 @@ from clickloom.workload.oracle import RETRAIN_AS_OF, STREAM_TTL
 QUERIES = {}
 EVENT = list(schemas.SILVER.names)
 TRIGGERS, FILES_PER_PART = 4, 2
+TRIALS = 2
 SLICES = [
     ("week1", "2024-01-01", "2024-01-08"),
     ("week2", "2024-01-08", "2024-01-15"),
@@ -753,7 +754,7 @@ def stream_outcomes(spark, sf_dir):
 def _trained(spark, sf_dir):
     target, _ = _gold_table(spark, sf_dir)
     frames, words = lake.model_inputs(sources.read_gold_splits(spark, target))
-    model, threshold, report = training.run(frames)
+    model, threshold, report = training.run(frames, trials=TRIALS)
     return model, words, threshold, report
 
 

@@ -46,18 +46,60 @@ def fitted(spark):
 
 @pytest.fixture(scope="module")
 def trained(fitted):
-    return training.run(fitted[0], training.candidates()[-2:])
+    return training.run(fitted[0], trials=1)
 
 
 def test_report_and_gate(trained):
     _, threshold, report = trained
     row = report.first()
-    assert row["winner_name"] in ("forest", "logistic")
+    assert row["winner_name"] in {name for name, _ in training.candidates()}
     assert row["validation_gate_passed"] is True  # no production model
     assert row["winner_validation_threshold"] == threshold
     assert 0.3 < row["test_pr_auc"] <= 1.0
 
 
+def test_search_keeps_the_best_trial_of_each_candidate(spark, fitted):
+    """PR-AUC of every trial again from its stored model; settings are seeded."""
+    pool = training.candidates()[-2:]
+    table = training.search(fitted[0]["train"], fitted[0]["val"], pool, trials=2)
+    trials = {(r["candidate"], r["trial"]): r for r in table.collect()}
+    assert len(trials) == 4
+    for (name, trial), r in trials.items():
+        wanted = dict(pool)[name].settings(name, 2, training.SEED)[trial]
+        assert json.loads(r["settings"]) == wanted
+        model = training.PipelineModel.load(r["path"])
+        rows = training.scores(model, fitted[0]["val"]).collect()
+        assert r["pr_auc"] == pytest.approx(plain_area([(x["score"], x["label"]) for x in rows]))
+    best = {r["candidate"]: r["trial"] for r in training.best_trials(table).collect()}
+    for name in best:
+        assert best[name] == max((0, 1), key=lambda t: (trials[name, t]["pr_auc"], -t))
+
+
+def plain_area(rows):
+    total, hits, taken = sum(y for _, y in rows), 0, 0
+    before, found, area = 1.0, 0.0, 0.0
+    for score in sorted({s for s, _ in rows}, reverse=True):
+        here = [y for s, y in rows if s == score]
+        hits, taken = hits + sum(here), taken + len(here)
+        precision, recall = hits / taken, hits / total
+        area += (recall - found) * (precision + before) / 2
+        before, found = precision, recall
+    return area
+
+
+def test_category_order_does_not_matter_to_the_models(spark, fitted):
+    """Buckets are nominal for trees; a linear model has a weight per value."""
+    frame = training.weighted(training.bucketed(fitted[0]["train"]))
+    kinds = dict(training.candidates())
+    tree = kinds["forest"].pipeline({"maxDepth": 4, "numTrees": 3}).fit(frame)
+    attrs = tree.transform(frame).schema["features"].metadata["ml_attr"]["attrs"]
+    names = [a["name"] for a in attrs["nominal"]]
+    assert names == [f"{c}_bucket" for c in C.CATEGORICAL_FEATURES]
+    hashed = kinds["logistic"].pipeline({"regParam": 0.01}).fit(frame)
+    first = hashed.transform(frame).select("features").first()[0]
+    assert first.size == training.HASHED_FEATURES
+
+
 def test_class_weights_balance(fitted):
     sums = training.weighted(fitted[0]["train"]).groupBy("label").agg(F.sum("_weight"))
     a, b = [r[1] for r in sums.collect()]

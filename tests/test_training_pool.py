@@ -10,13 +10,16 @@ def test_the_queries_fit_every_candidate(spark, monkeypatch):
     seen = []
     fit = training.train_candidates
 
-    def noted(train, validation, pool=None):
-        models, table = fit(train, validation, pool)
+    def noted(train, validation, pool=None, trials=1):
+        models, table = fit(train, validation, pool, trials)
         seen.append((set(models), {r["candidate"] for r in table.collect()}))
         return models, table
 
     monkeypatch.setattr(training, "train_candidates", noted)
-    report = queries._trained(spark, SF_DIR)[3].first()
+    report = queries._trained(spark, SF_DIR)[3].collect()
     names = {name for name, _ in training.candidates()}
     assert seen == [(names, names)]
-    assert report["winner_name"] in names
+    assert {r["candidate"] for r in report} == names
+    assert {r["trials"] for r in report} == {queries.TRIALS}
+    best = max(report, key=lambda r: (r["validation_pr_auc"], -r["candidate_order"]))
+    assert {r["winner_name"] for r in report} == {best["candidate"]}
