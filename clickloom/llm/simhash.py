@@ -4,11 +4,14 @@ Two fingerprints within three bits meet in the middle: with one of three bit
 blocks masked out they differ in at most two of the other bits (a third one can
 be masked), so variants of both within one bit coincide. Each distinct
 fingerprint emits these 131 variants; equal variants are sorted together and
-colliding pairs are verified inside groups of at most ``SMALL`` members.
-
-Members of larger groups emit the whole ball of radius two (2081 variants). All
-of them that share a variant with a member at distance one or less are linked
-to that member, without comparing pairs.
+colliding pairs are verified where they meet. Of a group only a forest of its
+links leaves the task, never its pairs.
+
+Comparing a group's members costs each of them as many steps as it has members.
+Where that is more than the whole ball of radius two has variants (2081), the
+members emit that ball instead: all that share a variant with a member at
+distance one or less are linked to that member, without comparing pairs. Both
+ways are exact; the bound is where their costs meet.
 """
 
 from __future__ import annotations
@@ -24,14 +27,18 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import keyed_texts, map_batches
 from clickloom.llm.components import components
+from clickloom.operators.lookup import left_lookup
 from clickloom.session import cut_lineage
 
 RADIUS = 3
 SHINGLE_WORDS = 3
 SEED = 42
-SMALL = 16
+SMALL = 1 + 64 + 64 * 63 // 2  # variants of a whole ball
 BLOCKS = (21, 21, 22)
 VARIANT_FPS = 4096
+VARIANT_BYTES = 131 * 17
+TASK_BYTES = 16 << 20
+ROWS_PER_SALT = 2_000
 
 
 def fingerprint(shingles: list[bytes]) -> int:
@@ -124,23 +131,15 @@ def masked_variants(nodes: DataFrame) -> DataFrame:
     return map_batches(nodes.select("fp"), task, "key long, fp long")
 
 
-def _forest(fps: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[list, list]:
-    """Of the links between positions, as many as still join two trees."""
-    parent: dict[int, int] = {}
-
-    def root(i: int) -> int:
-        while (up := parent.get(i, i)) != i:
-            parent[i] = i = parent.get(up, up)
-        return i
-
-    a, b = [], []
-    for i, j in zip(left.tolist(), right.tolist()):
-        x, y = root(i), root(j)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            a.append(fps[i])
-            b.append(fps[j])
-    return a, b
+def _joined(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[int]:
+    """Join the trees of linked positions; which of the links did so."""
+    kept = []
+    for k in np.flatnonzero(label[left] != label[right]).tolist():
+        one, two = label[left[k]], label[right[k]]
+        if one != two:
+            label[label == two] = one
+            kept.append(k)
+    return kept
 
 
 def verified_links(variants: DataFrame) -> DataFrame:
@@ -156,7 +155,7 @@ def verified_links(variants: DataFrame) -> DataFrame:
             of_row = np.repeat(size, size)
             big = np.unique(fp[of_row > SMALL])
             at = np.flatnonzero((of_row > 1) & (of_row <= SMALL))
-            left, right = [], []
+            label, a, b = np.arange(len(key)), [], []
             for step in range(1, SMALL):
                 at = at[at + step < len(key)]
                 at = at[key[at] == key[at + step]]
@@ -164,11 +163,9 @@ def verified_links(variants: DataFrame) -> DataFrame:
                     break
                 apart = np.bitwise_count((fp[at] ^ fp[at + step]).view(np.uint64))
                 near = at[(apart <= RADIUS) & (apart > 0)]
-                left.append(near)
-                right.append(near + step)
-            a, b = [], []
-            if left:
-                a, b = _forest(fp, np.concatenate(left), np.concatenate(right))
+                near = near[_joined(label, near, near + step)]
+                a += fp[near].tolist()
+                b += fp[near + step].tolist()
             if not len(big) and not a:
                 return None
             none = pa.nulls(len(big), pa.int64())
@@ -251,7 +248,9 @@ def ball_links(members: DataFrame) -> DataFrame:
 def links(nodes: DataFrame) -> DataFrame:
     """(a, b) between distinct fingerprints: true links that join all those
     which a chain of links joins."""
-    dealt = masked_variants(nodes).repartition("key").sortWithinPartitions("key", "fp")
+    tasks = 1 + nodes.count() * VARIANT_BYTES // TASK_BYTES
+    spread = nodes.select("fp").repartition(tasks, "fp")  # sized by what comes out
+    dealt = masked_variants(spread).repartition("key").sortWithinPartitions("key", "fp")
     found = cut_lineage(verified_links(dealt).distinct())
     members = found.filter("b IS NULL").select(F.col("a").alias("fp"))
     pairs = found.filter("b IS NOT NULL")
@@ -270,15 +269,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty table gives no rows; other columns are ignored.
     """
     rows = cut_lineage(fingerprint_documents(docs))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes))
     joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     joined = cut_lineage(joined)
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = joined.join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select(
+    hot = {"small": False, "rows_per_salt": ROWS_PER_SALT}
+    of_fp = left_lookup(joined.select("fp", "root"), least, ["root"], **hot)
+    found = left_lookup(rows, of_fp.select("fp", "component_id"), ["fp"], **hot)
+    return found.select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",

@@ -106,8 +106,11 @@ def _flip(rng, value, n):
     return value
 
 
-def test_links_join_what_chains_join(spark):
-    """Clusters of 2 to 60 fingerprints; the larger ones go by whole balls."""
+@pytest.mark.parametrize("small", [16, simhash.SMALL])
+def test_links_join_what_chains_join(spark, monkeypatch, small):
+    """Clusters of 2 to 80 fingerprints; the larger ones go by whole balls, or all
+    are compared where they meet."""
+    monkeypatch.setattr(simhash, "SMALL", small)
     rng = random.Random(5)
     fps = set()
     for size in (1, 1, 1, 2, 3, 5, 17, 40, 60):
