@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,7 @@ MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
 
 # Order columns a raw scan can carry into bronze.
 ORDER = ("raw_month", "raw_file", "raw_block", "raw_row")
+HEAD_ROWS = 100_000
 
 
 def month_number(text: str) -> int:
@@ -105,6 +110,53 @@ def forbid_replay_source(folder: str, replay: str) -> None:
         raise ValueError(f"training input {folder} belongs to the replay source")
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line with text of a split, if the split starts its file. The
+    rest of the split is never asked for."""
+    for batch in batches:
+        if batch.num_rows and batch.column(1)[0].as_py():
+            return
+        for at, line in enumerate(batch.column(2).to_pylist()):
+            if line.strip():
+                yield batch.slice(at, 1).select([0, 2])
+                return
+
+
+@contextmanager
+def _one_split_a_task(spark: SparkSession) -> Iterator[None]:
+    """Splits are not packed together while a job of the block is planned."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def header_columns(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Column names of every file, in the order of ``paths``, in one job.
+
+    A task reads the start of one split, so neither the number nor the size of
+    the files makes it long. Files without a line have no columns.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+    )
+    with _one_split_a_task(spark):
+        found = lines.mapInArrow(_first_lines, "path string, value string").collect()
+    by_path = {unquote(urlparse(r["path"]).path): r["value"] for r in found}
+    return {path: _names(by_path.get(unquote(urlparse(path).path))) for path in paths}
+
+
+def _names(line: str | None) -> list[str]:
+    if line is None:
+        return []
+    return next(csv.reader([line.removeprefix("\ufeff")]))
+
+
 def read_files(spark: SparkSession, paths: list[str], ordered: bool = False):
     """Typed scan by header name; an unreadable price fails the read.
 
@@ -112,8 +164,7 @@ def read_files(spark: SparkSession, paths: list[str], ordered: bool = False):
     their rows are spread before anything else runs on them.
     """
     by_header = defaultdict(list)
-    for path in paths:
-        header = spark.read.option("header", True).csv(path).columns
+    for path, header in header_columns(spark, paths).items():
         by_header[tuple(header)].append(path)
     scans = [_scan(spark, h, group, ordered) for h, group in by_header.items()]
     return reduce(DataFrame.unionByName, scans)
@@ -172,17 +223,29 @@ def read_window(
     return read_files(spark, paths, ordered)
 
 
-def first_rows(spark: SparkSession, path: str, rows: int) -> DataFrame:
-    """The first rows of a raw file in file order (the replay feature)."""
+def first_rows(
+    spark: SparkSession, path: str, rows: int, most: int = HEAD_ROWS
+) -> DataFrame:
+    """The first rows of a raw file in file order (the replay feature).
+
+    Up to ``most`` rows are taken split by split until there are enough, so the
+    rest of the file is not read; they pass the driver. More rows, and gzip
+    files, are found by their position in the whole file.
+    """
     ordered = read_files(spark, [path], ordered=True)
+    if rows <= most and not path.endswith(".gz"):
+        taken = ordered.take(rows)
+        blocks = [r["raw_block"] for r in taken]
+        if blocks == sorted(blocks):
+            return spark.createDataFrame(taken, ordered.schema).drop(*ORDER)
     return ordered.orderBy("raw_block", "raw_row").limit(rows).drop(*ORDER)
 
 
 def audit_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Per file: column count, extra and missing columns, order match."""
     headers = [
-        (path.rsplit("/", 1)[-1], spark.read.option("header", True).csv(path).columns)
-        for path in paths
+        (path.rsplit("/", 1)[-1], columns)
+        for path, columns in header_columns(spark, paths).items()
     ]
     found = spark.createDataFrame(headers, "file string, columns array<string>")
     declared = F.array(*[F.lit(n) for n in schemas.RAW.names])

@@ -150,3 +150,58 @@ def test_raw_to_silver_keeps_the_first_copy(spark, tmp_path):
         lake.refine(spark, bronze, silver)
     with pytest.raises(FileNotFoundError):
         sources.read_table(spark, str(tmp_path / "absent"))
+
+
+def _jobs(spark, action):
+    """What ``action`` gives and how many jobs it ran."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        out = action()
+    finally:
+        jobs = len(context.statusTracker().getJobIdsForGroup("counted"))
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return out, jobs
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    names = ["event_time", "event_type", "product_id", "price"]
+    paths = []
+    for i in range(8):
+        path = tmp_path / f"2019-oct-{i} x.csv{'.gz' if i == 7 else ''}"
+        head = ",".join(names[i % 2 :]) if i != 3 else '"event, time",event_type'
+        text = ("\n" if i == 5 else "") + head + "\n" + "1,2,3,4\n" * (200_000 if i == 6 else 3)
+        if i == 7:
+            path.write_bytes(gzip.compress(text.encode()))
+        else:
+            path.write_text(text if i != 4 else "")
+        paths.append(str(path))
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        found, jobs = _jobs(spark, lambda: raw_csv.header_columns(spark, paths))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+    want = {p: names[i % 2 :] for i, p in enumerate(paths)}
+    want |= {paths[3]: ["event, time", "event_type"], paths[4]: []}
+    assert found == want and jobs == 1
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_first_rows_of_many_splits(spark, tmp_path, most):
+    path = tmp_path / "2019-oct.csv"
+    names = list(schemas.RAW.names)
+    lines = [",".join("1.5" if n == "price" else f"{n}{i}" for n in names) for i in range(3000)]
+    path.write_text("\n".join([",".join(names), *lines]) + "\n")
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        for n in (0, 1, 700):
+            rows = raw_csv.first_rows(spark, str(path), n, most)
+            assert [r["user_id"] for r in rows.collect()] == [f"user_id{i}" for i in range(n)]
+            plan = rows._jdf.queryExecution().toString()
+            assert ("Sort" in plan or "TakeOrdered" in plan) == (n > most)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
