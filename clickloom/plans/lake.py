@@ -9,6 +9,7 @@ from clickloom import constants as C
 from clickloom import schemas
 from clickloom.functions import scalars as S
 from clickloom.operators import cleaning, dedup, encoding, gold, splits
+from clickloom.session import cut_lineage
 from clickloom.sinks import tables as sinks
 from clickloom.sources import raw_csv
 from clickloom.sources import tables as sources
@@ -124,6 +125,23 @@ def retrain_raw(log: DataFrame, as_of: str, days: int = C.RETRAIN_DAYS) -> DataF
     )
 
 
+def retrain_events(log: DataFrame, as_of: str, days: int = C.RETRAIN_DAYS) -> DataFrame:
+    """The last days of the replay log, typed, with fractions of seconds.
+
+    A log in date folders is pruned to the folders the window touches.
+    """
+    end = F.lit(as_of).cast("timestamp_ntz")
+    first = end - F.expr(f"INTERVAL {int(days)} DAYS")
+    if "event_date" in log.columns:
+        log = log.filter(F.col("event_date").between(F.to_date(first), F.to_date(end)))
+    time = F.col("source_event_time")
+    if dict(log.dtypes)["source_event_time"] == "string":
+        time = S.parse_iso(time)
+    typed = log.withColumn("source_event_time", time.cast("timestamp_ntz"))
+    recent = (F.col("source_event_time") > first) & (F.col("source_event_time") <= end)
+    return typed.filter(recent).select(*schemas.SILVER.names)
+
+
 def retrain_gold(
     log: DataFrame,
     as_of: str,
@@ -133,9 +151,10 @@ def retrain_gold(
     """Gold rows and a new split map from the retraining window.
 
     The log holds one row per event id, and an id names one event key, so
-    ordering by the id leaves nothing to chance.
+    ordering by the id leaves nothing to chance. The cleaned window is stored
+    once: the split map and the gold rows both read it.
     """
-    recent = retrain_raw(log, as_of, days)
-    silver = silver_events(cleaning.to_bronze(recent), list(C.EVENT_KEY))
+    recent = retrain_events(log, as_of, days)
+    silver = cut_lineage(silver_events(recent, list(C.EVENT_KEY)))
     split_map = splits.split_sessions(silver, cutoff=None)
     return gold.gold(silver, split_map, horizon_seconds, cutoff=None), split_map

@@ -320,10 +320,8 @@ def extended_features(spark, sf_dir):
 
 @query
 def retrain_gold(spark, sf_dir):
-    log = A.silver(spark, sf_dir).withColumn(
-        "source_event_time", S.iso_text(F.col("source_event_time"))
-    )
-    log = cut_lineage(log)
+    """The window is read from the log that the stream has written."""
+    log = spark.read.parquet(_stream(spark, sf_dir)["log"])
     rows, _ = lake.retrain_gold(log, RETRAIN_AS_OF, horizon_seconds=A.HORIZON)
     return rows
 

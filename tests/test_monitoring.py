@@ -120,3 +120,22 @@ def test_retraining_uses_only_the_window(spark):
     for r in frame.filter("user_session = 's'").collect():
         key = ("s", r["source_event_time"], r["event_type"], r["product_id"])
         assert r["label"] == expected[key][-1]
+
+
+def test_retraining_reads_only_the_days_it_needs(spark, tmp_path):
+    """Date folders are pruned, fractions of a second are kept."""
+    rows = [event(f"s{d}", d * 86400 + 0.25 + k, "view", f"p{k}") for d in range(12) for k in range(3)]
+    rows += [event("s9", 9 * 86400 + 0.5, "purchase")]
+    log = silver(spark, rows).withColumn("event_date", F.to_date("source_event_time"))
+    log.write.partitionBy("event_date").parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    as_of = (START + dt.timedelta(days=10)).isoformat()
+    recent = lake.retrain_events(stored, as_of, 3)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan.replace("\n", "")
+    assert {r["user_session"] for r in recent.collect()} == {"s7", "s8", "s9"}
+    frame, _ = lake.retrain_gold(stored, as_of, 3, 600)
+    times = sorted(r["source_event_time"] for r in frame.filter("user_session = 's9'").collect())
+    assert [t.microsecond for t in times] == [250000, 500000, 250000, 250000]
+    first = frame.filter("user_session = 's9'").orderBy("source_event_time").first()
+    assert first["label"] == 1
