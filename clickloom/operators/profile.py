@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,11 +132,24 @@ def top_sessions(df: DataFrame, k: int = 20) -> DataFrame:
 
 
 def distinct_entities(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count_distinct(SESSION).alias("unique_sessions"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("product_id").alias("unique_products"),
-    )
+    """One row of distinct counts, NULL not counted.
+
+    Each column is read and made distinct by itself: one aggregate with three
+    distinct counts would send every row three times.
+    """
+    names = {
+        SESSION: "unique_sessions",
+        "user_id": "unique_users",
+        "product_id": "unique_products",
+    }
+    parts = [
+        df.select(column).distinct().agg(F.count(column).alias("n"))
+        .select(F.lit(name).alias("name"), "n")
+        for column, name in names.items()
+    ]
+    counts = reduce(DataFrame.unionByName, parts)
+    held = [F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names.values()]
+    return counts.agg(*held)
 
 
 def session_medians(df: DataFrame) -> DataFrame:
