@@ -39,7 +39,8 @@ VOTERS = 300
 VOTER_ODDS = 1.0
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6)
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
+SLICE_ROWS = 200
 #: General insults, fixed values.
 LEXICON = """
 asshole bastard bitch clown crap cretin disgusting dumb fool garbage idiot idiots
@@ -66,6 +67,13 @@ def word_features(word: str) -> tuple[str, ...]:
     return (f"={bare}", *(bare[:n] for n in PREFIXES if len(bare) > n))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: the word sets of a whole batch take much memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def document_words(text: str) -> set[str]:
     return set(text.lower().split())
 
@@ -265,7 +273,7 @@ def occurrences(rows: DataFrame, features: list[str]) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(MEMO_WORDS)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(0).to_pylist()
             every = [document_words(text) for text in texts]
             hits = _known_hits(memo, every, place)
@@ -328,7 +336,7 @@ def score_documents(
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(MEMO_WORDS)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [document_words(t) for t in batch.column(1).to_pylist()]
             known = _known_hits(memo, texts, place)
             scores = []
