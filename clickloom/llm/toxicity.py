@@ -50,11 +50,12 @@ arschloch dumm dummkopf dreck idiotisch schwein verlierer widerlich wertlos
 abruti con connard crétin imbécile merde pourri salaud stupide
 asqueroso basura cabrón estúpido gilipollas idiota imbécil inútil mierda tonto
 """.split()
+#: Texts without any of the words in front cannot match.
 PATTERNS = (
-    re.compile(r"\byou(?:'re| are)? (?:a |an |such )?(?:\w+ )?(?:idiot|loser|moron|fool)"),
-    re.compile(r"\b\w\*{2,}\w?"),
-    re.compile(r"\b(?:shut up|go to hell|hate you|kill yourself)\b"),
-    re.compile(r"(?:!{2,}|\?!)"),
+    (("you",), re.compile(r"\byou(?:'re| are)? (?:a |an |such )?(?:\w+ )?(?:idiot|loser|moron|fool)")),
+    (("**",), re.compile(r"\b\w\*{2,}\w?")),
+    (("shut", "hell", "hate", "kill"), re.compile(r"\b(?:shut up|go to hell|hate you|kill yourself)\b")),
+    (("!!", "?!"), re.compile(r"(?:!{2,}|\?!)")),
 )
 _STRIP = ".,;:!?\"'()[]{}*#$%&|<>«»¡¿-"
 
@@ -281,7 +282,9 @@ def occurrences(rows: DataFrame, features: list[str]) -> DataFrame:
             for text, words in zip(texts, every, strict=True):
                 low = text.lower()
                 found = {i for word in words for i in hits[word]}
-                found |= {len(place) + i for i, p in enumerate(PATTERNS) if p.search(low)}
+                for i, (parts, pattern) in enumerate(PATTERNS):
+                    if any(part in low for part in parts) and pattern.search(low):
+                        found.add(len(place) + i)
                 out.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["gold", "found"]
