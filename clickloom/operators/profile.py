@@ -291,13 +291,14 @@ def histogram(
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based equal-width bin; a single-point range is widened by one half.
 
-    Values outside the range fall into the end bins.
+    Values outside the range fall into the end bins; no value has no bin.
     """
     flat = high == low
     start = F.when(flat, low - 0.5).otherwise(low)
     width = F.when(flat, F.lit(1.0)).otherwise(high - low)
     raw = F.floor((value - start) * F.lit(float(bins)) / width)
-    return F.greatest(F.lit(0), F.least(raw, F.lit(bins - 1))).cast("int")
+    placed = F.greatest(F.lit(0), F.least(raw, F.lit(bins - 1))).cast("int")
+    return F.when(raw.isNotNull(), placed)
 
 
 def box_stats(

@@ -156,5 +156,9 @@ def test_a_feature_without_values_is_reported(spark):
     found = {r["feature"]: r for r in monitoring.drift(frame, frame, ["x", "y"]).collect()}
     assert found["x"]["psi_band"] == "stable" and found["y"]["psi"] is None
     assert found["y"]["psi_band"] is None and found["y"]["kl_band"] is None
+    some = [(float(i % 7), None if i % 3 else float(i % 5)) for i in range(50)]
+    less = spark.createDataFrame(some, "x double, y double")
+    whole = monitoring.drift(less.dropna(), less.dropna(), ["y"]).collect()
+    assert monitoring.drift(less, less.dropna(), ["y"]).collect() == whole
     only = monitoring.drift(frame, frame, ["y"]).collect()
     assert [(r["feature"], r["psi"]) for r in only] == [("y", None)]
