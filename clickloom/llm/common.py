@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +50,14 @@ def bounded(df: DataFrame, rows: int, total: int, *key: Column) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < share)
 
 
+def hand_back() -> None:
+    """Give freed memory of this process back to the machine, as far as it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator], schema: str
 ) -> DataFrame:
@@ -65,7 +74,15 @@ def map_batches(
         now = conf.get(name, None)
         if now is None or not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
             conf.set(name, str(most))
-    return df.mapInArrow(task, schema)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Workers are used again: a task hands back the memory it has freed."""
+        try:
+            yield from task(batches)
+        finally:
+            hand_back()
+
+    return df.mapInArrow(released, schema)
 
 
 def sum_matrices(

@@ -82,6 +82,11 @@ class WordTokenizer:
             packed += self._part(word[len(core) :], self._slow)
         return packed
 
+    def forget(self) -> None:
+        """Drop the words looked up so far."""
+        for memo in (self.memo, self.parts):
+            memo.young, memo.old = {}, {}
+
     def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """Ids of each text: its words are numbered, each different word is
         looked up once, and the ids are gathered by place."""
@@ -251,6 +256,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
             if packer.rows:
                 yield ready()
         packer.flush()
+        words.forget()  # the worker's next task may be another operator's
         yield ready()
 
     return map_batches(keyed_texts(docs), task, SCHEMA)

@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import keyed_texts, map_batches
@@ -74,18 +74,21 @@ def fingerprints(texts: list[bytes], n: int = SHINGLE_WORDS) -> np.ndarray:
     return out.view(np.int64)
 
 
-def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprint_documents(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, fp) of every row, and ``more`` long columns."""
+    texts = keyed_texts(docs, *more).withColumn("text", F.col("text").cast("binary"))
+    carried = texts.columns[2:]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = fingerprints(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found)], ["doc_id", "fp"]
+                [batch.column(0), pa.array(found), *batch.columns[2:]],
+                ["doc_id", "fp", *carried],
             )
 
-    texts = keyed_texts(docs).withColumn("text", F.col("text").cast("binary"))
-    return map_batches(texts, task, "doc_id long, fp long")
+    schema = "doc_id long, fp long" + "".join(f", {name} long" for name in carried)
+    return map_batches(texts, task, schema)
 
 
 def _masked_variants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,6 +262,17 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.unionAll(ball_links(members))
 
 
+def fingerprint_roots(rows: DataFrame) -> DataFrame:
+    """(fp, least, root) of every distinct fingerprint of ``rows`` (doc_id, fp):
+    its least id and the fingerprint that names its component."""
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(links(nodes))
+    joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    return cut_lineage(joined)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every row's fingerprint and the least doc_id its links lead to.
 
@@ -269,12 +283,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     an empty table gives no rows; other columns are ignored.
     """
     rows = cut_lineage(fingerprint_documents(docs))
-    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(nodes))
-    joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    joined = cut_lineage(joined)
+    joined = fingerprint_roots(rows)
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     hot = {"small": False, "rows_per_salt": ROWS_PER_SALT}
     of_fp = left_lookup(joined.select("fp", "root"), least, ["root"], **hot)

@@ -1,17 +1,19 @@
 from __future__ import annotations
 
 import os
+import random
 import shutil
 import subprocess
 import sys
 
+import numpy as np
 from llm_data import SCHEMA, with_odd_rows
 from test_packing_sharding import check_packing
 from test_minhash import plain as similar
 from test_substring import plain
 
 import corpus_pipeline
-from clickloom.llm import quality, substring, toxicity
+from clickloom.llm import quality, simhash, substring, toxicity
 from clickloom.llm.common import DOCUMENT, labels
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -70,6 +72,32 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd, empty, rows):
     assert substring.remove_repeats(frame).count() == len(rows)
 
 
+def test_near_duplicates_take_fingerprint_links(spark):
+    """Four pairs within three bits, of which shingle sets link none."""
+    base = [f"w{i}" for i in range(400)]
+    given, number = [], 0
+    for at in range(4):
+        words = [f"p{at}{w}" for w in base]
+        own = simhash.fingerprints([" ".join(words).encode()])
+        for seed in range(4000):
+            random.seed(seed)
+            other = list(words)
+            for place in random.sample(range(len(words)), 12):
+                other[place] = f"x{place}"
+            new = simhash.fingerprints([" ".join(other).encode()])
+            if int(np.bitwise_count((own ^ new).view(np.uint64))[0]) <= simhash.RADIUS:
+                break
+        else:
+            raise AssertionError("no pair within three bits")
+        for text in (words, other):
+            given.append((number, " ".join(text), "en", "s", 1))
+            number += 1
+    frame = spark.createDataFrame(given, SCHEMA)
+    assert {least for _, least in similar(given)} == set(range(8))
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 4, 6]
+
+
 def test_the_rest_imports_without_this_subpackage(tmp_path):
     copy = tmp_path / "repo"
     skip = shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__")
