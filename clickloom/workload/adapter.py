@@ -7,7 +7,10 @@ times, categories and prices are unusable, so the cleaning rules have work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import defaultdict
+
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
@@ -18,6 +21,8 @@ from clickloom.session import prepare, scratch_path
 WEEK_MICROS = 7 * 24 * 3600 * 1_000_000
 HORIZON = 6 * 3600
 CSV_FILES = 8
+PIECE_ROWS = 250_000
+BLOCK_BYTES = 4 << 20
 CUTOFF = "2024-01-25T00:00:00"
 
 
@@ -120,23 +125,47 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).withColumn("replay_time", shifted)
 
 
-def monthly_csv(spark: SparkSession, sf_dir: str) -> str:
+def monthly_csv(spark: SparkSession, sf_dir: str, rows_per_piece: int = PIECE_ROWS) -> str:
     """Write the raw rows as month-named CSV files and return the folder.
 
     A row's file is its input order modulo ``CSV_FILES``; rows of a file are in
-    input order.
+    input order. The files are as long as the table, so they are sorted and
+    written in pieces of about ``rows_per_piece`` rows, which are then put
+    together byte by byte.
     """
     part = F.pmod("input_order", F.lit(CSV_FILES)).alias("part")
     rows = raw(spark, sf_dir).select(*schemas.RAW.names, "input_order", part)
-    rows = rows.repartition(CSV_FILES, "part").sortWithinPartitions("part", "input_order")
+    pieces = max(CSV_FILES, -(-rows.count() // rows_per_piece))
+    rows = rows.repartitionByRange(pieces, "part", "input_order")
+    rows = rows.sortWithinPartitions("part", "input_order").drop("input_order")
     staged, folder = scratch_path(spark, "staged"), scratch_path(spark, "raw")
-    rows.drop("input_order").write.partitionBy("part").option("header", True).csv(staged)
+    rows.write.partitionBy("part").option("header", False).csv(staged)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     system = path(staged).getFileSystem(conf)
     system.mkdirs(path(folder))
-    for status in system.globStatus(path(f"{staged}/part=*/part-*.csv")):
+    root = system.makeQualified(path(folder)).toString()
+    found = defaultdict(list)
+    for status in system.globStatus(path(f"{staged}/part=*/part-*.csv")) or ():
         number = int(status.getPath().getParent().getName().removeprefix("part="))
-        system.rename(status.getPath(), path(f"{folder}/2024-Jan-{number:05d}.csv"))
+        found[number].append(status.getPath().toString())
+    files = [
+        (f"{root}/2024-Jan-{number:05d}.csv", sorted(names))
+        for number, names in found.items()
+    ]
+    if files:  # names of pieces begin with the number of their range
+        listed = spark.createDataFrame(files, "target string, pieces array<string>")
+        listed.repartition(len(files), "target").foreach(_join_pieces)
     return folder
+
+
+def _join_pieces(file: Row) -> None:
+    """The header line and the pieces of a file, a block at a time."""
+    system, target = fs.FileSystem.from_uri(file["target"])
+    with system.open_output_stream(target) as out:
+        out.write(f"{','.join(schemas.RAW.names)}\n".encode())
+        for name in file["pieces"]:
+            with system.open_input_stream(fs.FileSystem.from_uri(name)[1]) as piece:
+                while block := piece.read(BLOCK_BYTES):
+                    out.write(block)

@@ -3,11 +3,13 @@ from __future__ import annotations
 import gzip
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from clickloom import schemas
 from clickloom.plans import lake
 from clickloom.sources import raw_csv
 from clickloom.sources import tables as sources
+from clickloom.workload import adapter
 
 HEADER = ",".join(schemas.RAW.names)
 LINE = "2019-{m}-01 10:00:00 UTC,view,p{m},c1,u1,s1,,,1.5"
@@ -205,3 +207,30 @@ def test_first_rows_of_many_splits(spark, tmp_path, most):
             assert ("Sort" in plan or "TakeOrdered" in plan) == (n > most)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+
+
+def test_monthly_files_in_pieces_hold_all_rows_in_order(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    raw = adapter.raw(spark, sf_dir).collect()
+    folder = adapter.monthly_csv(spark, sf_dir, rows_per_piece=7)
+    paths = [r["path"] for r in raw_csv.select_files(spark, folder, "all").collect()]
+    assert len(paths) == adapter.CSV_FILES and len(raw) // 7 > len(paths)
+    for number, path in enumerate(paths):
+        own = [r for r in raw if r["input_order"] % adapter.CSV_FILES == number]
+        own.sort(key=lambda r: r["input_order"])
+        found = raw_csv.first_rows(spark, path, len(own) + 1).collect()
+        assert [tuple(r) for r in found] == [tuple(r)[:-1] for r in own]
+
+
+def test_no_task_sorts_a_whole_monthly_file(spark, monkeypatch):
+    """The tasks that write grow in number with the rows, their share does not."""
+    seen = []
+    written = DataFrameWriter.csv
+
+    def count(writer, path, **options):
+        seen.append(writer._df.rdd.glom().map(len).collect())
+        return written(writer, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", count)
+    adapter.monthly_csv(spark, "/root/testdata/sf0.001", rows_per_piece=20)
+    assert len(seen[0]) > adapter.CSV_FILES and max(seen[0]) <= 40
