@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ COUNTED = {"view": 3, "cart": 4, "remove_from_cart": 5}
 KEY = "_key"
 REJECT_LANES = 256
 
-_TEXT, _LONG, _REAL = T.StringType(), T.LongType(), T.DoubleType()
+_TEXT, _LONG = T.StringType(), T.LongType()
 
 
 def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
@@ -42,18 +43,17 @@ _EVENT = _fields(
     ("category_id", _TEXT),
     ("category_code", _TEXT),
     ("brand", _TEXT),
-    ("price", _REAL),
+    ("price", _TEXT),
     ("user_id", _TEXT),
     ("source", _TEXT),
     ("message", _TEXT),
     ("reason", _TEXT),
 )
 _INPUT = tuple(_EVENT.names)
-_REASON = _INPUT.index("reason")
 
 _RESULT = T.StructType(
     [
-        *_EVENT.fields,
+        T.StructField("event", _EVENT, True),
         *_fields(
             ("status", _TEXT),
             ("late_reason", _TEXT),
@@ -71,7 +71,12 @@ _RESULT = T.StructType(
     ]
 )
 
-_ROW = Row(*_RESULT.names)
+# Events travel as one text each and results as one text for many events: a
+# processor's own rows cost a table per key and an object per cell.
+_PACKED = _fields(("results", _TEXT))
+_ROW = Row("results")
+_COUNTS = tuple(_RESULT.names[3:])
+PACK_ROWS, PACK_CHARS = 1_000, 1 << 20
 
 # ``touched`` is the clock of the last accepted event, ``bucket`` the newest time
 # bucket of the ids. The three texts hold small sets as JSON.
@@ -190,6 +195,32 @@ class _Ids:
         return json.dumps(self.inline)
 
 
+_COUNTED_TEXT = "".join(f',"{name}":%d' for name in _COUNTS)
+
+
+def _result(event: str, status: str, late: str | None = None, counts: tuple = ()) -> str:
+    """An event's text with what became of it; absent names are NULL."""
+    text = f'{{"event":{event},"status":"{status}"'
+    if late is not None:
+        text += f',"late_reason":{json.dumps(late)}'
+    if counts:
+        text += _COUNTED_TEXT % counts
+    return text + "}"
+
+
+def _packs(results: Iterator[str]) -> Iterator[Row]:
+    """Rows of many results each, bounded in number and size."""
+    held, size = [], 0
+    for result in results:
+        held.append(result)
+        size += len(result)
+        if len(held) >= PACK_ROWS or size >= PACK_CHARS:
+            yield _ROW(f"[{','.join(held)}]")
+            held, size = [], 0
+    if held:
+        yield _ROW(f"[{','.join(held)}]")
+
+
 class SessionProcessor(StatefulProcessor):
     """Duplicate, late and session rules of one key, in arrival order.
 
@@ -222,20 +253,24 @@ class SessionProcessor(StatefulProcessor):
         ]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from _packs(self._results(rows, timerValues))
+
+    def _results(self, rows, timerValues) -> Iterator[str]:
         # One trigger brings a bounded number of rows (see sources.streams).
         events = []
         for row in rows:
-            event = tuple(row[name] for name in _INPUT)
-            if event[_REASON] is None:
-                events.append(event)
+            text = row[1]
+            event = json.loads(text)
+            if "reason" in event:
+                yield _result(text, REJECTED)
             else:
-                yield _ROW(*event, REJECTED, None, *[None] * 10)
+                events.append((event["arrival"], text, event))
         if not events:
             return
-        events.sort(key=lambda event: event[2])
-        self._load(events[0][4])
-        for event in events:
-            yield _ROW(*self._apply(event))
+        events.sort(key=itemgetter(0))
+        self._load(events[0][2]["replay_us"])
+        for _, text, event in events:
+            yield _result(text, *self._apply(event))
         self._save()
         if self.expiry and (self.products.spilled or self.categories.spilled):
             for timer in list(self.handle.listTimers()):
@@ -250,8 +285,9 @@ class SessionProcessor(StatefulProcessor):
         yield from ()
 
     def _load(self, now: int) -> None:
-        known = self.stored.exists()
-        state = tuple(self.stored.get()) if known else _NEW
+        state = self.stored.get()
+        known = state is not None
+        state = tuple(state) if known else _NEW
         if self.expiry and not known:  # what an expired session may have left
             self.maps[0].clear()
             self.maps[1].clear()
@@ -278,29 +314,30 @@ class SessionProcessor(StatefulProcessor):
         names.put(value, 1)
         return 1
 
-    def _apply(self, event: tuple) -> tuple:
-        at, now = event[3], event[4]
-        kind, product, category, code = event[5:9]
-        if self.seen.seen(event[1], now):
-            return (*event, DUPLICATE, None, *[None] * 10)
+    def _apply(self, event: dict) -> tuple:
+        at, now = event["source_us"], event["replay_us"]
+        category, code = event.get("category_id"), event.get("category_code")
+        if self.seen.seen(event["event_id"], now):
+            return (DUPLICATE,)
         if self.alive and now - self.session[2] > self.ttl:
             self.products.clear()
             self.categories.clear()
             self.alive = False
         if self.alive and at < self.session[1] - self.late:
-            return (*event, LATE, self.reason, *[None] * 10)
+            return LATE, self.reason
         if not self.alive:
             self.session = [at, at, now, 0, 0, 0, 0, 0]
             self.alive = True
         state = self.session
         before = state[3:8]
+        kind = event["event_type"]
         if kind in COUNTED:
             state[COUNTED[kind]] += 1
         state[1], state[2] = at, now
-        state[6] += self._first(self.products, product)
+        state[6] += self._first(self.products, event.get("product_id"))
         state[7] += self._first(self.categories, category if _missing(code) else code)
         after = state[3:6]
-        return (*event, ACCEPTED, None, state[0], state[1], *after, *before)
+        return ACCEPTED, None, (state[0], state[1], *after, *before)
 
     def close(self) -> None:
         pass
@@ -347,14 +384,20 @@ def track_sessions(
     key = F.when(F.col("reason").isNull(), F.col("user_session")).otherwise(
         F.concat(F.lit("rejected "), lane)
     )
-    keyed = checked.select(key.alias(KEY), *_INPUT).groupBy(KEY)
+    # a price as text comes back as the same number, also if it is none
+    price = F.col("price").cast("string").alias("price")
+    packed = F.to_json(F.struct(*(price if n == "price" else n for n in _INPUT)))
+    keyed = checked.select(key.alias(KEY), packed.alias("event")).groupBy(KEY)
     tracked = keyed.transformWithState(
         statefulProcessor=SessionProcessor(ttl_seconds, late_seconds, live),
-        outputStructType=_RESULT,
+        outputStructType=_PACKED,
         outputMode="Append",
         timeMode="ProcessingTime" if live else "None",
     )
-    return _serving(tracked)
+    found = F.from_json("results", T.ArrayType(_RESULT), {"mode": "FAILFAST"})
+    results = tracked.select(F.inline(found))
+    price = F.col("price").cast("double")
+    return _serving(results.select("event.*", *_RESULT.names[1:]).withColumn("price", price))
 
 
 def _serving(tracked: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -473,3 +474,33 @@ def test_a_committed_batch_is_not_written_again(spark, tmp_path):
     sinks.batch_table(spark.range(1), paths[-1], 7)
     sinks.route(*paths)(spark.range(3), 7)
     assert not (tmp_path / "serving").exists()
+
+
+def test_a_key_costs_one_row_and_one_read_of_its_state():
+    """Rows and state calls of the processor do not grow with a key's events."""
+    calls = []
+
+    class Store:
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append("update")
+
+    class Handle:
+        def getValueState(self, *_):
+            return Store()
+
+        def getMapState(self, *_):
+            return Store()
+
+    processor = session_state.SessionProcessor(3600, 60, False)
+    processor.init(Handle())
+    event = {"event_type": "view", "source_us": 1, "replay_us": 1}
+    rows = [
+        ("s", json.dumps({**event, "event_id": f"e{i}", "arrival": i})) for i in range(900)
+    ]
+    out = list(processor.handleInputRows(("s",), iter(rows), None))
+    assert len(out) == 1 and calls == ["get", "update"]
+    results = json.loads(out[0]["results"])
+    assert [r["serving_total_views"] for r in results] == list(range(900))
