@@ -14,6 +14,16 @@ ROCKSDB = (
 )
 
 
+# A trigger stores its changes, not whole tables, and looks up no key just to count
+# the rows that are there; both sides of a join share one store a partition.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
 # Lookups by (session, chunk, value) reuse the (session, chunk) partitioning.
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 
@@ -33,7 +43,7 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         CO_PARTITION: "false",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        **STATE,
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -47,7 +57,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(CO_PARTITION, "false")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     return spark
 
 

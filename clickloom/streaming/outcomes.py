@@ -19,7 +19,10 @@ from clickloom.operators.sessions import SESSION
 from clickloom.streaming.sinks import batch_table, drain, table_exists
 
 DELAY_SECONDS = 600
-SALTS = 8
+
+
+def _slice(micros, horizon_seconds: int):
+    return F.floor(micros / F.lit(max(horizon_seconds, 1) * C.MICROS))
 
 
 def _salt(row, salts: int):
@@ -31,37 +34,47 @@ def purchase_hits(
     purchases: DataFrame,
     horizon_seconds: int = C.HORIZON_SECONDS,
     delay_seconds: int = DELAY_SECONDS,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Stream of (prediction_id, instant) with a purchase inside the window.
 
     Rows of either stream may be ``delay_seconds`` behind its newest time.
-    Predictions of a busy session are dealt over ``salts`` keys; its purchases,
-    which are few, go to each of them. Predictions without a session, an id or a
-    known mode, and events other than purchases, are left out.
+    A session is cut into slices of time as long as the horizon: a prediction
+    lies in one of them, a purchase goes to the two that its predictions may lie
+    in. Sessions that are busy inside a slice can be dealt over ``salts`` keys
+    more; their purchases go to each of them. Predictions without a session, an
+    id or a known mode, and events other than purchases, are left out.
     """
     known = F.col("evaluation_mode").isin(
         monitoring.REPLAY_MODE, monitoring.BACKFILL_MODE
     )
     whole = known & F.col(SESSION).isNotNull() & F.col("prediction_id").isNotNull()
     delay = f"{delay_seconds} seconds"
+    instant = monitoring.prediction_instant().cast("timestamp")
+    paid = S.epoch_micros(F.col("instant"))
+    earliest, latest = paid - horizon_seconds * C.MICROS, paid - 1
+    reached = F.sequence(_slice(earliest, horizon_seconds), _slice(latest, horizon_seconds))
     asked = predictions.filter(whole).select(
         "prediction_id",
         F.col("evaluation_mode").alias("lane"),
         F.col(SESSION).alias("session"),
-        monitoring.prediction_instant().cast("timestamp").alias("instant"),
+        instant.alias("instant"),
+        _slice(S.epoch_micros(instant), horizon_seconds).alias("slice"),
         _salt("prediction_id", salts).alias("salt"),
     )
     bought = monitoring.purchase_lanes(purchases).select(
         F.col("evaluation_mode").alias("bought_lane"),
         F.col(SESSION).alias("bought_session"),
         F.col("instant").cast("timestamp").alias("bought"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("bought_salt"),
+        F.explode(reached).alias("bought_slice"),
     )
+    dealt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    bought = bought.withColumn("bought_salt", dealt)
     asked, bought = asked.withWatermark("instant", delay), bought.withWatermark("bought", delay)
     same = (
         (F.col("lane") == F.col("bought_lane"))
         & (F.col("session") == F.col("bought_session"))
+        & (F.col("slice") == F.col("bought_slice"))
         & (F.col("salt") == F.col("bought_salt"))
     )
     within = (F.col("bought") > F.col("instant")) & (

@@ -36,7 +36,7 @@ from clickloom.workload.oracle import RETRAIN_AS_OF, STREAM_TTL
 
 QUERIES = {}
 EVENT = list(schemas.SILVER.names)
-TRIGGERS, FILES_PER_PART = 4, 2
+TRIGGERS, FILES_PER_PART, ROWS_PER_FILE = 4, 2, 250_000
 TRIALS = 2
 SLICES = [
     ("week1", "2024-01-01", "2024-01-08"),
@@ -654,15 +654,20 @@ def _arrivals(spark, sf_dir, delay=None):
 
 
 def _arriving(spark, arrivals, base, name="in"):
-    """The arrivals as a stream of TRIGGERS triggers, earlier ones first."""
+    """The arrivals as a stream of TRIGGERS triggers, earlier ones first.
+
+    A trigger has as many files, and so tasks, as its rows ask for.
+    """
     arrivals = cut_lineage(arrivals)
-    last = arrivals.agg(F.max("arrival")).scalar()
-    part = F.floor(F.col("arrival") * TRIGGERS / (last + 1))
+    newest = arrivals.agg(F.max("arrival")).first()[0]
+    rows = 0 if newest is None else newest + 1
+    part = F.floor(F.col("arrival") * TRIGGERS / F.lit(rows))
+    files = max(FILES_PER_PART, -(-rows // (TRIGGERS * ROWS_PER_FILE)))
     for number in range(TRIGGERS):
-        some = arrivals.filter(part == number).repartition(FILES_PER_PART)
+        some = arrivals.filter(part == number).repartition(files)
         some.write.mode("append").parquet(f"{base}/{name}")
     return streams.file_events(
-        spark, f"{base}/{name}", arrivals.schema, files_per_trigger=FILES_PER_PART
+        spark, f"{base}/{name}", arrivals.schema, files_per_trigger=files
     )
 
 

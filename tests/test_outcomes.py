@@ -8,6 +8,8 @@ import pytest
 from clickloom.operators import monitoring
 from clickloom.sources import streams
 from clickloom.streaming import outcomes
+from clickloom.streaming.sinks import drain
+from clickloom.workload import queries
 from data import START, event, silver
 from pyspark.sql import functions as F
 
@@ -95,6 +97,47 @@ def test_a_prediction_leaves_once(spark, tmp_path):
     assert spark.read.parquet(f"{base}/out/hits").count() == 30
 
 
+def test_a_purchase_is_held_for_two_slices_of_a_lane(spark, tmp_path):
+    """Not once per salt: the state grows with the rows of both streams."""
+    asked = [(f"p{i}", f"s{i % 5}", at(i), at(i), 0.9, "model", "demo_replay") for i in range(40)]
+    sold = [event(f"s{i % 5}", 40 + i, "purchase", product=f"p{i}") for i in range(40)]
+    log, base = spark.createDataFrame(asked, LOG), str(tmp_path)
+    put(log, f"{base}/asked", 1)
+    put(replayed(spark, sold), f"{base}/sold", 1)
+    left = streams.file_events(spark, f"{base}/asked", log.schema)
+    right = streams.file_events(spark, f"{base}/sold", replayed(spark, sold).schema)
+    hits = outcomes.purchase_hits(left, right, 300)
+    query = drain(hits, lambda batch, number: batch.count(), f"{base}/checkpoint")
+    held = sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"])
+    assert 40 + 2 * 40 <= held <= 40 + 2 * 2 * 40
+
+
+@pytest.mark.parametrize("seconds", [299, 300, 301, 600])
+def test_windows_reach_over_the_bound_of_a_slice(spark, tmp_path, seconds):
+    """One prediction on a bound of the slices and one inside, a purchase after each."""
+    on = START - (START - dt.datetime(1970, 1, 1)) % dt.timedelta(seconds=300)
+    times = {"on": on, "in": on + dt.timedelta(seconds=150)}
+    asked = [(n, n, t, t, 0.9, "model", "offline_backfill") for n, t in times.items()]
+    later = dt.timedelta(seconds=seconds)
+    sold = [event(n, (t + later - START).total_seconds(), "purchase") for n, t in times.items()]
+    log, base = spark.createDataFrame(asked, LOG), str(tmp_path)
+    put(log, f"{base}/asked", 1)
+    put(replayed(spark, sold), f"{base}/sold", 1)
+    left = streams.file_events(spark, f"{base}/asked", log.schema)
+    right = streams.file_events(spark, f"{base}/sold", replayed(spark, sold).schema)
+    outcomes.follow(outcomes.purchase_hits(left, right, 300), f"{base}/out", f"{base}/checkpoint")
+    hits = {r[0] for r in spark.read.parquet(f"{base}/out/hits").select("prediction_id").collect()}
+    assert hits == ({"on", "in"} if seconds <= 300 else set())
+
+
+def test_a_trigger_has_as_many_files_as_its_rows_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 10, raising=False)
+    rows = spark.range(160).select(F.col("id").alias("arrival"))
+    queries._arriving(spark, rows, str(tmp_path))
+    read = spark.read.parquet(f"{tmp_path}/in")
+    assert len(read.inputFiles()) == queries.TRIGGERS * 4 and read.count() == 160
+
+
 def test_ground_truth_time_waits_for_the_window(spark):
     log = spark.createDataFrame(
         [("a", "s", at(0), at(0), 0.9, "model", "demo_replay"), ("b", None, at(0), at(0), 0.9, "model", "demo_replay")], LOG
