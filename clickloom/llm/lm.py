@@ -17,9 +17,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +45,19 @@ def tail_bucket(word: bytes) -> int:
     return zlib.crc32(word[-TAIL_BYTES:]) % BUCKETS
 
 
-def tokens(text: bytes) -> list[bytes]:
-    words = text.lower().split()
-    words.append(END)
-    return words
+def tokens(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """All tokens of all texts as codes, what the codes stand for, tokens a text."""
+    low = pc.ascii_lower(texts.cast(pa.large_binary()).view(pa.large_string()))
+    lists = pc.ascii_split_whitespace(low)
+    words = lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0)  # blanks at either end split off nothing
+    owner = np.repeat(np.arange(len(texts)), np.asarray(lists.value_lengths()))
+    sizes = np.bincount(owner[np.asarray(full)], minlength=len(texts))
+    met = words.filter(full).dictionary_encode()
+    spelled = met.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False)
+    distinct = [*spelled, END]
+    codes = np.insert(np.asarray(met.indices), np.cumsum(sizes), len(distinct) - 1)
+    return codes, distinct, sizes + 1
 
 
 def training(docs: DataFrame) -> DataFrame:
@@ -78,8 +89,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(tokens(text))
+            codes, distinct, _ = tokens(batch.column(0))
+            times = np.bincount(codes, minlength=len(distinct)).tolist()
+            for word, n in zip(distinct, times):
+                counts[word] += n
+            if not counts[END]:
+                del counts[END]
             if len(counts) >= FLUSH_WORDS:
                 yield out()
                 counts.clear()
@@ -106,6 +121,37 @@ class Vocabulary:
         found = self.classes.get(word)
         return WORDS + tail_bucket(word) if found is None else found
 
+    @cached_property
+    def words(self) -> Numbers:
+        """Numbers of the known words and those with a class of their own."""
+        return Numbers([*self.known, *(w for w in self.classes if w not in self.known)])
+
+    @cached_property
+    def class_by_number(self) -> np.ndarray:
+        own = [self.class_of(word) for word in self.words]
+        return np.r_[own, WORDS + np.arange(BUCKETS)].astype(np.int16)
+
+    def __getstate__(self) -> dict:
+        made = ("words", "class_by_number")  # a worker makes its own, once
+        return {k: v for k, v in self.__dict__.items() if k not in made}
+
+
+class Numbers(dict):
+    """A number for every word; words that are not listed share their bucket's."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words))))
+        self.listed, self.tails = len(words), {}
+
+    def __missing__(self, word: bytes) -> int:
+        tail = word[-TAIL_BYTES:]
+        found = self.tails.get(tail)
+        if found is None:
+            if len(self.tails) > 1_000_000:
+                self.tails.clear()
+            found = self.tails[tail] = self.listed + tail_bucket(word)
+        return found
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """At most ``KNOWN_WORDS`` words and ``BUCKETS`` sums reach the driver.
@@ -151,28 +197,24 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 class Model:
-    """Parameters: context tables U1, U2, targets R and constants b."""
+    """Parameters: context tables U1, U2, targets R and constants b, in one array."""
 
     def __init__(self, class_counts: np.ndarray, seed: int = 1):
         rng, size = np.random.default_rng(seed), len(class_counts)
         share = (class_counts + 1.0) / (class_counts + 1.0).sum()
         self.noise = share
-        self.u1 = np.zeros((size, WIDTH), np.float32)
-        self.u2 = np.zeros((size, WIDTH), np.float32)
-        self.r = rng.normal(0, 0.3, (size, WIDTH)).astype(np.float32)
-        self.b = np.log(share).astype(np.float32)
-
-    def parameters(self) -> list[np.ndarray]:
-        return [self.u1, self.u2, self.r, self.b]
+        self.flat = np.zeros(size * (3 * WIDTH + 1), np.float32)
+        tables = self.flat[: 3 * size * WIDTH].reshape(3, size, WIDTH)
+        self.u1, self.u2, self.r = tables
+        self.b = self.flat[3 * size * WIDTH :]
+        self.r[...] = rng.normal(0, 0.3, (size, WIDTH))
+        self.b[...] = np.log(share)
 
     def pack(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parameters()])
+        return self.flat.copy()
 
     def unpack(self, flat: np.ndarray) -> None:
-        at = 0
-        for p in self.parameters():
-            p[...] = flat[at : at + p.size].reshape(p.shape)
-            at += p.size
+        self.flat[...] = flat
 
     def log_tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A[u, w], B[v, w] and the log normaliser Z[u, v] of exp(A + B)."""
@@ -183,12 +225,12 @@ class Model:
         return a, b, np.log(z) + top_a + top_b.T
 
 
-def _scatter(shape: tuple, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = np.zeros(shape, np.float32)
-    order = np.argsort(ids, kind="stable")
-    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    out[ids[order][first]] = np.add.reduceat(rows[order], first)
-    return out
+def _shares(scores: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(score)) in place; a huge score gives 0."""
+    with np.errstate(over="ignore"):
+        np.exp(scores, out=scores)
+    scores += 1
+    return np.reciprocal(scores, out=scores)
 
 
 class Trainer:
@@ -197,52 +239,62 @@ class Trainer:
     def __init__(self, model: Model, seed: int):
         self.model, self.rng = model, np.random.default_rng(seed)
         self.below = np.cumsum(model.noise)
-        self.squares = [np.full(p.shape, 0.1, np.float32) for p in model.parameters()]
+        self.log_noise = np.log(NOISE * model.noise).astype(np.float32)
+        self.squares = np.full(model.flat.shape, 0.1, np.float32)
+        self.cells = np.arange(len(model.b) * WIDTH).reshape(-1, WIDTH)
+        self.slope, self.root = np.empty_like(model.flat), np.empty_like(model.flat)
 
     def step(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> None:
-        m, k = self.model, NOISE
-        drawn = np.searchsorted(self.below, self.rng.random(k))
+        m, size = self.model, len(self.model.b)
+        drawn = np.searchsorted(self.below, self.rng.random(NOISE))
         noise = np.minimum(drawn, len(m.noise) - 1)
-        log_noise = np.log(k * m.noise).astype(np.float32)
-        q = m.u1[u] + m.u2[v]
-        true = (q * m.r[w]).sum(1) + m.b[w] - log_noise[w]
-        false = q @ m.r[noise].T + m.b[noise] - log_noise[noise]
-        # slopes of the loss by score, per token
-        g_true = (-1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)
-        g_false = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        n = np.float32(1 / len(u))
-        g_true, g_false = g_true * n, (g_false * n).astype(np.float32)
-        g_q = g_true[:, None] * m.r[w] + g_false @ m.r[noise]
-        g_r = _scatter(m.r.shape, w, g_true[:, None] * q)
-        np.add.at(g_r, noise, g_false.T @ q)
-        g_b = np.bincount(w, g_true, len(m.b)) + np.bincount(
-            noise, g_false.sum(0), len(m.b)
+        offset = m.b - self.log_noise
+        q, r_w, r_noise = m.u1.take(u, 0), m.r.take(w, 0), m.r.take(noise, 0)
+        q += m.u2.take(v, 0)
+        true = np.einsum("ij,ij->i", q, r_w)
+        true += offset.take(w)
+        false = q @ -r_noise.T
+        false -= offset.take(noise)
+        # slopes of the loss by score, per token, times the root of the batch
+        scale = np.float32(len(u) ** -0.5)
+        g_true = _shares(true) * -scale
+        g_false = _shares(false)
+        g_false *= scale
+        g_q = g_false @ r_noise
+        r_w *= g_true[:, None]
+        g_q += r_w
+        r_rows = g_true[:, None] * q
+        noise_rows = g_false.T @ q
+        tables = self.slope[: 3 * size * WIDTH].reshape(3, size, WIDTH)
+        g_q = g_q.astype(np.float64).ravel()
+        self._add_rows(tables[0], u, g_q)
+        self._add_rows(tables[1], v, g_q)
+        self._add_rows(tables[2], np.r_[w, noise], np.r_[r_rows, noise_rows].ravel())
+        self.slope[3 * size * WIDTH :] = np.bincount(w, g_true, size) + np.bincount(
+            noise, np.ones(len(u), np.float32) @ g_false, size
         )
-        slopes = [_scatter(m.u1.shape, u, g_q), _scatter(m.u2.shape, v, g_q), g_r, g_b]
-        for p, g, s in zip(m.parameters(), slopes, self.squares):
-            g = g.astype(np.float32) * len(u) ** 0.5
-            s += g * g
-            p -= RATE * g / np.sqrt(s)
-
-
-def class_ids(texts: list[bytes], of: Vocabulary, cache: dict) -> tuple[np.ndarray, list]:
-    """Classes of all tokens, with the end class before each text, and tokens."""
-    split = [tokens(text) for text in texts]
-    get, end = of.classes.get, of.classes[END]
-    out = []
-    for words in split:
-        out.append(end)
-        for word in words:
-            found = get(word)
-            if found is None:
-                tail = word[-TAIL_BYTES:]
-                found = cache.get(tail)
-                if found is None:
-                    found = cache[tail] = WORDS + zlib.crc32(tail) % BUCKETS
-            out.append(found)
-        if len(cache) > 1_000_000:
-            cache.clear()
-    return np.array(out, np.int64), split
+        g, root = self.slope, self.root
+        np.multiply(g, g, out=root)
+        self.squares += root
+        np.sqrt(self.squares, out=root)
+        g *= np.float32(RATE)
+        g /= root
+        m.flat -= g
+
+    def _add_rows(self, out: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Set ``out`` to the sums of the rows by id."""
+        cells = self.cells.take(ids, 0).ravel()
+        out[...] = np.bincount(cells, rows, out.size).reshape(out.shape)
+
+
+def word_numbers(distinct: list[bytes], of: Vocabulary) -> np.ndarray:
+    return np.fromiter(map(of.words.__getitem__, distinct), np.int64, len(distinct))
+
+
+def class_ids(numbers: np.ndarray, sizes: np.ndarray, of: Vocabulary) -> np.ndarray:
+    """Classes of all tokens, with the end class before each text."""
+    classes = of.class_by_number.take(numbers).astype(np.int64)
+    return np.insert(classes, np.cumsum(sizes) - sizes, of.classes[END])
 
 
 def contexts(ids: np.ndarray, sizes: list[int], end: int) -> tuple:
@@ -273,10 +325,11 @@ def train(texts: DataFrame, of: Vocabulary, rounds: int = ROUNDS) -> Model:
             own = Model(of.class_counts)
             own.unpack(np.frombuffer(start, np.float32))
             trainer = Trainer(own, 1000 * number + TaskContext.get().partitionId())
-            end, cache, seen = of.classes[END], {}, 0
+            end, seen = of.classes[END], 0
             for batch in batches:
-                ids, split = class_ids(batch.column(0).to_pylist(), of, cache)
-                u, v, w = contexts(ids, [len(s) for s in split], end)
+                codes, distinct, sizes = tokens(batch.column(0))
+                numbers = word_numbers(distinct, of).take(codes)
+                u, v, w = contexts(class_ids(numbers, sizes, of), sizes, end)
                 order = trainer.rng.permutation(len(w))
                 for at in range(0, len(order), BATCH):
                     some = order[at : at + BATCH]
@@ -329,40 +382,49 @@ def partial_scores(docs: DataFrame, of: Vocabulary, model: Model) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, flat = shared.value
-        own = Model(of.class_counts)
-        own.unpack(flat)
-        a, b, z = own.log_tables()
+        model = Model(of.class_counts)
+        model.unpack(flat)
+        a, b, z = model.log_tables()
         spread = np.log10(np.r_[np.ones(WORDS), of.bucket_tokens + of.bucket_words + 1.0])
         base = np.log10(of.total + of.distinct + 1)
-        logs = {w: float(np.log10(n + 1)) for w, n in of.known.items()}
-        end, cache = of.classes[END], {}
+        listed = of.words.listed
+        own = np.array([of.known.get(w, 0) for w in of.words], np.float64)
+        logs = np.r_[np.log10(own + 1), np.zeros(BUCKETS)]
+        # top words have their own class: their count is not in the share
+        shares = np.where(of.class_by_number < WORDS, 0.0, logs)
+        unknown = np.ones(len(logs), bool)
+        unknown[:listed] = own == 0
+        end = of.classes[END]
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, split = class_ids(batch.column(1).to_pylist(), of, cache)
-            sizes = [len(s) for s in split]
-            u, v, w = contexts(ids, sizes, end)
+            codes, distinct, sizes = tokens(batch.column(1))
+            if not len(sizes):
+                continue
+            numbers = word_numbers(distinct, of).take(codes)
+            u, v, w = contexts(class_ids(numbers, sizes, of), sizes, end)
             log10 = (a[u, w] + b[v, w] - z[u, v]).astype(np.float64) / np.log(10) - spread[w]
-            by_text = np.add.reduceat(log10, np.cumsum([0, *sizes[:-1]])) if sizes else []
-            rows = []
-            for words, held, doc_id, part in zip(
-                split, batch.column(2).to_pylist(), batch.column(0).to_pylist(), by_text
-            ):
-                rare = Counter(x for x in words if x not in logs)
-                known = len(words) - sum(rare.values())
-                found = [logs[x] for x in words if x in logs]
-                listed = [{"word": x, "times": n} for x, n in rare.items()]
-                # top words have their own class: their count is not in the share
-                shares = sum(logs[x] for x in words if x in logs and x not in of.classes)
-                rows.append(
-                    {
-                        "row": row, "doc_id": doc_id, "held_out": held,
-                        "n_tokens": len(words), "n_known": known,
-                        "base_part": sum(found) - len(words) * base,
-                        "model_part": float(part) + shares, "rare": listed,
-                    }
-                )
-                row += 1
-            yield pa.RecordBatch.from_pylist(rows, schema=_SCORED)
+            starts = np.cumsum(sizes) - sizes
+            by_text = np.add.reduceat(log10 + shares.take(numbers), starts)
+            found = np.add.reduceat(logs.take(numbers), starts) - sizes * base
+            places = np.flatnonzero(unknown.take(numbers))
+            texts = np.searchsorted(starts, places, "right") - 1
+            rare = [Counter() for _ in sizes]
+            for text, code in zip(texts.tolist(), codes[places].tolist()):
+                rare[text][distinct[code]] += 1
+            n_known = sizes - np.bincount(texts, minlength=len(sizes))
+            lists = [[{"word": x, "times": n} for x, n in r.items()] for r in rare]
+            columns = [
+                np.arange(row, row + len(sizes)), batch.column(0), batch.column(2), sizes,
+                n_known, found, by_text, lists,
+            ]
+            row += len(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    c if isinstance(c, pa.Array) else pa.array(c, f.type)
+                    for c, f in zip(columns, _SCORED)
+                ],
+                schema=_SCORED,
+            )
 
     return map_batches(docs, task, SCORED)
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import SCHEMA, with_odd_rows
 
@@ -77,3 +78,46 @@ def test_contexts():
     assert w.tolist() == [1, 2, 9, 3, 9]
     assert u.tolist() == [9, 1, 2, 9, 3]
     assert v.tolist() == [9, 9, 1, 9, 9]
+
+
+def test_tokens_are_those_of_plain_rules():
+    texts = ["", "  A b\tB\u00a0\u00c4 ", "\n", "a\x0b\x0ca\x1fa", "b a \u2003"]
+    codes, distinct, sizes = lm.tokens(pa.array([t.encode() for t in texts], pa.binary()))
+    want = [[*t.encode().lower().split(), lm.END] for t in texts]
+    assert [distinct[c] for c in codes] == [w for words in want for w in words]
+    assert sizes.tolist() == [len(words) for words in want]
+    codes, distinct, sizes = lm.tokens(pa.array([], pa.binary()))
+    assert len(codes) == len(sizes) == 0
+
+
+def test_a_step_is_that_of_plain_loops():
+    """Slopes of the noise-contrastive loss, added up token by token."""
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 1000, lm.WORDS + lm.BUCKETS)
+    model = lm.Model(counts)
+    model.flat += rng.normal(0, 0.1, model.flat.shape).astype(np.float32)
+    u, v, w = rng.integers(0, 40, (3, 50))
+    u1, u2, r, b = (p.astype(float) for p in (model.u1, model.u2, model.r, model.b))
+    trainer = lm.Trainer(model, 5)
+    drawn = np.searchsorted(np.cumsum(model.noise), np.random.default_rng(5).random(lm.NOISE))
+    slopes = [np.zeros(p.shape) for p in (u1, u2, r, b)]
+    for x, y, true in zip(u, v, w):
+        q = u1[x] + u2[y]
+        for z, label in [(true, 1), *((n, 0) for n in drawn)]:
+            score = q @ r[z] + b[z] - math.log(lm.NOISE * model.noise[z])
+            g = (1 / (1 + math.exp(-score)) - label) / len(u) ** 0.5
+            slopes[0][x] += g * r[z]
+            slopes[1][y] += g * r[z]
+            slopes[2][z] += g * q
+            slopes[3][z] += g
+    trainer.step(u, v, w)
+    for p, old, g in zip((model.u1, model.u2, model.r, model.b), (u1, u2, r, b), slopes):
+        assert np.allclose(p, old - lm.RATE * g / np.sqrt(0.1 + g * g), atol=1e-4)
+
+
+def test_words_are_looked_up_once_a_batch():
+    """Not once a token: texts repeat their words."""
+    text = b" ".join([b"one", b"two"] * 5000)
+    codes, distinct, sizes = lm.tokens(pa.array([text] * 3, pa.binary()))
+    assert sorted(distinct) == sorted([b"one", b"two", lm.END])
+    assert len(codes) == sizes.sum() == 3 * 10_001
