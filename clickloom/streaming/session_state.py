@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from operator import itemgetter
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from clickloom.functions import scalars as S
 ACCEPTED, DUPLICATE, LATE, REJECTED = "accepted", "duplicate", "late", "rejected"
 COUNTED = {"view": 3, "cart": 4, "remove_from_cart": 5}
 KEY = "_key"
-REJECT_LANES = 256
+LANES, REJECT_LANES = 4096, 256
 
 _TEXT, _LONG = T.StringType(), T.LongType()
 
@@ -78,26 +79,21 @@ _ROW = Row("results")
 _COUNTS = tuple(_RESULT.names[3:])
 PACK_ROWS, PACK_CHARS = 1_000, 1 << 20
 
-# ``touched`` is the clock of the last accepted event, ``bucket`` the newest time
-# bucket of the ids. The three texts hold small sets as JSON.
-_STATE = _fields(
-    ("alive", T.BooleanType()),
-    ("first", _LONG),
-    ("last", _LONG),
-    ("touched", _LONG),
-    ("views", _LONG),
-    ("carts", _LONG),
-    ("removes", _LONG),
-    ("products", _LONG),
-    ("categories", _LONG),
-    ("product_set", _TEXT),
-    ("category_set", _TEXT),
-    ("seen_ids", _TEXT),
-    ("ids_spilled", T.BooleanType()),
-    ("bucket", _LONG),
-)
+# A key of the state is a lane of many sessions, as a call to the state server costs
+# more than the events of a session. ``sessions`` holds a text per session: the fields
+# below as JSON. Sessions past both limits lie aside, in pages of their own; ``aside``
+# is the newest clock at which one of those could still matter.
+_STATE = _fields(("sessions", _TEXT), ("aside", _LONG), ("pages", _LONG))
+_EMPTY = ("{}", None, 0)
+
+# alive, first, last, clock of the last accepted event, views, carts, removes, products,
+# categories; then the small sets as JSON, whether the ids have spilled, the newest time
+# bucket of the ids, the number that tells this life of the session from earlier ones,
+# the newest clock of its events, and the wall clock of the last trigger.
 _NEW = (False, 0, 0, 0, 0, 0, 0, 0, 0, "{}", "{}", "{}", False, 0)
+_LIFE, _HEARD, _WALL = 14, 15, 16
 _INLINE = 500
+PAGE_NAMES, PAGES_HELD = 100, 1_000
 
 
 def late_reason(seconds: int) -> str:
@@ -195,6 +191,79 @@ class _Ids:
         return json.dumps(self.inline)
 
 
+class _Paged:
+    """The map of one session in a map state that all sessions of a lane share.
+
+    Names lie by their hash in pages of about ``PAGE_NAMES``, so the session's part
+    is cleared without listing names. Pages double in number as names are added;
+    some are held until ``flush``.
+    """
+
+    def __init__(self, store, prefix: str):
+        self.store, self.prefix = store, prefix
+        self.head, self.pages, self.changed = None, {}, set()
+
+    def _read(self, part):
+        found = self.store.getValue((f"{part}/{self.prefix}",))
+        return json.loads(found[0]) if found else None
+
+    def _write(self, part, value) -> None:
+        self.store.updateValue((f"{part}/{self.prefix}",), (json.dumps(value),))
+
+    def _size(self) -> list[int]:
+        """The numbers of pages and of names put."""
+        if self.head is None:
+            self.head = self._read("head") or [1, 0]
+        return self.head
+
+    def _page(self, name: str) -> tuple[int, dict]:
+        number = crc32(name.encode()) % self._size()[0]
+        if number not in self.pages:
+            if len(self.pages) >= PAGES_HELD:
+                self.flush()
+                self.pages = {}
+            self.pages[number] = self._read(number) or {}
+        return number, self.pages[number]
+
+    def containsKey(self, key) -> bool:
+        return key[0] in self._page(key[0])[1]
+
+    def getValue(self, key):
+        return (self._page(key[0])[1][key[0]],)
+
+    def updateValue(self, key, value) -> None:
+        number, page = self._page(key[0])
+        self.head[1] += key[0] not in page
+        page[key[0]] = value[0]
+        self.changed.add(number)
+        if self.head[1] > self.head[0] * PAGE_NAMES:
+            self._double()
+
+    def _double(self) -> None:
+        """Every page leaves a part of its names to a new one."""
+        self.flush()
+        self.pages, count = {}, self.head[0]
+        self.head[0] = 2 * count
+        for number in range(count):
+            page = self._read(number) or {}
+            new = {k: v for k, v in page.items() if crc32(k.encode()) % self.head[0] != number}
+            self._write(number, {k: v for k, v in page.items() if k not in new})
+            self._write(number + count, new)
+        self._write("head", self.head)
+
+    def flush(self) -> None:
+        if self.changed:  # the head last, so that it does not expire first
+            for number in self.changed:
+                self._write(number, self.pages[number])
+            self._write("head", self.head)
+            self.changed = set()
+
+    def clear(self) -> None:
+        for part in [*range(self._size()[0]), "head"]:
+            self.store.removeKey((f"{part}/{self.prefix}",))
+        self.head, self.pages, self.changed = [1, 0], {}, set()
+
+
 _COUNTED_TEXT = "".join(f',"{name}":%d' for name in _COUNTS)
 
 
@@ -222,13 +291,19 @@ def _packs(results: Iterator[str]) -> Iterator[Row]:
 
 
 class SessionProcessor(StatefulProcessor):
-    """Duplicate, late and session rules of one key, in arrival order.
+    """Duplicate, late and session rules, in arrival order of each session.
+
+    A key is a lane of sessions: its state is read and written once a trigger for
+    all of them. The clock is the arrival time of the events, so a replay gives the
+    same answer every time. A session whose state and ids are past the limit at the
+    newest clock of its lane lies aside in a page that is read only if the clock of
+    an event goes back to where it could matter; so a trigger costs what its sessions
+    and those of the last time limit cost.
 
-    The clock is the arrival time of the events, so a replay gives the same
-    answer every time; ``live`` adds a wall-clock limit so that idle keys go
-    away. The state value and the seen ids then have a TTL; the value and
-    category sets have none, as they live as long as their session: a timer that
-    every trigger sets anew clears them.
+    ``live`` adds a wall-clock limit so that idle sessions go away. The lane, its
+    pages and the seen ids then have a TTL; the value and category sets have none,
+    as they live as long as their session: they go with it, or by a timer that every
+    trigger of the lane sets anew.
 
     Rows with a reason are given back as rejected and touch no state.
     """
@@ -241,15 +316,17 @@ class SessionProcessor(StatefulProcessor):
         self.inline = inline
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        name, number = _fields(("name", _TEXT)), _fields(("number", _LONG))
+        name, text = _fields(("name", _TEXT)), _fields(("text", _TEXT))
+        number = _fields(("number", _LONG))
         self.handle = handle
         self.stored = handle.getValueState("state", _STATE, self.expiry)
+        self.aside = handle.getMapState("aside", number, text, self.expiry)
         self.maps = [
-            handle.getMapState("products", name, number),
-            handle.getMapState("categories", name, number),
+            handle.getMapState("products", name, text),
+            handle.getMapState("categories", name, text),
         ]
         self.id_maps = [
-            handle.getMapState(f"seen_{n}", name, number, self.expiry) for n in (0, 1)
+            handle.getMapState(f"seen_{n}", name, text, self.expiry) for n in (0, 1)
         ]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -257,55 +334,110 @@ class SessionProcessor(StatefulProcessor):
 
     def _results(self, rows, timerValues) -> Iterator[str]:
         # One trigger brings a bounded number of rows (see sources.streams).
-        events = []
+        sessions, newest = {}, None
         for row in rows:
             text = row[1]
             event = json.loads(text)
             if "reason" in event:
                 yield _result(text, REJECTED)
             else:
-                events.append((event["arrival"], text, event))
-        if not events:
+                some = sessions.setdefault(event.get("user_session", ""), [])
+                some.append((event["arrival"], text, event))
+        if not sessions:
             return
-        events.sort(key=itemgetter(0))
-        self._load(events[0][2]["replay_us"])
-        for _, text, event in events:
-            yield _result(text, *self._apply(event))
-        self._save()
-        if self.expiry and (self.products.spilled or self.categories.spilled):
+        wall = timerValues.getCurrentProcessingTimeInMs() if self.expiry else 0
+        held, aside, pages = self._open(sessions, wall)
+        for name, events in sessions.items():
+            events.sort(key=itemgetter(0))
+            self._load(name, held.get(name), events[0][2])
+            for _, text, event in events:
+                yield _result(text, *self._apply(event))
+            held[name] = self._saved(events, wall)
+            heard = held[name][_HEARD]
+            newest = heard if newest is None else max(newest, heard)
+        self._close(held, aside, pages, newest)
+        if self.expiry and any(map(self._names_spilled, held.values())):
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(now + self.expiry)
+            self.handle.registerTimer(wall + self.expiry)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """No event for the whole limit: the session's spilled sets go."""
+        """No event for the whole limit: the spilled sets of the lane go."""
         self.maps[0].clear()
         self.maps[1].clear()
         yield from ()
 
-    def _load(self, now: int) -> None:
+    def _open(self, sessions: dict, wall: int) -> tuple[dict, int | None, int]:
+        """The states of the lane, also those that lie aside and may matter now."""
         state = self.stored.get()
-        known = state is not None
-        state = tuple(state) if known else _NEW
-        if self.expiry and not known:  # what an expired session may have left
+        if self.expiry and state is None:  # what an expired lane may have left
             self.maps[0].clear()
             self.maps[1].clear()
+        text, aside, pages = _EMPTY if state is None else tuple(state)
+        held = json.loads(text)
+        if aside is not None:
+            back = {
+                name
+                for name, events in sessions.items()
+                if name not in held and min(e[2]["replay_us"] for e in events) <= aside
+            }
+            found = {}
+            for (number,), (page,) in self.aside.iterator() if back else ():
+                for name, entry in json.loads(page).items():
+                    if name in back and found.get(name, (-1,))[0] < number:
+                        found[name] = number, entry
+            held.update((name, entry) for name, (_, entry) in found.items())
+        if self.expiry:
+            for name in [n for n, e in held.items() if wall - e[_WALL] > self.expiry]:
+                self._load(name, held.pop(name), None)
+                self.products.clear()
+                self.categories.clear()
+        return held, aside, pages
+
+    def _close(self, held: dict, aside: int | None, pages: int, newest: int) -> None:
+        """Store the lane; what is past the limits is laid aside as a page."""
+        past = {
+            name: entry
+            for name, entry in held.items()
+            if entry[_HEARD] + self.ttl < newest
+            and not (self.expiry and self._names_spilled(entry))
+        }
+        if past:
+            self.aside.updateValue((pages,), (json.dumps(past),))
+            pages += 1
+            ends = [entry[_HEARD] + self.ttl for entry in past.values()]
+            aside = max(ends) if aside is None else max(aside, *ends)
+            for name in past:
+                del held[name]
+        self.stored.update((json.dumps(held), aside, pages))
+
+    def _names_spilled(self, entry) -> bool:
+        return entry[7] > self.inline or entry[8] > self.inline
+
+    def _load(self, name: str, entry: list | None, first: dict | None) -> None:
+        """Take up a session, or begin it with its first event."""
+        state = (*_NEW, first["arrival"], first["replay_us"]) if entry is None else entry
         self.alive, self.session, sets = state[0], list(state[1:9]), state[9:12]
+        self.life, self.heard = state[_LIFE], state[_HEARD]
         spilled = (self.session[6] > self.inline, self.session[7] > self.inline)
+        prefix = f"{self.life}/{name}"
+        self.stores = [_Paged(m, prefix) for m in (*self.maps, *self.id_maps)]
         self.products, self.categories = (
-            _Names(*parts, self.inline) for parts in zip(self.maps, sets, spilled)
+            _Names(*parts, self.inline) for parts in zip(self.stores, sets, spilled)
         )
         self.seen = _Ids(
-            self.id_maps, sets[2], state[12], self.inline, self.ttl, state[13]
+            self.stores[2:], sets[2], state[12], self.inline, self.ttl, state[13]
         )
-        self.seen.roll(now)
+        if first is not None:
+            self.seen.roll(first["replay_us"])
 
-    def _save(self) -> None:
+    def _saved(self, events: list, wall: int) -> list:
+        for store in self.stores:
+            store.flush()
+        heard = max(self.heard, max(event["replay_us"] for _, _, event in events))
         texts = (self.products.text(), self.categories.text(), self.seen.text())
-        self.stored.update(
-            (self.alive, *self.session, *texts, self.seen.spilled, self.seen.bucket)
-        )
+        ids = (self.seen.spilled, self.seen.bucket)
+        return [self.alive, *self.session, *texts, *ids, self.life, heard, wall]
 
     def _first(self, names: _Names, value: str | None) -> int:
         value = _coded(value)
@@ -362,6 +494,7 @@ def track_sessions(
     ttl_seconds: int = C.STATE_TTL_SECONDS,
     late_seconds: int = C.LATE_THRESHOLD_SECONDS,
     live: bool = False,
+    lanes: int = LANES,
 ) -> DataFrame:
     """Status and serving columns for a stream of replay events.
 
@@ -369,7 +502,8 @@ def track_sessions(
     session (an offset); ``replay_time`` is the clock of both time limits.
     ``user_id``, ``source`` and ``_text`` (the message) are carried if there.
     Rows that cannot be tracked come back as rejected, with a reason; they are
-    dealt over many keys before the shuffle.
+    dealt over many keys before the shuffle. Sessions share ``lanes`` keys, a number
+    that a checkpoint fixes, like the number of its partitions.
     """
     times = {
         "source_us": S.epoch_micros(S.parse_iso(F.col("source_event_time").cast("string"))),
@@ -380,10 +514,10 @@ def track_sessions(
         held = F.col(column) if column in events.columns else F.lit(None)
         times[name] = held.cast("string")
     checked = events.withColumns(times).withColumn("reason", reject_reason())
-    lane = F.pmod(F.xxhash64("arrival", "message"), F.lit(REJECT_LANES))
-    key = F.when(F.col("reason").isNull(), F.col("user_session")).otherwise(
-        F.concat(F.lit("rejected "), lane)
-    )
+    rejects = F.pmod(F.xxhash64("arrival", "message"), F.lit(REJECT_LANES))
+    key = F.when(
+        F.col("reason").isNull(), F.pmod(F.xxhash64("user_session"), F.lit(lanes))
+    ).otherwise(-1 - rejects)
     # a price as text comes back as the same number, also if it is none
     price = F.col("price").cast("string").alias("price")
     packed = F.to_json(F.struct(*(price if n == "price" else n for n in _INPUT)))

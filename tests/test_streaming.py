@@ -504,3 +504,123 @@ def test_a_key_costs_one_row_and_one_read_of_its_state():
     assert len(out) == 1 and calls == ["get", "update"]
     results = json.loads(out[0]["results"])
     assert [r["serving_total_views"] for r in results] == list(range(400))
+
+
+class _Lane:
+    """State of one lane in memory, with the calls that reach the server."""
+
+    def __init__(self):
+        self.value, self.maps, self.calls = None, {}, []
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _LaneMap(self.calls))
+
+
+class _LaneMap:
+    def __init__(self, calls):
+        self.held, self.calls = {}, calls
+
+    def getValue(self, key):
+        self.calls.append("map")
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls.append("map")
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.held.pop(key, None)
+
+    def iterator(self):
+        self.calls.append("list")
+        return iter(list(self.held.items()))
+
+
+def _in_lane(lane, messages, **rules):
+    """One trigger of a lane: the status and product count of each event."""
+    processor = session_state.SessionProcessor(100, 60, False, **rules)
+    processor.init(lane)
+    rows = []
+    for m in messages:
+        start = START.replace(tzinfo=dt.timezone.utc)
+        event = {k: m[k] for k in ("event_id", "user_session", "event_type", "product_id", "arrival")}
+        for name, column in (("source_us", "source_event_time"), ("replay_us", "replay_time")):
+            at = m[column].replace(tzinfo=dt.timezone.utc) - start
+            event[name] = int(at.total_seconds()) * 1_000_000 + 10**12
+        rows.append((7, json.dumps(event)))
+    out = list(processor.handleInputRows((7,), iter(rows), None))
+    results = [r for pack in out for r in json.loads(pack["results"])]
+    return {
+        r["event"]["arrival"]: (r["status"], r.get("serving_unique_products")) for r in results
+    }
+
+
+def test_the_sessions_of_a_lane_cost_one_read_and_one_write():
+    """Calls to the state server do not grow with the number of sessions."""
+    lane = _Lane()
+    for trigger in range(3):
+        some = [
+            message(f"e{trigger}-{i}", f"s{i % 50}", trigger, arrival=1000 * trigger + i)
+            for i in range(200)
+        ]
+        assert len(_in_lane(lane, some)) == 200
+    assert lane.calls == ["get", "update"] * 3
+
+
+@pytest.mark.parametrize("inline", [500, 2])
+def test_sessions_laid_aside_come_back_if_the_clock_does(inline):
+    """The clocks of a lane's sessions may differ: each keeps to its own."""
+    rnd = random.Random(5)
+    lane, messages, clocks = _Lane(), [], dict.fromkeys("abcd", 0)
+    found = {}
+    for trigger in range(80):
+        batch = []
+        for _ in range(rnd.randrange(1, 8)):
+            name = rnd.choice("abcd")
+            clocks[name] += rnd.choice([0, 3, 9, 40, 40, 130, 400 if name == "a" else 20])
+            number = len(messages)
+            batch.append(message(
+                f"{name}{rnd.randrange(40)}", name, clocks[name] - rnd.choice([0, 0, 30, 90]),
+                rnd.choice(TYPES), number, clock=clocks[name], product_id=f"p{rnd.randrange(9)}",
+            ))
+            messages.append(batch[-1])
+        found.update(_in_lane(lane, batch, inline=inline))
+    expected = {
+        arrival: (status, values and values[3])
+        for arrival, (status, values) in plain_rules(messages, 100, 60).items()
+    }
+    assert found == expected
+    assert "list" in lane.calls and lane.maps["aside"].held
+
+
+def test_pages_of_a_large_set_are_found_and_cleared(monkeypatch):
+    monkeypatch.setattr(session_state, "PAGE_NAMES", 5)
+    monkeypatch.setattr(session_state, "PAGES_HELD", 3)
+    shared = _LaneMap([])
+    other = session_state._Paged(shared, "other")
+    other.updateValue(("n1",), (7,))
+    other.flush()
+    for begin in (0, 150):  # taken up anew by a later trigger
+        names = session_state._Paged(shared, "s")
+        for i in range(begin, begin + 150):
+            assert not names.containsKey((f"n{i}",))
+            names.updateValue((f"n{i}",), (i,))
+        names.flush()
+    names = session_state._Paged(shared, "s")
+    assert [names.getValue((f"n{i}",)) for i in range(300)] == [(i,) for i in range(300)]
+    assert max(len(json.loads(t[0])) for t in shared.held.values()) < 25
+    names.clear()
+    assert not names.containsKey(("n1",))
+    assert session_state._Paged(shared, "other").getValue(("n1",)) == (7,)
+    assert len(shared.held) == 2  # the other session's head and page
