@@ -17,6 +17,7 @@ from clickloom.session import cut_lineage
 
 TASK_ROWS = 1_000_000
 CHUNK = "_chunk"
+PLACE_BITS = 33  # of ``monotonically_increasing_id``
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner"):
@@ -120,11 +121,37 @@ def dense_index(
     limit: int = TASK_ROWS,
 ) -> DataFrame:
     """Add the 0-based position in ``order`` per key and ``<name>_total`` rows."""
+    largest = None
+    if not keys:
+        df = cut_lineage(df)
+        largest = df.count()
+        if largest > limit:
+            return _ranged_index(df, order, name, largest)
     ones = df.withColumn("_one", F.lit(1).cast("long"))
-    counted = running_sums(ones, keys, order, {name: "_one"}, limit)
+    counted = running_sums(ones, keys, order, {name: "_one"}, limit, largest)
     return counted.withColumn(name, F.col(name) - 1).drop("_one")
 
 
+def _ranged_index(df, order, name, rows):
+    """Positions from one range shuffle: rows are numbered where they lie sorted.
+
+    A number holds its partition's in the bits above ``PLACE_BITS``; a row per
+    partition says how many rows lie before it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = cut_lineage(ranged.withColumn(CHUNK, F.monotonically_increasing_id()))
+    chunk = F.shiftright(CHUNK, PLACE_BITS)
+    sizes = placed.groupBy(chunk.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_before")
+    offsets = F.broadcast(cut_lineage(sizes.select("_part", before)))
+    place = F.col(CHUNK) - F.shiftleft("_part", PLACE_BITS) + F.col("_before")
+    return placed.join(offsets, chunk == F.col("_part")).select(
+        *df.columns, place.alias(name), F.lit(rows).cast("long").alias(f"{name}_total")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -489,6 +489,15 @@ def reject_reason() -> Column:
     )
 
 
+def _micros(events: DataFrame, name: str) -> Column:
+    """The time of a column in microseconds; only texts are read as texts."""
+    time = F.col(name)
+    if isinstance(events.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
+        zoneless = time.cast("timestamp_ntz")
+        return S.epoch_micros(F.when(F.year(zoneless).between(0, 9999), zoneless))
+    return S.epoch_micros(S.parse_iso(time.cast("string")))
+
+
 def track_sessions(
     events: DataFrame,
     ttl_seconds: int = C.STATE_TTL_SECONDS,
@@ -506,8 +515,8 @@ def track_sessions(
     that a checkpoint fixes, like the number of its partitions.
     """
     times = {
-        "source_us": S.epoch_micros(S.parse_iso(F.col("source_event_time").cast("string"))),
-        "replay_us": S.epoch_micros(S.parse_iso(F.col("replay_time").cast("string"))),
+        "source_us": _micros(events, "source_event_time"),
+        "replay_us": _micros(events, "replay_time"),
     }
     optional = {"user_id": "user_id", "source": "source", "message": "_text"}
     for name, column in optional.items():

@@ -53,36 +53,55 @@ def spread_days(dated: DataFrame, rows_per_file: int) -> DataFrame:
     return dealt.repartition(tasks, "event_date", "_file").drop("_day", "_files", "_file")
 
 
-def append_new(events: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def append_new(
+    events: DataFrame,
+    path: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    stored: bool = False,
+) -> None:
     """Append rows whose ``event_id`` the log does not hold yet.
 
     The id is a hash over the event time too, so a repeat has the same date:
     only the date folders of the batch's own dates are read. A date is written
-    by as many tasks as its rows ask for, also if it is the only one.
+    by as many tasks as its rows ask for, also if it is the only one. Whole rows
+    are compared by id only if hashes of the ids say that some may be repeats.
+    The rows are read several times; ``stored`` says that they are persisted.
     """
     spark = events.sparkSession
-    dated = events.dropDuplicates(["event_id"]).withColumn(
-        "event_date", F.to_date("source_event_time")
-    )
-    if table_exists(spark, path):
-        days = dated.select("event_date").distinct()
-        listed = [r[0] for r in days.limit(DAYS_LISTED + 1).collect()]
-        if not listed:
-            return
-        log = spark.read.schema("event_id string, event_date date").parquet(path)
-        if len(listed) <= DAYS_LISTED:
-            log = log.filter(F.col("event_date").isin(listed))
-        else:
-            log = log.join(days, "event_date", "left_semi")
-        dated = dated.join(log.select("event_id"), "event_id", "left_anti")
-    dated = dated.persist()
+    dated = events.withColumn("event_date", F.to_date("source_event_time"))
+    held = [] if stored else [dated.persist()]
     try:
+        ids, log = dated.select("event_id"), None
+        if table_exists(spark, path):
+            days = dated.select("event_date").distinct()
+            listed = [r[0] for r in days.limit(DAYS_LISTED + 1).collect()]
+            if not listed:
+                return
+            log = spark.read.schema("event_id string, event_date date").parquet(path)
+            if len(listed) <= DAYS_LISTED:
+                log = log.filter(F.col("event_date").isin(listed))
+            else:
+                log = log.join(days, "event_date", "left_semi")
+            log = log.select("event_id")
+            ids = ids.unionByName(log)
+        if _may_repeat(ids):
+            dated = dated.dropDuplicates(["event_id"])
+            if log is not None:
+                dated = dated.join(log, "event_id", "left_anti")
+            held.append(dated.persist())
         stamped = spread_days(dated, rows_per_file).withColumn(
             "created_at", F.current_timestamp()
         )
         stamped.write.mode("append").partitionBy("event_date").parquet(path)
     finally:
-        dated.unpersist()
+        for frame in held:
+            frame.unpersist()
+
+
+def _may_repeat(ids: DataFrame) -> bool:
+    """Whether two ids have one hash; equal ids always have."""
+    counts = ids.groupBy(F.xxhash64("event_id")).agg(F.count(F.lit(1)).alias("rows"))
+    return not counts.filter("rows > 1").isEmpty()
 
 
 def compact_log(
@@ -148,7 +167,7 @@ def route(
         batch = batch.persist()
         try:
             accepted = batch.filter(F.col("status") == ACCEPTED)
-            append_new(accepted.select(*LOG_COLUMNS), log)
+            append_new(accepted.select(*LOG_COLUMNS), log, stored=True)
             batch_table(to_messages(late_events(batch)), late, batch_id)
             tracked = batch.filter(F.col("status") != REJECTED)
             batch_table(tracked.drop("message", "reason"), serving, batch_id)

@@ -656,16 +656,20 @@ def _arrivals(spark, sf_dir, delay=None):
 def _arriving(spark, arrivals, base, name="in"):
     """The arrivals as a stream of TRIGGERS triggers, earlier ones first.
 
-    A trigger has as many files, and so tasks, as its rows ask for.
+    A trigger has as many files, and so tasks, as its rows ask for; no file is empty
+    unless the whole trigger is, so that no trigger takes files of the next one.
     """
     arrivals = cut_lineage(arrivals)
     newest = arrivals.agg(F.max("arrival")).first()[0]
     rows = 0 if newest is None else newest + 1
-    part = F.floor(F.col("arrival") * TRIGGERS / F.lit(rows))
     files = max(FILES_PER_PART, -(-rows // (TRIGGERS * ROWS_PER_FILE)))
-    for number in range(TRIGGERS):
-        some = arrivals.filter(part == number).repartition(files)
-        some.write.mode("append").parquet(f"{base}/{name}")
+    files = max(1, min(files, rows // TRIGGERS))
+    starts = [-(-rows * number // TRIGGERS) for number in range(TRIGGERS + 1)]
+    arrival = F.col("arrival")
+    for low, high in zip(starts, starts[1:]):
+        some = arrivals.filter((arrival >= low) & (arrival < high))
+        dealt = some.repartitionById(files, F.pmod("arrival", F.lit(files)).cast("int"))
+        dealt.write.mode("append").parquet(f"{base}/{name}")
     return streams.file_events(
         spark, f"{base}/{name}", arrivals.schema, files_per_trigger=files
     )

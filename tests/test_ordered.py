@@ -39,6 +39,18 @@ def test_dense_index_without_keys(spark, limit):
     assert all(r["n"] == r["i"] for r in rows) and len(rows) == 400
 
 
+def test_a_long_index_is_numbered_where_its_rows_lie_sorted(spark):
+    """No second shuffle of the rows; the only window is over the partitions."""
+    rows = spark.range(500).withColumn("t", F.concat(F.lit("x"), F.pmod("id", F.lit(7))))
+    order = [F.col("t").desc(), "id"]
+    found = ordered.dense_index(rows.repartition(3), order, "n", limit=20)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Repartition" not in plan
+    expected = sorted(range(500), key=lambda i: (-(i % 7), i))
+    at = {r["n"]: (r["id"], r["n_total"]) for r in found.collect()}
+    assert at == {n: (i, 500) for n, i in enumerate(expected)}
+
+
 @pytest.mark.parametrize("limit", [10**6, 4])
 def test_exact_quantiles_interpolate(spark, limit):
     data, frame = table(spark)

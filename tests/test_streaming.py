@@ -13,6 +13,7 @@ from clickloom.sinks import tables as batch_sinks
 from clickloom.plans import scoring
 from clickloom.sources import streams
 from clickloom.streaming import session_state, sinks
+from clickloom.workload import queries
 from data import START, TYPES, event, silver
 
 
@@ -288,6 +289,55 @@ def test_log_append_can_be_repeated(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_a_log_without_repeats_is_appended_without_comparing_rows(
+    spark, tmp_path, monkeypatch
+):
+    path = str(tmp_path / "log")
+    rows = _log(spark, 20).persist()
+    ids = F.col("event_id")
+    known = [r[0] for r in rows.select(ids).orderBy(ids).limit(9).collect()]
+    called = []
+    plain = type(rows).dropDuplicates
+    monkeypatch.setattr(
+        type(rows), "dropDuplicates", lambda *a: called.append(1) or plain(*a)
+    )
+    sinks.append_new(rows.filter(ids.isin(known)), path, stored=True)
+    sinks.append_new(rows.filter(~ids.isin(known)), path, stored=True)
+    assert called == []
+    sinks.append_new(rows, path, stored=True)
+    assert called == [1] and spark.read.parquet(path).count() == 20
+
+
+def test_a_trigger_takes_its_own_rows_only(spark, tmp_path):
+    """Six arrivals in four triggers: no file is empty, so none is taken early."""
+    arrivals = spark.range(6).select(F.col("id").alias("arrival"))
+    source = queries._arriving(spark, arrivals, str(tmp_path))
+    taken = []
+    sinks.drain(
+        source,
+        lambda batch, _: taken.append(sorted(r[0] for r in batch.collect())),
+        f"{tmp_path}/checkpoint",
+    )
+    assert taken == [[0, 1], [2], [3, 4], [5]]
+
+
+def test_times_are_read_alike_from_texts_and_times(spark):
+    texts = ["2024-01-02T03:04:05.000006", "0000-05-06T00:00:00", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").withColumns(
+        {"ntz": F.col("t").cast("timestamp_ntz"), "zoned": F.col("t").cast("timestamp")}
+    )
+    far = F.lit("+10000-01-01T00:00:00").cast("timestamp_ntz")
+    frame = frame.unionByName(
+        spark.range(1).select(
+            F.lit(None).cast("string").alias("t"), far.alias("ntz"), far.cast("timestamp").alias("zoned")
+        )
+    )
+    columns = [session_state._micros(frame, name) for name in frame.columns]
+    read = frame.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    assert all(len(set(row)) == 1 for row in read.collect())
+    assert "RLIKE" not in frame.select(columns[1])._jdf.queryExecution().toString()
+
+
 def test_unreadable_messages_go_to_dead_letters(spark):
     good = '{"event_id": "e1", "user_session": "s", "price": 2.5}'
     frame = spark.createDataFrame([(good, 1), ("not json", 2)], "value string, arrival long")
