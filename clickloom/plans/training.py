@@ -88,25 +88,28 @@ class Candidate:
             for _ in range(trials)
         ]
 
-    def pipeline(self, settings: dict) -> Pipeline:
+    def learner(self, settings: dict):
         kept = {k: v for k, v in settings.items() if k != "positive_weight"}
-        learner = self.make(
+        return self.make(
             labelCol=C.LABEL, featuresCol="features", weightCol="_weight", **kept
         )
+
+    def inputs(self):
+        """The stage that makes the feature vector; it has nothing to fit."""
         if self.hashed:
-            inputs = [*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES]
-            first = FeatureHasher(
-                inputCols=inputs,
+            return FeatureHasher(
+                inputCols=[*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES],
                 categoricalCols=list(C.CATEGORICAL_FEATURES),
                 numFeatures=HASHED_FEATURES,
                 outputCol="features",
             )
-        else:
-            buckets = [f"{c}_bucket" for c in C.CATEGORICAL_FEATURES]
-            first = VectorAssembler(
-                inputCols=[*C.NUMERIC_FEATURES, *buckets], outputCol="features"
-            )
-        return Pipeline(stages=[first, learner])
+        buckets = [f"{c}_bucket" for c in C.CATEGORICAL_FEATURES]
+        return VectorAssembler(
+            inputCols=[*C.NUMERIC_FEATURES, *buckets], outputCol="features"
+        )
+
+    def pipeline(self, settings: dict) -> Pipeline:
+        return Pipeline(stages=[self.inputs(), self.learner(settings)])
 
 
 def candidates(seed: int = SEED) -> list[tuple[str, Candidate]]:
@@ -141,20 +144,26 @@ def search(
 ) -> DataFrame:
     """A row per trial: candidate, settings, where its model is stored, metrics.
 
-    Both frames are stored encoded, once. Every trial's model and validation
+    Both frames are stored encoded, once, and the feature vectors once for all
+    learners that see the same ones. Every trial's model and validation
     scores are stored too; the metrics of all trials are one job over the
     scores.
     """
     pool = candidates() if pool is None else pool
     spark = train.sparkSession
     ready, held = cut_lineage(weighted(bucketed(train))), cut_lineage(validation)
-    base, facts = scratch_path(spark, "search"), []
+    base, facts, vectors = scratch_path(spark, "search"), [], {}
     for order, (name, candidate) in enumerate(pool):
+        inputs = candidate.inputs()
+        if candidate.hashed not in vectors:
+            made = inputs.transform(ready).select(C.LABEL, "_weight", "features")
+            vectors[candidate.hashed] = cut_lineage(made)
         for trial, settings in enumerate(candidate.settings(name, trials, seed)):
             more = F.when(F.col(C.LABEL) == 1, settings["positive_weight"]).otherwise(1.0)
-            rows = ready.withColumn("_weight", F.col("_weight") * more)
+            rows = vectors[candidate.hashed].withColumn("_weight", F.col("_weight") * more)
             path = f"{base}/model-{order}-{trial}"
-            candidate.pipeline(settings).fit(rows).write().save(path)
+            model = PipelineModel([inputs, candidate.learner(settings).fit(rows)])
+            model.write().save(path)
             facts.append((name, order, trial, json.dumps(settings, sort_keys=True), path))
             # read back: a fresh model drags its training summary along
             scored = scores(PipelineModel.load(path), held).withColumns(

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+
+from clickloom import constants as C
 from clickloom.plans import training
 from clickloom.workload import queries
 
@@ -23,3 +26,19 @@ def test_the_queries_fit_every_candidate(spark, monkeypatch):
     assert {r["trials"] for r in report} == {queries.TRIALS}
     best = max(report, key=lambda r: (r["validation_pr_auc"], -r["candidate_order"]))
     assert {r["winner_name"] for r in report} == {best["candidate"]}
+
+
+def test_vectors_are_made_once_for_all_trials(spark, monkeypatch):
+    names = [*C.NUMERIC_FEATURES, *[f"{c}_code" for c in C.CATEGORICAL_FEATURES]]
+    rows = [(*[float(i * k % 7) for k in range(len(names))], i % 2) for i in range(90)]
+    frame = spark.createDataFrame(rows, [*names, C.LABEL])
+    fitted, plain = [], VectorAssembler.transform
+
+    def noted(self, data, *rest):
+        fitted.append("_weight" in data.columns)
+        return plain(self, data, *rest)
+
+    monkeypatch.setattr(VectorAssembler, "transform", noted)
+    pool = [p for p in training.candidates() if p[0] == "forest"]
+    found = training.search(frame, frame, pool, trials=2)
+    assert found.count() == 2 and fitted.count(True) == 1
